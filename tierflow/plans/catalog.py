@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from tierflow.plans import check_queries, core_queries  # noqa: F401
+from tierflow.plans import check_queries, core_queries, table_queries  # noqa: F401
 from tierflow.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -1,0 +1,180 @@
+"""A Parquet table with versions (A10, A12, D7): data folders + a commit log.
+
+Spark cannot ``MERGE INTO`` or overwrite a Parquet table it is reading, so a
+table version is a list of immutable data folders named in a one-row commit
+record ``_log/v=<n>``.  Writing a new version never touches old folders, which
+gives time travel (read version ``n``), recovery of deleted rows, and
+restartable jobs: a failed write leaves no commit record, so readers keep
+seeing the previous version and a rerun starts from it.
+
+Keyed tables are stored by ``_bucket = pmod(xxhash64(key), buckets)``.  A
+merge rewrites only the buckets its batch touches and carries every other
+bucket forward by reference, so the cost of an incremental run follows the
+batch, not the table.  Reads of selected buckets list only their folders.
+
+Commit records are written through Spark (so any shared file system works);
+``errorifexists`` makes a second writer of the same version fail instead of
+silently overwriting it.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_LOG_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("operation", T.StringType()),
+    T.StructField("entries", T.ArrayType(T.StructType([
+        T.StructField("path", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]))),
+    T.StructField("schema", T.StringType()),
+    T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
+])
+
+BUCKET = "_bucket"
+
+
+def bucket_of(key_cols, buckets: int):
+    cols = [F.col(k) for k in ([key_cols] if isinstance(key_cols, str) else key_cols)]
+    return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str, key=None, buckets: int = 16):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.key = key
+        self.buckets = buckets
+        self._log_cache: list | None = None
+
+    # --- log -------------------------------------------------------------------------------
+
+    def refresh(self) -> None:
+        """Forget the cached log (another writer may have committed)."""
+        self._log_cache = None
+
+    def _log_rows(self) -> list:
+        if self._log_cache is not None:
+            return self._log_cache
+        try:
+            df = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_log/*")
+            # One tiny row per commit: bounded by the number of versions.
+            rows = sorted(df.collect(), key=lambda r: r["version"])
+        except Exception as e:  # noqa: BLE001 - no log yet
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
+                rows = []
+            else:
+                raise
+        self._log_cache = rows
+        return rows
+
+    def history(self) -> list:
+        return self._log_rows()
+
+    def version(self) -> int | None:
+        rows = self._log_rows()
+        return rows[-1]["version"] if rows else None
+
+    def _commit_row(self, version=None):
+        rows = self._log_rows()
+        if not rows:
+            return None
+        if version is None:
+            return rows[-1]
+        for r in rows:
+            if r["version"] == version:
+                return r
+        raise KeyError(f"no version {version} in {self.root}")
+
+    def _commit(self, operation: str, entries: list[tuple[str, int | None]], schema: T.StructType,
+                meta: dict | None = None) -> int:
+        cur = self.version()
+        v = 0 if cur is None else cur + 1
+        row = (v, operation, [{"path": p, "bucket": b} for p, b in entries], schema.json(),
+               {k: str(x) for k, x in (meta or {}).items()})
+        df = self.spark.createDataFrame([row], _LOG_SCHEMA)
+        df.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_log/v={v:09d}")
+        self._log_cache = self._log_rows() + df.collect()
+        return v
+
+    def meta(self, version=None) -> dict:
+        r = self._commit_row(version)
+        return dict(r["meta"] or {}) if r else {}
+
+    # --- read ------------------------------------------------------------------------------
+
+    def schema(self, version=None) -> T.StructType | None:
+        r = self._commit_row(version)
+        return T.StructType.fromJson(json.loads(r["schema"])) if r else None
+
+    def read(self, version=None, buckets=None) -> DataFrame:
+        r = self._commit_row(version)
+        if r is None:
+            raise FileNotFoundError(f"no table at {self.root}")
+        schema = T.StructType.fromJson(json.loads(r["schema"]))
+        entries = r["entries"] or []
+        if buckets is not None:
+            wanted = set(buckets)
+            entries = [e for e in entries if e["bucket"] is None or e["bucket"] in wanted]
+        paths = [e["path"] for e in entries]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def exists(self) -> bool:
+        return self.version() is not None
+
+    # --- write -----------------------------------------------------------------------------
+
+    def _write_data(self, df: DataFrame, tag: str, known_buckets=None) -> list[tuple[str, int | None]]:
+        """Write ``df`` to a fresh folder; return its entries (one per bucket if keyed).
+
+        ``known_buckets``: the caller knows every one of these buckets is non-empty
+        and no other is present, so the folder need not be listed.
+        """
+        import uuid
+        folder = f"{self.root}/data/{tag}-{uuid.uuid4().hex[:10]}"
+        if self.key is None:
+            df.write.mode("errorifexists").parquet(folder)
+            return [(folder, None)]
+        df.withColumn(BUCKET, bucket_of(self.key, self.buckets)) \
+          .write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
+        if known_buckets is not None:
+            return [(f"{folder}/{BUCKET}={b}", int(b)) for b in sorted(known_buckets)]
+        try:
+            present = [r[0] for r in self.spark.read.parquet(folder).select(BUCKET).distinct().collect()]
+        except Exception as e:  # noqa: BLE001 - an empty write creates no bucket folder
+            if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
+                present = []
+            else:
+                raise
+        return [(f"{folder}/{BUCKET}={b}", int(b)) for b in sorted(present)]
+
+    def overwrite(self, df: DataFrame, meta: dict | None = None, operation: str = "overwrite") -> int:
+        """Full refresh: the new version is exactly ``df``."""
+        entries = self._write_data(df, "full")
+        return self._commit(operation, entries, df.schema, meta)
+
+    def append(self, df: DataFrame, meta: dict | None = None) -> int:
+        """Add rows; existing folders are carried forward by reference."""
+        prev = self._commit_row()
+        old = [(e["path"], e["bucket"]) for e in (prev["entries"] if prev else [])]
+        entries = self._write_data(df, "append")
+        return self._commit("append", old + entries, df.schema, meta)
+
+    def replace_buckets(self, df: DataFrame, buckets: list[int], meta: dict | None = None,
+                        operation: str = "merge", all_present: bool = False) -> int:
+        """New version = old buckets not in ``buckets`` + ``df`` (which covers them)."""
+        if self.key is None:
+            raise ValueError("replace_buckets needs a keyed table")
+        prev = self._commit_row()
+        drop = set(buckets)
+        old = [(e["path"], e["bucket"]) for e in (prev["entries"] if prev else [])
+               if e["bucket"] not in drop]
+        entries = self._write_data(df, "merge", buckets if all_present else None)
+        return self._commit(operation, old + entries, df.schema, meta)
