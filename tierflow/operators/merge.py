@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.operators.dedup import latest_per_key
-from tierflow.session import work_dir
+from tierflow.session import stage
 from tierflow.sources.versioned import BUCKET, VersionedTable, bucket_of
 
 
@@ -50,15 +50,7 @@ def above_mark(source: DataFrame, col: str, mark, lookback: _dt.timedelta | None
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` once to the shared work folder and reading it back.
-
-    Unlike ``DataFrame.checkpoint`` (which computes the plan once for the job
-    and again to save it unless cached), this computes the plan exactly once.
-    """
-    spark = df.sparkSession
-    path = work_dir(spark, "stage")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage(df, "merge-batch")
 
 
 def merge_upsert(table: VersionedTable, batch: DataFrame, meta: dict | None = None,

@@ -65,3 +65,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/tierflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str = "stage"):
+    """Cut lineage: write ``df`` once as Parquet in the shared work folder, read it back.
+
+    Unlike ``DataFrame.checkpoint`` (which runs the plan for the job and again
+    to save it unless cached), the plan runs exactly once; a lost executor
+    afterwards re-reads files instead of recomputing upstream stages.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
