@@ -1,6 +1,7 @@
 """Imports every query module so that the registry is complete."""
 
-from tierflow.plans import check_queries, core_queries, history_queries, table_queries  # noqa: F401
+from tierflow.plans import (check_queries, core_queries, history_queries, stream_queries,  # noqa: F401
+                            table_queries)
 from tierflow.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
