@@ -23,9 +23,17 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact x dimension equi-join; broadcast the dimension if it is bounded."""
-    if max_broadcast_rows > 0 and bounded_rows(dim, max_broadcast_rows):
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   size_proof: DataFrame | None = None) -> DataFrame:
+    """Fact x dimension equi-join; broadcast the dimension if it is bounded.
+
+    ``size_proof`` is a DataFrame known to have at least as many rows as
+    ``dim`` (e.g. the table the dimension is filtered / deduplicated from).
+    Counting it (a scan that stops after ``max_broadcast_rows + 1`` rows)
+    proves the bound without computing the dimension twice.
+    """
+    proof = dim if size_proof is None else size_proof
+    if max_broadcast_rows > 0 and bounded_rows(proof, max_broadcast_rows):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 

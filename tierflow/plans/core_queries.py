@@ -37,7 +37,8 @@ def dim_c(spark, sf):
 
 
 def fct(spark, sf):
-    return M.fct_pedidos(stg_p(spark, sf), dim_c(spark, sf))
+    # The dimension is a filtered, deduplicated subset of ``customer``: its row count bounds the dim's.
+    return M.fct_pedidos(stg_p(spark, sf), dim_c(spark, sf), size_proof=read_table(spark, sf, "customer"))
 
 
 def mart(spark, sf):

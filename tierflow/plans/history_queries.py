@@ -21,7 +21,8 @@ def customer_changes(spark, sf):
     """City moves joined with the other customer attributes from silver (left join)."""
     moves = raw_clientes_history(spark, sf)
     attrs = Q.stg_c(spark, sf).select("cliente_id", "nombre", "email", "fecha_registro")
-    return join_dimension(moves, attrs, "cliente_id", "left").select(*HISTORY_COLUMNS)
+    return join_dimension(moves, attrs, "cliente_id", "left",
+                          size_proof=read_table(spark, sf, "customer")).select(*HISTORY_COLUMNS)
 
 
 def fold_history(spark, sf) -> Scd2Table:

@@ -1,4 +1,4 @@
-"""Registered queries for raw loads, keys and layout."""
+"""Registered queries for raw loads, keys, layout and the whole job."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from tierflow.operators.ingest import append_batch, insert_parsed, next_batch_fo
 from tierflow.operators.keys import assign_surrogate_keys, next_batch_id
 from tierflow.operators.layout import pruning_report, write_clustered
 from tierflow.plans import core_queries as Q
-from tierflow.plans.oracle import with_models
+from tierflow.plans import models as M
+from tierflow.plans.oracle import AS_OF, with_models
 from tierflow.plans.registry import register
 from tierflow.session import work_dir
 from tierflow.sources.fixtures import raw_clientes, raw_pedidos
@@ -107,3 +108,11 @@ select 'scanned', count(distinct ciudad), count(*) from fct_pedidos where ciudad
 def q_pruning(spark, sf):
     """Partitions and rows behind the pruned scan vs the whole clustered table."""
     return pruning_report(spark, _clustered_fact(spark, sf), F.col("ciudad") == _CLUSTER_VALUE)
+
+
+@register("pipeline_end_to_end", with_models("mart") + "select * from mart order by ingresos_totales desc")
+def q_pipeline(spark, sf):
+    """The whole job (ingest, build, test, snapshot); returns the built sales mart."""
+    from tierflow.plans.pipeline import run_pipeline
+    run = run_pipeline(spark, sf, work_dir(spark, "warehouse"), "dev", AS_OF)
+    return M.sorted_mart(run.read("mart_ventas_por_ciudad"))
