@@ -95,11 +95,6 @@ _ROW_LEVEL = {
 }
 
 
-def _result_rows(spark, rows):
-    schema = "check_name string, model string, severity string, failures bigint"
-    return spark.createDataFrame(rows, schema)
-
-
 def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """H8: one row per check (check_name, model, severity, failures, status).
 

@@ -85,7 +85,9 @@ class Scd2Table:
         import uuid
         folder = f"{self.table.root}/data/run-{uuid.uuid4().hex[:10]}"
         rows.write.partitionBy("_part").parquet(folder)
-        parts = {r[0] for r in self.spark.read.parquet(folder).select("_part").distinct().collect()}
+        # Which parts were written, from the file listing (no data is read).
+        parts = {p for p in ("open", "closed")
+                 if any(f"/_part={p}/" in f for f in self.spark.read.parquet(folder).inputFiles())}
         entries = [(p, None) for p in closed_prev]
         if "closed" in parts:
             entries.append((f"{folder}/_part=closed", None))

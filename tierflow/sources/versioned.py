@@ -20,6 +20,7 @@ silently overwriting it.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ _LOG_SCHEMA = T.StructType([
 ])
 
 BUCKET = "_bucket"
+_BUCKET_DIR = re.compile(r"/_bucket=(\d+)/")
 
 
 def bucket_of(key_cols, buckets: int):
@@ -95,11 +97,13 @@ class VersionedTable:
                 meta: dict | None = None) -> int:
         cur = self.version()
         v = 0 if cur is None else cur + 1
-        row = (v, operation, [{"path": p, "bucket": b} for p, b in entries], schema.json(),
-               {k: str(x) for k, x in (meta or {}).items()})
-        df = self.spark.createDataFrame([row], _LOG_SCHEMA)
-        df.coalesce(1).write.mode("errorifexists").json(f"{self.root}/_log/v={v:09d}")
-        self._log_cache = self._log_rows() + df.collect()
+        record = {"version": v, "operation": operation,
+                  "entries": [{"path": p, "bucket": b} for p, b in entries],
+                  "schema": schema.json(), "meta": {k: str(x) for k, x in (meta or {}).items()}}
+        # One JSON line built on the JVM side (no Python rows shipped to a worker).
+        line = self.spark.range(1).select(F.lit(json.dumps(record)).alias("value"))
+        line.coalesce(1).write.mode("errorifexists").text(f"{self.root}/_log/v={v:09d}")
+        self._log_cache = self._log_rows() + [record]
         return v
 
     def meta(self, version=None) -> dict:
@@ -147,13 +151,15 @@ class VersionedTable:
         if known_buckets is not None:
             return [(f"{folder}/{BUCKET}={b}", int(b)) for b in sorted(known_buckets)]
         try:
-            present = [r[0] for r in self.spark.read.parquet(folder).select(BUCKET).distinct().collect()]
+            # The bucket folders written, from the file listing (no data is read).
+            files = self.spark.read.parquet(folder).inputFiles()
         except Exception as e:  # noqa: BLE001 - an empty write creates no bucket folder
             if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
-                present = []
+                files = []
             else:
                 raise
-        return [(f"{folder}/{BUCKET}={b}", int(b)) for b in sorted(present)]
+        present = {int(m.group(1)) for m in (_BUCKET_DIR.search(f) for f in files) if m}
+        return [(f"{folder}/{BUCKET}={b}", b) for b in sorted(present)]
 
     def overwrite(self, df: DataFrame, meta: dict | None = None, operation: str = "overwrite") -> int:
         """Full refresh: the new version is exactly ``df``."""
