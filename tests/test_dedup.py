@@ -44,3 +44,19 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("ts"))
     plan = plan_text(latest_per_key(df, "k", ["-ts"]))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_rank_top1_mixed_nulls_and_desc(spark):
+    df = spark.createDataFrame([(1, None, 1), (1, "a", 2), (2, "b", 3), (2, "c", 4), (None, "z", 5)],
+                               "k int, p string, id int")
+    assert rows(rank_top1(df, "k", ["p"]), "id") == [(1,), (3,), (5,)]      # NULL sorts first ascending
+    assert rows(rank_top1(df, "k", ["-p"]), "id") == [(2,), (4,), (5,)]     # and last descending
+    assert rows(rank_top1(df, "k", ["p", "-id"]), "id") == [(1,), (3,), (5,)]  # mixed: window path
+
+
+def test_rank_top1_hot_tied_key_is_not_a_window(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                  F.lit("same").alias("p"), "id")
+    out = rank_top1(df, "k", ["p"])
+    assert out.count() == 3000
+    assert "Window" not in plan_text(out)

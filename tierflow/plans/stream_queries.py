@@ -51,7 +51,7 @@ class _Setup:
         self.rows = csv_deliveries(spark, sf)
         root = work_dir(spark, "pedidos_pipe")
         self.landing = f"{root}/landing"
-        self.pipe = FilePipe(spark, self.landing, f"{root}/pedidos_snowpipe", f"{root}/_ck/pipe")
+        self.pipe = FilePipe(spark, self.landing, f"{root}/pedidos_loaded", f"{root}/_ck/pipe")
         self.changes = ChangeStream(spark, self.pipe.target, pipe_schema(), f"{root}/_ck/changes")
         self.root = root
 
