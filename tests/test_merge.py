@@ -90,3 +90,16 @@ def test_recover_deleted_and_diff(spark):
 def test_state_as_of(spark):
     h = spark.createDataFrame([(1, "a", D[0]), (1, "b", D[2]), (2, "c", D[3])], SCHEMA)
     assert rows(state_as_of(h, "id", "ts", D[1], ["-ts"]), "id", "v") == [(1, "a")]
+
+
+def test_log_refresh_sees_other_writers_and_compaction(spark):
+    t = _t(spark, key=None)
+    t.append(spark.createDataFrame([(1, "a", D[0])], SCHEMA), meta={"stream_batch": 0})
+    other = VersionedTable(spark, t.root)            # a second writer of the same table
+    other.append(spark.createDataFrame([(2, "b", D[1])], SCHEMA), meta={"stream_batch": 1})
+    assert t.version() == 0
+    t.refresh()
+    assert t.version() == 1 and t.meta()["stream_batch"] == "1"
+    v = t.compact()
+    assert len(t.history()[-1]["entries"]) == 1 and t.meta()["stream_batch"] == "1"
+    assert rows(t.read(), "id") == [(1,), (2,)] == rows(t.read(version=v - 1), "id")

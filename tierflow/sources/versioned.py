@@ -57,23 +57,36 @@ class VersionedTable:
     # --- log -------------------------------------------------------------------------------
 
     def refresh(self) -> None:
-        """Forget the cached log (another writer may have committed)."""
-        self._log_cache = None
+        """Pick up commits made since the cache was filled (e.g. by another writer).
 
-    def _log_rows(self) -> list:
-        if self._log_cache is not None:
-            return self._log_cache
+        Commit folders are named ``v=<n>``, so only newer versions are read
+        (partition pruning on ``v``): a long-lived stream consumer that
+        refreshes every micro-batch reads one small record per batch, not
+        the whole log.
+        """
+        if self._log_cache is None:
+            return
+        last = self._log_cache[-1]["version"] if self._log_cache else None
+        self._log_cache = self._log_cache + self._read_log(after=last)
+
+    def _read_log(self, after: int | None = None) -> list:
         try:
-            df = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_log/*")
-            # One tiny row per commit: bounded by the number of versions.
-            rows = sorted(df.collect(), key=lambda r: r["version"])
+            df = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_log")
+            if after is not None:
+                df = df.filter(F.col("v") > after)
+            # One tiny record per commit, bounded by the number of versions read.
+            rows = [r.asDict(recursive=True) for r in df.drop("v").collect()]
         except Exception as e:  # noqa: BLE001 - no log yet
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
                 rows = []
             else:
                 raise
-        self._log_cache = rows
-        return rows
+        return sorted(rows, key=lambda r: r["version"])
+
+    def _log_rows(self) -> list:
+        if self._log_cache is None:
+            self._log_cache = self._read_log()
+        return self._log_cache
 
     def history(self) -> list:
         return self._log_rows()
@@ -173,6 +186,15 @@ class VersionedTable:
         entries = self._write_data(df, "append")
         return self._commit("append", old + entries, df.schema, meta)
 
+    def compact(self) -> int:
+        """Rewrite the current version into one folder (one per bucket if keyed).
+
+        Appends add a folder each; compaction bounds the folders a long
+        history accumulates.  Old versions stay readable; metadata carries over.
+        """
+        entries = self._write_data(self.read(), "compact")
+        return self._commit("compact", entries, self.schema(), self.meta())
+
     def replace_buckets(self, df: DataFrame, buckets: list[int], meta: dict | None = None,
                         operation: str = "merge", all_present: bool = False) -> int:
         """New version = old buckets not in ``buckets`` + ``df`` (which covers them)."""
