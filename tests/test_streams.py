@@ -52,11 +52,11 @@ def test_peek_does_not_consume(spark):
     changes.consume_into(target)
     write_landing(_rows(spark, [3, 4]), pipe.landing_root, 2)
     pipe.run()
-    assert rows(changes.pending(target.read()), "id") == [(3,), (4,)]
-    assert rows(changes.pending(target.read()), "id") == [(3,), (4,)]   # peeking twice: still waiting
-    assert changes.has_data(target.read())
+    assert rows(changes.pending(target), "id") == [(3,), (4,)]
+    assert rows(changes.pending(target), "id") == [(3,), (4,)]   # peeking twice: still waiting
+    assert changes.has_data(target)
     assert changes.consume_into(target) == 1
-    assert not changes.has_data(target.read())
+    assert not changes.has_data(target)
     assert changes.consume_into(target) == 0
     assert rows(target.read(), "id") == [(1,), (2,), (3,), (4,)]
 

@@ -112,7 +112,7 @@ def _consumed_then_loaded(spark, sf):
 def q_peek_changes(spark, sf):
     """What is waiting after the first consumption, read without consuming it."""
     s, target = _consumed_then_loaded(spark, sf)
-    return s.changes.pending(target.read()).select(*CSV_COLUMNS)
+    return s.changes.pending(target).select(*CSV_COLUMNS)
 
 
 _PEEK_ORDER = ["id", "cliente_id", "producto", "cantidad", "precio_unitario", "fecha_pedido", "estado"]
@@ -124,7 +124,7 @@ order by {", ".join(c + " nulls first" for c in _PEEK_ORDER)} limit 5""")
 def q_peek_first_rows(spark, sf):
     """the first five waiting rows in key order (a top-k, planned as TakeOrderedAndProject)."""
     s, target = _consumed_then_loaded(spark, sf)
-    pending = s.changes.pending(target.read()).select(*CSV_COLUMNS)
+    pending = s.changes.pending(target).select(*CSV_COLUMNS)
     return pending.orderBy(*[F.col(c).asc_nulls_first() for c in _PEEK_ORDER]).limit(5)
 
 
@@ -150,7 +150,7 @@ def q_stream_noop(spark, sf):
     target = s.target("consumer")
     s.land_and_load(1, 2, 3, 4)
     s.changes.consume_into(target)
-    if s.changes.has_data(target.read()):
+    if s.changes.has_data(target):
         raise AssertionError("data still waiting after a full consumption")
     if s.changes.consume_into(target) != 0:
         raise AssertionError("a rerun with nothing waiting processed a batch")

@@ -12,14 +12,18 @@ stamp shows it was already applied and the replay is skipped, so each
 change lands exactly once.  If the body fails *before* its write, nothing
 was committed and the rerun applies it normally.
 
-The consumer's target records each row's source file (``_change_file``), so
-"what is waiting" is a distributed anti join of the table's files against
-the consumed ones (G2), with no access to the checkpoint's internals.
+Each consumer commit also records the source files its micro-batch held
+(at most ``max_files_per_trigger`` names).  "What is waiting" (G2) is the
+table's committed file list minus the files recorded by the consumer's
+commits: peeking reads only the waiting files, and "has data" (G4) reads no
+data at all.  Nothing touches the checkpoint's internals.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,7 +85,7 @@ class ChangeStream:
             if fault:
                 fault(batch_id, "before")
             target.append(batch.withColumn(CONSUMED_BATCH, F.lit(batch_id).cast("long")),
-                          meta={"stream_batch": batch_id})
+                          meta=_batch_meta(batch, batch_id))
             if fault:
                 fault(batch_id, "after")
         return self._run(body)
@@ -98,26 +102,56 @@ class ChangeStream:
             if fault:
                 fault(batch_id, "before")
             newest = latest_per_key(batch, target.key, order_by)
-            merge_upsert(target, newest, meta={"stream_batch": batch_id}, check_unique=False)
+            merge_upsert(target, newest, meta=_batch_meta(batch, batch_id), check_unique=False)
             if fault:
                 fault(batch_id, "after")
         return self._run(body)
 
     # --- looking without consuming ----------------------------------------------------
 
-    def pending(self, consumed: DataFrame) -> DataFrame:
-        """Rows waiting for this consumer; a plain read, the offset does not move.
-
-        ``consumed`` is the consumer's target (it carries ``_change_file``).
-        The anti join runs on the file column: one row per consumed file is
-        shuffled, never the consumed rows themselves.
+    def pending_files(self, consumer: VersionedTable) -> list[str]:
+        """Committed source files no commit of ``consumer`` has recorded (file names only)."""
+        consumer.refresh()
+        done = set()
+        for commit in consumer.history():
+            done.update(_norm(f) for f in json.loads((commit.get("meta") or {}).get(CONSUMED_FILES, "[]")))
+        try:
+            files = self.spark.read.schema(self.schema).parquet(self.source_path).inputFiles()
+        except Exception as e:  # noqa: BLE001 - nothing loaded yet
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e):
+                return []
+            raise
+        return sorted(f for f in files if _norm(f) not in done)
+
+    def pending(self, consumer: VersionedTable) -> DataFrame:
+        """Rows waiting for ``consumer``; a plain read, the offset does not move.
+
+        Only the waiting files are scanned, however large the table is.
         """
-        done = consumed.select(CHANGE_FILE).distinct()
-        return self.table().join(done, CHANGE_FILE, "left_anti")
+        files = self.pending_files(consumer)
+        if not files:
+            return self.table().limit(0)
+        return (self.spark.read.schema(self.schema).parquet(*files)
+                .select("*", F.col("_metadata.file_path").alias(CHANGE_FILE)))
+
+    def has_data(self, consumer: VersionedTable) -> bool:
+        """G4 (``SYSTEM$STREAM_HAS_DATA``): is anything waiting?  Compares file lists only."""
+        return bool(self.pending_files(consumer))
+
+
+CONSUMED_FILES = "consumed_files"
+
+
+def _norm(path: str) -> str:
+    # file:/x and file:///x name the same file
+    u = urlparse(path)
+    return f"{u.scheme}://{u.netloc}{u.path}"
+
 
-    def has_data(self, consumed: DataFrame) -> bool:
-        """G4 (``SYSTEM$STREAM_HAS_DATA``): is anything waiting?  Stops at the first row."""
-        return len(self.pending(consumed).limit(1).collect()) > 0
+def _batch_meta(batch: DataFrame, batch_id: int) -> dict:
+    # The files of one micro-batch: bounded by maxFilesPerTrigger.
+    files = [r[0] for r in batch.select(CHANGE_FILE).distinct().collect()]
+    return {"stream_batch": batch_id, CONSUMED_FILES: json.dumps(sorted(files))}
 
 
 def _already_applied(target: VersionedTable, batch_id: int) -> bool:
