@@ -11,7 +11,9 @@ from tierflow.plans import models as M
 from tierflow.plans.data_tests import model_checks
 from tierflow.plans.oracle import AS_OF, with_models
 from tierflow.plans.registry import register
+from tierflow.session import stage
 from tierflow.sources.fixtures import raw_pedidos
+from tierflow.sources.tables import read_table
 
 
 @register("dq_not_null", with_models("bronze_pedidos") + """
@@ -67,10 +69,17 @@ def q_row_count(spark, sf):
 
 
 def _report_models(spark, sf):
-    stg_c = Q.stg_c(spark, sf)
-    stg_p = Q.stg_p(spark, sf)
+    """The checked models, each computed once.
+
+    Every check part is its own aggregate over a model; left lazy, each part
+    would recompute the silver windows (the parts' plans differ, so no
+    exchange is reused).  Silver and the fact table are written once to the
+    shared work folder; dim and mart are a projection / aggregate of those.
+    """
+    stg_c = stage(Q.stg_c(spark, sf), "stg_clientes")
+    stg_p = stage(Q.stg_p(spark, sf), "stg_pedidos")
     dim = M.dim_clientes(stg_c, AS_OF)
-    fct = M.fct_pedidos(stg_p, dim)
+    fct = stage(M.fct_pedidos(stg_p, dim, size_proof=read_table(spark, sf, "customer")), "fct_pedidos")
     return {"stg_clientes": stg_c, "stg_pedidos": stg_p, "dim_clientes": dim,
             "fct_pedidos": fct, "mart_ventas_por_ciudad": M.mart_ventas_por_ciudad(fct)}
 
