@@ -159,8 +159,12 @@ class VersionedTable:
         if self.key is None:
             df.write.mode("errorifexists").parquet(folder)
             return [(folder, None)]
-        df.withColumn(BUCKET, bucket_of(self.key, self.buckets)) \
-          .write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
+        # Shuffle on the bucket first: each bucket's rows are written by one task,
+        # so a write makes about one file per bucket, not one per (task, bucket).
+        # Keys are unique in a keyed table, so buckets are even in size.
+        (df.withColumn(BUCKET, bucket_of(self.key, self.buckets))
+           .repartition(F.col(BUCKET))
+           .write.mode("errorifexists").partitionBy(BUCKET).parquet(folder))
         if known_buckets is not None:
             return [(f"{folder}/{BUCKET}={b}", int(b)) for b in sorted(known_buckets)]
         try:

@@ -135,7 +135,7 @@ class ChangeStream:
                 .select("*", F.col("_metadata.file_path").alias(CHANGE_FILE)))
 
     def has_data(self, consumer: VersionedTable) -> bool:
-        """G4 (``SYSTEM$STREAM_HAS_DATA``): is anything waiting?  Compares file lists only."""
+        """G4, the run-only-if-data gate: is anything waiting?  Compares file lists only."""
         return bool(self.pending_files(consumer))
 
 
