@@ -25,11 +25,19 @@ def customer_changes(spark, sf):
                           size_proof=read_table(spark, sf, "customer")).select(*HISTORY_COLUMNS)
 
 
-def fold_history(spark, sf) -> Scd2Table:
-    """Run the snapshot once per load time: each run sees each key's newest row so far."""
+MAX_RUNS = 10_000
+
+
+def fold_history(spark, sf, max_runs: int = MAX_RUNS) -> Scd2Table:
+    """Run the snapshot once per load time: each run sees each key's newest row so far.
+
+    A load stamps one time on all its rows, so the distinct load times are
+    one per load (bounded by ``max_runs``; more is refused, never truncated).
+    """
     changes = stage(customer_changes(spark, sf), "customer-changes")
-    # Distinct load times: one per load, not per row.
-    loads = sorted(r[0] for r in changes.select("_inserted_at").distinct().collect())
+    loads = sorted(r[0] for r in changes.select("_inserted_at").distinct().limit(max_runs + 1).collect())
+    if len(loads) > max_runs:
+        raise ValueError(f"more than {max_runs} distinct load times: not one time per load")
     table = Scd2Table(spark, work_dir(spark, "clientes_snapshot"), "cliente_id", "_inserted_at")
     for t in loads:
         table.apply(state_as_of(changes, "cliente_id", "_inserted_at", t, ["-_inserted_at"]))
