@@ -56,3 +56,18 @@ def test_asof_join_uses_an_equi_join(spark):
     assert set(rows(out, "cliente_id", "ciudad")) == {(1, None), (1, "B"), (3, "Y")}
     plan = plan_text(out)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_check_strategy_ignores_reloads_of_unchanged_values(spark):
+    ch = spark.createDataFrame([(1, "A", D[0]), (1, "A", D[1]), (1, "B", D[2]), (2, None, D[0]), (2, None, D[1])],
+                               SCHEMA)
+    loads = sorted({r[0] for r in ch.select("_inserted_at").collect()})
+    by_ts = Scd2Table(spark, work_dir(spark, "hist"), "cliente_id")
+    by_check = Scd2Table(spark, work_dir(spark, "hist"), "cliente_id", check_cols=["ciudad"])
+    for at in loads:
+        snap = state_as_of(ch, "cliente_id", "_inserted_at", at, ["-_inserted_at"])
+        by_ts.apply(snap)
+        by_check.apply(snap)
+    assert by_ts.history().count() == 5
+    assert set(rows(by_check.history(), "cliente_id", "ciudad", "valid_from", "valid_to")) == {
+        (1, "A", D[0], D[2]), (1, "B", D[2], None), (2, None, D[0], None)}

@@ -7,14 +7,19 @@ key over ``keys + snapshot`` rows), adds the versions it closes and rewrites
 the open set.  Closed history is never re-read or rewritten, so a run costs
 the number of keys, not the length of the history.
 
-Timestamp strategy: a source row opens a new version when its key has no
-open row, or when its ``updated_at`` is later than the open row's
-``valid_from``; the old row is then closed at ``updated_at``.  Keys missing
-from the snapshot stay open (no hard-delete tracking).
+Timestamp strategy (default): a source row opens a new version when its key
+has no open row, or when its ``updated_at`` is later than the open row's
+``valid_from``; the old row is then closed at ``updated_at``.  Check
+strategy (``check_cols``): a later row opens a new version only when one of
+the tracked columns differs (NULL-safe), so a reload of unchanged values
+keeps the open version.  Keys missing from the snapshot stay open (no
+hard-delete tracking).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +50,12 @@ class Scd2Table:
     successful run finds nothing newer and changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str = "_inserted_at"):
+    def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str = "_inserted_at",
+                 check_cols: list[str] | None = None):
         self.spark = spark
         self.key = key
         self.updated_at = updated_at
+        self.check_cols = list(check_cols) if check_cols else None
         self.table = VersionedTable(spark, root)
 
     def _open_path(self, version=None) -> str | None:
@@ -68,6 +75,9 @@ class Scd2Table:
             j = cur.join(n, cur[k] == n[f"n_{k}"], "full_outer")
             has_cur, has_new = F.col(k).isNotNull(), F.col(f"n_{k}").isNotNull()
             newer = has_cur & has_new & (F.col(f"n_{VALID_FROM}") > F.col(VALID_FROM))
+            if self.check_cols:
+                same = [F.col(f"n_{c}").eqNullSafe(F.col(c)) for c in self.check_cols]
+                newer = newer & ~reduce(lambda a, b: a & b, same)
             take_new = (~has_cur & has_new) | newer
             open_v = F.struct(*[F.when(take_new, F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in cols],
                               F.lit("open").alias("_part"))

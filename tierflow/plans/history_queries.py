@@ -84,3 +84,31 @@ def q_asof(spark, sf):
     hist = fold_history(spark, sf).history().select("cliente_id", "ciudad", "valid_from", "valid_to")
     out = asof_join(probes, hist.withColumnRenamed("cliente_id", "o_custkey"), "o_custkey", "probe_ts")
     return out.select("o_orderkey", "o_custkey", "probe_ts", "ciudad", "valid_from")
+
+
+_ORDER_VERSION_COLS = ("pedido_id", "cliente_id", "estado", "precio_unitario", "cantidad", "_inserted_at")
+
+
+@register("scd2_check_strategy", with_models("bronze_pedidos") + """
+, src as (select pedido_id, cliente_id, estado, precio_unitario, cantidad, _inserted_at from bronze_pedidos)
+, marked as (
+  select *, row_number() over w as rn, lag(estado) over w as prev_estado, lag(precio_unitario) over w as prev_precio
+  from src window w as (partition by pedido_id order by _inserted_at))
+, starts as (
+  select * from marked
+  where rn = 1 or prev_estado is distinct from estado or prev_precio is distinct from precio_unitario)
+select pedido_id, cliente_id, estado, precio_unitario, cantidad, _inserted_at as valid_from,
+       lead(_inserted_at) over (partition by pedido_id order by _inserted_at) as valid_to,
+       sha256(cast(pedido_id as varchar) || '|' || cast(_inserted_at as varchar)) as version_hash
+from starts""")
+def q_scd2_check(spark, sf):
+    """Order history tracking (status, price); a reload with a new quantity opens no version."""
+    changes = stage(Q.bronze_p(spark, sf).select(*_ORDER_VERSION_COLS), "order-changes")
+    loads = sorted(r[0] for r in changes.select("_inserted_at").distinct().limit(MAX_RUNS + 1).collect())
+    if len(loads) > MAX_RUNS:
+        raise ValueError(f"more than {MAX_RUNS} distinct load times")
+    table = Scd2Table(spark, work_dir(spark, "pedidos_snapshot"), "pedido_id", "_inserted_at",
+                      check_cols=["estado", "precio_unitario"])
+    for t in loads:
+        table.apply(state_as_of(changes, "pedido_id", "_inserted_at", t, ["-_inserted_at"]))
+    return table.history()
