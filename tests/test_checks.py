@@ -47,3 +47,19 @@ def test_quality_profile_counts_classes(spark):
     assert p[1]["corrupt_quantity"] == 1 and p[1]["null_price"] == 1 and p[1]["future_date"] == 1
     assert p[1]["bad_date_format"] == 1 and p[1]["untrimmed_product"] == 1 and p[1]["non_positive_price"] == 1
     assert p[2]["total_rows"] == 1 and p[2]["corrupt_quantity"] == 0
+    assert p[1]["copies_new_id"] == 0
+
+
+def test_quality_profile_copies_and_orphans(spark):
+    cols = "id long, cliente_id long, producto string, cantidad string, precio_unitario string, " \
+           "fecha_pedido string, _batch_id int"
+    raw = spark.createDataFrame([
+        (1, 7, "x", "2", None, "2024-01-01", 1), (2, 7, "x", "2", None, "2024-01-01", 1),
+        (3, 7, "x", "2", None, "2024-01-01", 1), (4, 99, "y", "1", "1.00", "2024-01-01", 1),
+        (5, None, "y", "1", "1.00", "2024-01-01", 2),
+    ], cols)
+    customers = spark.createDataFrame([(7,)], "id long")
+    p = {r["_batch_id"]: r.asDict() for r in
+         C.batch_quality_profile(raw, "2025-01-01", customers=customers).collect()}
+    assert (p[1]["copies_new_id"], p[1]["orphan_customer"]) == (2, 1)   # NULL key is not an orphan
+    assert (p[2]["copies_new_id"], p[2]["orphan_customer"]) == (0, 0)

@@ -151,17 +151,29 @@ def enforce(report_rows) -> None:
 
 # --- E7: per-batch quality profile ------------------------------------------------------------
 
-def batch_quality_profile(raw_orders: DataFrame, as_of_date) -> DataFrame:
+def batch_quality_profile(raw_orders: DataFrame, as_of_date, customers: DataFrame | None = None,
+                          id_col: str = "id", customer_key: str = "cliente_id",
+                          customer_id: str = "id") -> DataFrame:
     """Rows per dirt class and batch, counted with conditional aggregates.
 
-    One hash aggregate over the raw table; a batch holding most of the rows is
-    pre-aggregated per map task, so the group key's skew does not matter.
+    One hash aggregate over the raw table gives the value classes; a batch
+    holding most of the rows is pre-aggregated per map task, so the group
+    key's skew does not matter.  Two classes need a second pass:
+
+    * ``copies_new_id``: extra rows equal on every column but the id (a copy
+      inserted under a fresh id, which key dedup cannot remove).  A group by
+      all content columns, combined map-side, so a hot copy group costs one
+      partial count per task.
+    * ``orphan_customer`` (when ``customers`` is given): rows whose customer
+      key has no customer row, by a left anti join.
+
+    Both reduce to one row per batch before being joined to the profile.
     """
     from tierflow.functions.scalar import as_of, safe_date, safe_decimal, safe_int
     qty = safe_int("cantidad")
     price = safe_decimal("precio_unitario")
     day = safe_date("fecha_pedido")
-    return raw_orders.groupBy("_batch_id").agg(
+    out = raw_orders.groupBy("_batch_id").agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col("precio_unitario").isNull()).alias("null_price"),
         F.count_if(F.col("cantidad").isNotNull() & qty.isNull()).alias("corrupt_quantity"),
@@ -171,3 +183,16 @@ def batch_quality_profile(raw_orders: DataFrame, as_of_date) -> DataFrame:
         F.count_if(day > as_of(as_of_date)).alias("future_date"),
         F.count_if(F.col("producto") != F.trim("producto")).alias("untrimmed_product"),
     )
+    content = [c for c in raw_orders.columns if c != id_col]
+    copies = (raw_orders.groupBy(*content).agg(F.count(F.lit(1)).alias("_n"))
+              .filter(F.col("_n") > 1)
+              .groupBy("_batch_id").agg(F.sum(F.col("_n") - 1).alias("copies_new_id")))
+    extra = [("copies_new_id", copies)]
+    if customers is not None:
+        orph = (orphans(raw_orders, customers, customer_key, customer_id)
+                .groupBy("_batch_id").agg(F.count(F.lit(1)).alias("orphan_customer")))
+        extra.append(("orphan_customer", orph))
+    for name, part in extra:
+        out = (out.join(part, "_batch_id", "left")
+                  .withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("bigint")))
+    return out

@@ -12,7 +12,7 @@ from tierflow.plans.data_tests import model_checks
 from tierflow.plans.oracle import AS_OF, with_models
 from tierflow.plans.registry import register
 from tierflow.session import stage
-from tierflow.sources.fixtures import raw_pedidos
+from tierflow.sources.fixtures import raw_clientes, raw_pedidos
 from tierflow.sources.tables import read_table
 
 
@@ -122,7 +122,8 @@ def q_report(spark, sf):
     return C.run_checks(_report_models(spark, sf), model_checks(AS_OF))
 
 
-@register("batch_quality_profile", with_models("raw_pedidos") + f"""
+@register("batch_quality_profile", with_models("raw_pedidos", "raw_clientes") + f"""
+, profile as (
 select _batch_id, count(*) as total_rows,
   count(*) filter (where precio_unitario is null) as null_price,
   count(*) filter (where cantidad is not null and try_cast(cantidad as int) is null) as corrupt_quantity,
@@ -131,6 +132,19 @@ select _batch_id, count(*) as total_rows,
   count(*) filter (where fecha_pedido is not null and try_cast(fecha_pedido as date) is null) as bad_date_format,
   count(*) filter (where try_cast(fecha_pedido as date) > date '{AS_OF}') as future_date,
   count(*) filter (where producto <> trim(producto)) as untrimmed_product
-from raw_pedidos group by _batch_id""")
+from raw_pedidos group by _batch_id)
+, copies as (
+select _batch_id, sum(n - 1) as copies_new_id from (
+  select _batch_id, count(*) as n from raw_pedidos
+  group by cliente_id, producto, cantidad, precio_unitario, fecha_pedido, estado, _batch_id, atributos_extra,
+           _inserted_at) g
+where n > 1 group by _batch_id)
+, orphans as (
+select _batch_id, count(*) as orphan_customer from raw_pedidos p
+where cliente_id is not null and not exists (select 1 from raw_clientes c where c.id = p.cliente_id)
+group by _batch_id)
+select p.*, cast(coalesce(c.copies_new_id, 0) as bigint) as copies_new_id,
+       cast(coalesce(o.orphan_customer, 0) as bigint) as orphan_customer
+from profile p left join copies c using (_batch_id) left join orphans o using (_batch_id)""")
 def q_profile(spark, sf):
-    return C.batch_quality_profile(raw_pedidos(spark, sf), AS_OF)
+    return C.batch_quality_profile(raw_pedidos(spark, sf), AS_OF, customers=raw_clientes(spark, sf))

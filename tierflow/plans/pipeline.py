@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierflow.operators.checks import enforce, run_checks
+from tierflow.operators.checks import CheckFailed, duplicate_keys, enforce, run_checks
 from tierflow.operators.scd2 import Scd2Table
 from tierflow.plans import models as M
 from tierflow.plans.data_tests import model_checks
@@ -75,6 +75,10 @@ def run_pipeline(spark: SparkSession, sf_dir: str, base: str, env: str = "dev",
     tables["dim_clientes"] = table("gold", "dim_clientes")
     dim = build(tables["dim_clientes"], M.dim_clientes(stg_c, as_of_date))
     tables["fct_pedidos"] = table("gold", "fct_pedidos")
+    # Email dedup does not make the customer id unique: gate the join on it, or
+    # duplicate dimension rows would multiply orders in the fact table.
+    if duplicate_keys(dim, "cliente_id").limit(1).count():
+        raise CheckFailed("dim_clientes.cliente_id is not unique; fact join not built")
     fct = build(tables["fct_pedidos"], M.fct_pedidos(stg_p, dim))
     tables["mart_ventas_por_ciudad"] = table("gold", "mart_ventas_por_ciudad")
     mart = build(tables["mart_ventas_por_ciudad"], M.mart_ventas_por_ciudad(fct))
