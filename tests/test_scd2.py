@@ -45,6 +45,10 @@ def test_rerun_same_snapshot_changes_nothing(spark):
     t.apply(state_as_of(ch, "cliente_id", "_inserted_at", D[4], ["-_inserted_at"]))
     assert rows(t.history()) == before
     assert t.history(version=0).count() == 2  # first run saw keys 1 and 2
+    t.compact()
+    assert rows(t.history()) == before and len(t.table.history()[-1]["entries"]) == 2
+    t.apply(spark.createDataFrame([(2, "Z", D[4])], SCHEMA))  # runs continue after compaction
+    assert rows(t.history().filter("valid_to is null and cliente_id = 2"), "ciudad") == [("Z",)]
 
 
 def test_asof_join_uses_an_equi_join(spark):

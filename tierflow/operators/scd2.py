@@ -108,6 +108,22 @@ class Scd2Table:
     def history(self, version=None) -> DataFrame:
         return self.table.read(version)
 
+    def compact(self) -> int:
+        """Rewrite the closed versions (one folder per run so far) into one folder.
+
+        The open folder is kept as is; old commits stay readable.
+        """
+        open_path = self._open_path()
+        closed = [e["path"] for e in self.table._commit_row()["entries"] if e["path"] != open_path]
+        if len(closed) <= 1:
+            return self.table.version()
+        import uuid
+        folder = f"{self.table.root}/data/compact-{uuid.uuid4().hex[:10]}"
+        schema = self.table.schema()
+        self.spark.read.schema(schema).parquet(*closed).write.mode("errorifexists").parquet(folder)
+        return self.table._commit("compact", [(folder, None), (open_path, None)], schema,
+                                  {"open_path": open_path})
+
 
 def history_from_changes(changes: DataFrame, key: str, updated_at: str) -> DataFrame:
     """One-shot history from a full change log: ``valid_to = lead(updated_at)``.
