@@ -74,3 +74,17 @@ def test_failed_batch_is_applied_exactly_once(spark, stage):
     assert rows(target.read(), "id", "producto") == [(1, "Laptop"), (2, "Mouse")]
     assert target.version() == 0        # one merge commit in total, whatever the failure point
     assert rows(target.read().groupBy("id").count().filter(F.col("count") > 1)) == []
+
+
+def test_pipe_can_archive_loaded_files(spark):
+    root = work_dir(spark, "pipe-archive")
+    pipe = FilePipe(spark, f"{root}/landing", f"{root}/table", f"{root}/ck", archive_dir=f"{root}/archive")
+    write_landing(_rows(spark, [1, 2]), pipe.landing_root, 1)
+    assert pipe.run() == 2
+    write_landing(_rows(spark, [3]), pipe.landing_root, 2)
+    assert pipe.run() == 1
+    assert rows(pipe.table(), "id") == [(1,), (2,), (3,)]
+    # the first delivery was moved away (kept under the archive with its original path)
+    archived = spark.read.schema(PEDIDOS_CSV_SCHEMA).option("header", True) \
+        .option("recursiveFileLookup", True).csv(f"{root}/archive")
+    assert rows(archived, "id") == [(1,), (2,)]

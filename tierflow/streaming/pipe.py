@@ -80,18 +80,24 @@ class FilePipe:
     """A4: continuous load of landed CSV files into a Parquet table, each file once."""
 
     def __init__(self, spark: SparkSession, landing_root: str, target: str, checkpoint: str,
-                 schema: T.StructType = PEDIDOS_CSV_SCHEMA, max_files_per_trigger: int = 1000):
+                 schema: T.StructType = PEDIDOS_CSV_SCHEMA, max_files_per_trigger: int = 1000,
+                 archive_dir: str | None = None):
+        """``archive_dir``: move each loaded file there (Spark's ``cleanSource``), so
+        the landing folder the source lists every trigger holds only new files."""
         self.spark = spark
         self.landing_root = landing_root
         self.target = target
         self.checkpoint = checkpoint
         self.schema = schema
         self.max_files_per_trigger = max_files_per_trigger
+        self.archive_dir = archive_dir
 
     def source(self) -> DataFrame:
-        return (self.spark.readStream.schema(self.schema).options(**_CSV_OPTIONS)
-                .option("maxFilesPerTrigger", self.max_files_per_trigger)
-                .csv(_landing_glob(self.landing_root))
+        reader = (self.spark.readStream.schema(self.schema).options(**_CSV_OPTIONS)
+                  .option("maxFilesPerTrigger", self.max_files_per_trigger))
+        if self.archive_dir:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", self.archive_dir)
+        return (reader.csv(_landing_glob(self.landing_root))
                 .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
 
     def run(self) -> int:
