@@ -39,17 +39,30 @@ def test_merge_rejects_duplicate_batch_keys(spark):
     assert t.version() == 0  # nothing committed
 
 
-def test_merge_rewrites_only_touched_buckets(spark):
+def _files(t):
+    return {e["path"] for e in t.history()[-1]["entries"]}
+
+
+def test_merge_rewrites_only_files_holding_updated_keys(spark):
     t = _t(spark, buckets=8)
     merge_upsert(t, spark.range(200).select(F.col("id"), F.lit("a").alias("v"), F.lit(D[0]).alias("ts")))
-    before = {e["bucket"]: e["path"] for e in t.history()[-1]["entries"]}
+    before = _files(t)
+    assert len(before) == 8                                     # one file per bucket
     merge_upsert(t, spark.createDataFrame([(7, "z", D[1])], SCHEMA))
-    after = {e["bucket"]: e["path"] for e in t.history()[-1]["entries"]}
-    changed = [b for b in after if after[b] != before.get(b)]
-    assert len(changed) == 1
+    after = _files(t)
+    assert len(before - after) == 1 and len(after - before) == 1  # one file rewritten, nothing else
     assert t.read().count() == 200 and t.read().filter("id = 7").first()["v"] == "z"
 
 
+def test_insert_only_merge_rewrites_nothing(spark):
+    t = _t(spark, buckets=8)
+    merge_upsert(t, spark.range(100).select(F.col("id"), F.lit("a").alias("v"), F.lit(D[0]).alias("ts")))
+    before = _files(t)
+    merge_upsert(t, spark.range(100, 150).select(F.col("id"), F.lit("b").alias("v"), F.lit(D[1]).alias("ts")))
+    assert before <= _files(t)                                  # every old file carried forward
+    assert t.read().count() == 150 and t.read().select("id").distinct().count() == 150
+
+
 def test_high_water_mark_is_strict_and_lookback_rereads(spark):
     t = _t(spark)
     src = spark.createDataFrame([(1, "a", D[1]), (2, "b", D[2])], SCHEMA)

@@ -1,8 +1,8 @@
 """Keyed incremental merge, high-water mark and in-place repair.
 
-``merge_upsert`` = "update rows whose key is in the batch, insert the rest":
-``target(touched buckets) LEFT ANTI batch UNION batch``, written as a new
-table version.  Only buckets that hold a batch key are read and rewritten.
+``merge_upsert`` = "update rows whose key is in the batch, insert the rest",
+written as a new table version: only the files holding an updated key are
+rewritten (``file LEFT ANTI batch``), and the batch is added as new files.
 The batch is staged once as Parquet in the shared checkpoint folder so that the
 duplicate-key check, the bucket list and the write all read the same,
 lineage-free data (and a lost executor recomputes nothing upstream).
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tierflow.operators.dedup import latest_per_key
 from tierflow.session import stage
-from tierflow.sources.versioned import BUCKET, VersionedTable, bucket_of
+from tierflow.sources.versioned import BUCKET, VersionedTable, bucket_of, norm_path
 
 
 class DuplicateKeyError(ValueError):
@@ -57,11 +57,21 @@ def merge_upsert(table: VersionedTable, batch: DataFrame, meta: dict | None = No
                  check_unique: bool = True, touched: list[int] | None = None) -> int:
     """Upsert ``batch`` into ``table`` by its key; returns the new version.
 
+    Copy-on-write at file granularity:
+
+    1. the key column of the buckets the batch touches (a columnar scan,
+       with each row's file) is semi-joined with the batch keys, giving the
+       files that hold a key being updated (one row per file);
+    2. only those files are rewritten, minus the updated keys;
+    3. the batch is written as new files.
+
+    An insert-only batch (e.g. new, increasing order ids) rewrites nothing.
     ``touched`` (the batch's buckets) may be passed by a caller that already
-    aggregated the batch; the batch must then be checkpointed already.
-    Replaying the same batch yields the same table (idempotent by key).
+    aggregated the batch; the batch must then be staged already.  Replaying
+    the same batch yields the same table (idempotent by key).
     """
     key = table.key
+    keys = [key] if isinstance(key, str) else list(key)
     if not table.exists():
         if check_unique:
             assert_unique_keys(batch, key)
@@ -73,12 +83,21 @@ def merge_upsert(table: VersionedTable, batch: DataFrame, meta: dict | None = No
     if check_unique:
         assert_unique_keys(batch, key)
     if not touched:
-        return table.replace_buckets(batch, [], meta)
-    current = table.read(buckets=touched)
-    keys = [key] if isinstance(key, str) else list(key)
-    kept = current.join(batch.select(*keys), keys, "left_anti")
-    # Every touched bucket holds at least one batch row, so all are present.
-    return table.replace_buckets(kept.unionByName(batch), touched, meta, all_present=True)
+        return table.replace_files(batch, [], meta)
+    batch_keys = batch.select(*keys)
+    candidate_files = table.files(buckets=touched)
+    hit: list[str] = []
+    if candidate_files:
+        candidates = (table.spark.read.schema(table.schema()).parquet(*candidate_files)
+                      .select(*keys, F.col("_metadata.file_path").alias("_file")))
+        hit_files = {norm_path(r[0]) for r in
+                     candidates.join(batch_keys, keys, "left_semi").select("_file").distinct().collect()}
+        hit = [p for p in candidate_files if norm_path(p) in hit_files]
+    if hit:
+        kept = (table.spark.read.schema(table.schema()).parquet(*hit)
+                .join(batch_keys, keys, "left_anti"))
+        return table.replace_files(kept.unionByName(batch), hit, meta)
+    return table.replace_files(batch, [], meta)
 
 
 def incremental_run(table: VersionedTable, source: DataFrame, ts_col: str, order_by,

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import re
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,12 @@ BUCKET = "_bucket"
 _BUCKET_DIR = re.compile(r"/_bucket=(\d+)/")
 
 
+def norm_path(path: str) -> str:
+    """One spelling per file: ``file:/x``, ``file:///x`` and URL-escaped forms agree."""
+    u = urlparse(unquote(path))
+    return f"{u.scheme}://{u.netloc}{u.path}"
+
+
 def bucket_of(key_cols, buckets: int):
     cols = [F.col(k) for k in ([key_cols] if isinstance(key_cols, str) else key_cols)]
     return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
@@ -148,11 +155,11 @@ class VersionedTable:
 
     # --- write -----------------------------------------------------------------------------
 
-    def _write_data(self, df: DataFrame, tag: str, known_buckets=None) -> list[tuple[str, int | None]]:
-        """Write ``df`` to a fresh folder; return its entries (one per bucket if keyed).
+    def _write_data(self, df: DataFrame, tag: str) -> list[tuple[str, int | None]]:
+        """Write ``df`` to a fresh folder; return its entries.
 
-        ``known_buckets``: the caller knows every one of these buckets is non-empty
-        and no other is present, so the folder need not be listed.
+        Unkeyed: one entry, the folder.  Keyed: one entry per data file with its
+        bucket, so a merge can later replace single files.
         """
         import uuid
         folder = f"{self.root}/data/{tag}-{uuid.uuid4().hex[:10]}"
@@ -165,18 +172,15 @@ class VersionedTable:
         (df.withColumn(BUCKET, bucket_of(self.key, self.buckets))
            .repartition(F.col(BUCKET))
            .write.mode("errorifexists").partitionBy(BUCKET).parquet(folder))
-        if known_buckets is not None:
-            return [(f"{folder}/{BUCKET}={b}", int(b)) for b in sorted(known_buckets)]
         try:
-            # The bucket folders written, from the file listing (no data is read).
-            files = self.spark.read.parquet(folder).inputFiles()
+            # The files written, from the file listing (no data is read).
+            files = self.spark.read.schema(df.schema).parquet(folder).inputFiles()
         except Exception as e:  # noqa: BLE001 - an empty write creates no bucket folder
             if "UNABLE_TO_INFER_SCHEMA" in str(e) or "PATH_NOT_FOUND" in str(e):
                 files = []
             else:
                 raise
-        present = {int(m.group(1)) for m in (_BUCKET_DIR.search(f) for f in files) if m}
-        return [(f"{folder}/{BUCKET}={b}", b) for b in sorted(present)]
+        return [(f, int(_BUCKET_DIR.search(f).group(1))) for f in sorted(files)]
 
     def overwrite(self, df: DataFrame, meta: dict | None = None, operation: str = "overwrite") -> int:
         """Full refresh: the new version is exactly ``df``."""
@@ -199,14 +203,26 @@ class VersionedTable:
         entries = self._write_data(self.read(), "compact")
         return self._commit("compact", entries, self.schema(), self.meta())
 
-    def replace_buckets(self, df: DataFrame, buckets: list[int], meta: dict | None = None,
-                        operation: str = "merge", all_present: bool = False) -> int:
-        """New version = old buckets not in ``buckets`` + ``df`` (which covers them)."""
-        if self.key is None:
-            raise ValueError("replace_buckets needs a keyed table")
+    def files(self, buckets=None, version=None) -> list[str]:
+        """Entry paths of a version (only those of ``buckets`` if given)."""
+        r = self._commit_row(version)
+        entries = (r["entries"] or []) if r else []
+        return [e["path"] for e in entries
+                if buckets is None or e["bucket"] is None or e["bucket"] in set(buckets)]
+
+    def replace_files(self, df: DataFrame, drop: list[str], meta: dict | None = None,
+                      operation: str = "merge") -> int:
+        """New version = current entries except the files in ``drop``, plus ``df``.
+
+        Every dropped path must be a current entry (paths compared after URI
+        normalisation); otherwise nothing is committed, because keeping a
+        stale file next to its rewrite would duplicate rows.
+        """
         prev = self._commit_row()
-        drop = set(buckets)
-        old = [(e["path"], e["bucket"]) for e in (prev["entries"] if prev else [])
-               if e["bucket"] not in drop]
-        entries = self._write_data(df, "merge", buckets if all_present else None)
-        return self._commit(operation, old + entries, df.schema, meta)
+        entries = (prev["entries"] or []) if prev else []
+        gone = {norm_path(p) for p in drop}
+        old = [(e["path"], e["bucket"]) for e in entries if norm_path(e["path"]) not in gone]
+        if len(entries) - len(old) != len(gone):
+            raise RuntimeError(f"{len(gone)} files to replace, {len(entries) - len(old)} found in the table")
+        new = self._write_data(df, operation)
+        return self._commit(operation, old + new, df.schema, meta)
