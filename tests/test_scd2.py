@@ -46,7 +46,11 @@ def test_rerun_same_snapshot_changes_nothing(spark):
     assert rows(t.history()) == before
     assert t.history(version=0).count() == 2  # first run saw keys 1 and 2
     t.compact()
-    assert rows(t.history()) == before and len(t.table.history()[-1]["entries"]) == 2
+    entries = t.table.history()[-1]["entries"]
+    assert rows(t.history()) == before
+    assert sum(e["bucket"] is None for e in entries) == 1                      # one closed folder
+    buckets = [e["bucket"] for e in entries if e["bucket"] is not None]
+    assert len(buckets) == len(set(buckets))                                   # one open file per bucket
     t.apply(spark.createDataFrame([(2, "Z", D[4])], SCHEMA))  # runs continue after compaction
     assert rows(t.history().filter("valid_to is null and cliente_id = 2"), "ciudad") == [("Z",)]
 
@@ -62,6 +66,22 @@ def test_asof_join_uses_an_equi_join(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_a_run_writes_only_changed_keys(spark):
+    t = Scd2Table(spark, work_dir(spark, "hist"), "cliente_id", buckets=4)
+    t.apply(spark.range(40).select(F.col("id").alias("cliente_id"), F.lit("A").alias("ciudad"),
+                                   F.lit(D[0]).alias("_inserted_at")))
+    before = {e["path"] for e in t.table.history()[-1]["entries"]}
+    assert len(before) == 4
+    t.apply(spark.range(40).select(F.col("id").alias("cliente_id"),
+                                   F.when(F.col("id") == 5, "B").otherwise("A").alias("ciudad"),
+                                   F.when(F.col("id") == 5, F.lit(D[1])).otherwise(F.lit(D[0])).alias("_inserted_at")))
+    after = {e["path"] for e in t.table.history()[-1]["entries"]}
+    assert len(before - after) == 1          # only the open file holding key 5 was replaced
+    assert len(after - before) == 2          # its rewrite (with the new version) + one closed folder
+    h = t.history()
+    assert h.count() == 41 and h.filter("valid_to is null").count() == 40
+
+
 def test_check_strategy_ignores_reloads_of_unchanged_values(spark):
     ch = spark.createDataFrame([(1, "A", D[0]), (1, "A", D[1]), (1, "B", D[2]), (2, None, D[0]), (2, None, D[1])],
                                SCHEMA)

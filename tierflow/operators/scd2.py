@@ -23,7 +23,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.sources.versioned import VersionedTable
+from tierflow.session import stage
+from tierflow.sources.versioned import VersionedTable, norm_path
 
 VALID_FROM, VALID_TO, HASH = "valid_from", "valid_to", "version_hash"
 
@@ -41,88 +42,92 @@ def _as_versions(src: DataFrame, key: str, updated_at: str) -> DataFrame:
 
 
 class Scd2Table:
-    """History stored as one versioned table; each commit names the open part.
+    """History stored as one keyed versioned table.
 
-    A run writes one folder holding ``_part=open`` (the new open set) and
-    ``_part=closed`` (versions closed by this run), then commits once: the
-    new commit lists every closed folder so far plus the new open folder.
-    A failed run commits nothing; rerunning the same snapshot after a
-    successful run finds nothing newer and changes nothing.
+    Its entries are the *open* rows, as bucketed files (one row per key,
+    ``valid_to`` NULL), plus one folder of *closed* versions per run (no
+    bucket).  A run joins the snapshot with the open rows (one shuffle on
+    the key over ``keys + snapshot`` rows) and then writes only what changed:
+
+    * the closed versions, as a new folder;
+    * the open files that held a changed key, rewritten without it;
+    * the new open versions, as new bucketed files.
+
+    All of it is one commit: a failed run commits nothing, and rerunning the
+    same snapshot after a successful run finds nothing newer and changes
+    nothing.  Unchanged keys cost a read, never a write.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str = "_inserted_at",
-                 check_cols: list[str] | None = None):
+                 check_cols: list[str] | None = None, buckets: int = 16):
         self.spark = spark
         self.key = key
         self.updated_at = updated_at
         self.check_cols = list(check_cols) if check_cols else None
-        self.table = VersionedTable(spark, root)
+        self.table = VersionedTable(spark, root, key, buckets)
 
-    def _open_path(self, version=None) -> str | None:
-        return self.table.meta(version).get("open_path") if self.table.exists() else None
+    def _entries(self, version=None) -> list:
+        r = self.table._commit_row(version) if self.table.exists() else None
+        return (r["entries"] or []) if r else []
 
     def open_rows(self, version=None) -> DataFrame:
-        return self.spark.read.schema(self.table.schema(version)).parquet(self._open_path(version))
+        files = [e["path"] for e in self._entries(version) if e["bucket"] is not None]
+        return self.spark.read.schema(self.table.schema(version)).parquet(*files)
 
     def apply(self, snapshot: DataFrame) -> int:
         """Fold one source snapshot (at most one row per key) into the history."""
         k = self.key
         incoming = _as_versions(snapshot, k, self.updated_at)
         cols = incoming.columns
-        if self.table.exists():
-            cur = self.open_rows()
-            n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in cols])
-            j = cur.join(n, cur[k] == n[f"n_{k}"], "full_outer")
-            has_cur, has_new = F.col(k).isNotNull(), F.col(f"n_{k}").isNotNull()
-            newer = has_cur & has_new & (F.col(f"n_{VALID_FROM}") > F.col(VALID_FROM))
-            if self.check_cols:
-                same = [F.col(f"n_{c}").eqNullSafe(F.col(c)) for c in self.check_cols]
-                newer = newer & ~reduce(lambda a, b: a & b, same)
-            take_new = (~has_cur & has_new) | newer
-            open_v = F.struct(*[F.when(take_new, F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in cols],
-                              F.lit("open").alias("_part"))
-            closed_v = F.struct(*[(F.col(f"n_{VALID_FROM}") if c == VALID_TO else F.col(c)).alias(c) for c in cols],
-                                F.lit("closed").alias("_part"))
-            # One pass over the join: every key yields its open row, plus the
-            # closed old version when a newer one replaces it.
-            rows = j.select(F.explode(F.when(newer, F.array(open_v, closed_v))
-                                       .otherwise(F.array(open_v))).alias("r")).select("r.*")
-            closed_prev = [e["path"] for e in self.table._commit_row()["entries"]
-                           if e["path"] != self._open_path()]
-        else:
-            rows = incoming.withColumn("_part", F.lit("open"))
-            closed_prev = []
-        import uuid
-        folder = f"{self.table.root}/data/run-{uuid.uuid4().hex[:10]}"
-        rows.write.partitionBy("_part").parquet(folder)
-        # Which parts were written, from the file listing (no data is read).
-        parts = {p for p in ("open", "closed")
-                 if any(f"/_part={p}/" in f for f in self.spark.read.parquet(folder).inputFiles())}
-        entries = [(p, None) for p in closed_prev]
-        if "closed" in parts:
-            entries.append((f"{folder}/_part=closed", None))
-        open_path = f"{folder}/_part=open"
-        entries.append((open_path, None))
-        return self.table._commit("snapshot", entries, incoming.schema, {"open_path": open_path})
+        if not self.table.exists():
+            return self.table._commit("snapshot", self.table._write_data(incoming, "open"), incoming.schema)
+        cur = self.open_rows().select("*", F.col("_metadata.file_path").alias("_file"))
+        n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in cols])
+        j = cur.join(n, cur[k] == n[f"n_{k}"], "full_outer")
+        has_cur, has_new = F.col(k).isNotNull(), F.col(f"n_{k}").isNotNull()
+        newer = has_cur & has_new & (F.col(f"n_{VALID_FROM}") > F.col(VALID_FROM))
+        if self.check_cols:
+            same = [F.col(f"n_{c}").eqNullSafe(F.col(c)) for c in self.check_cols]
+            newer = newer & ~reduce(lambda a, b: a & b, same)
+        take_new = (~has_cur & has_new) | newer
+        # Only keys that change are kept, written once to the shared work folder.
+        changes = stage(j.filter(take_new).withColumn("_newer", newer), "scd2-changes")
+        replaced = changes.filter(F.col("_newer"))
+        hit_files = {norm_path(r[0]) for r in replaced.select("_file").distinct().collect()}
+        entries = self._entries()
+        hit = [e["path"] for e in entries if e["bucket"] is not None and norm_path(e["path"]) in hit_files]
+        new_open = changes.select(*[F.col(f"n_{c}").alias(c) for c in cols])
+        if hit:
+            kept = (self.spark.read.schema(incoming.schema).parquet(*hit)
+                    .join(replaced.select(F.col(f"n_{k}").alias(k)), k, "left_anti"))
+            new_open = kept.unionByName(new_open)
+        closed = replaced.select(*[(F.col(f"n_{VALID_FROM}") if c == VALID_TO else F.col(c)).alias(c)
+                                   for c in cols])
+        gone = {norm_path(p) for p in hit}
+        out = [(e["path"], e["bucket"]) for e in entries if norm_path(e["path"]) not in gone]
+        if hit:
+            out += self.table._write_data(closed, "closed", bucketed=False)
+        out += self.table._write_data(new_open, "open")
+        return self.table._commit("snapshot", out, incoming.schema)
 
     def history(self, version=None) -> DataFrame:
         return self.table.read(version)
 
     def compact(self) -> int:
-        """Rewrite the closed versions (one folder per run so far) into one folder.
+        """Fold the closed versions (one folder per run) into one folder and the
+        open rows (new files every run) into one file per bucket.
 
-        The open folder is kept as is; old commits stay readable.
+        Old commits stay readable.
         """
-        open_path = self._open_path()
-        closed = [e["path"] for e in self.table._commit_row()["entries"] if e["path"] != open_path]
-        if len(closed) <= 1:
-            return self.table.version()
-        import uuid
-        folder = f"{self.table.root}/data/compact-{uuid.uuid4().hex[:10]}"
+        entries = self._entries()
+        closed = [e["path"] for e in entries if e["bucket"] is None]
         schema = self.table.schema()
-        self.spark.read.schema(schema).parquet(*closed).write.mode("errorifexists").parquet(folder)
-        return self.table._commit("compact", [(folder, None), (open_path, None)], schema,
-                                  {"open_path": open_path})
+        out = []
+        if closed:
+            out += self.table._write_data(self.spark.read.schema(schema).parquet(*closed), "compact",
+                                          bucketed=False)
+        out += self.table._write_data(self.open_rows(), "compact")
+        return self.table._commit("compact", out, schema)
 
 
 def history_from_changes(changes: DataFrame, key: str, updated_at: str) -> DataFrame:

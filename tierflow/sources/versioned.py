@@ -155,15 +155,16 @@ class VersionedTable:
 
     # --- write -----------------------------------------------------------------------------
 
-    def _write_data(self, df: DataFrame, tag: str) -> list[tuple[str, int | None]]:
+    def _write_data(self, df: DataFrame, tag: str, bucketed: bool = True) -> list[tuple[str, int | None]]:
         """Write ``df`` to a fresh folder; return its entries.
 
-        Unkeyed: one entry, the folder.  Keyed: one entry per data file with its
-        bucket, so a merge can later replace single files.
+        Unkeyed (or ``bucketed=False``): one entry, the folder, bucket None.
+        Keyed: one entry per data file with its bucket, so a merge can later
+        replace single files.
         """
         import uuid
         folder = f"{self.root}/data/{tag}-{uuid.uuid4().hex[:10]}"
-        if self.key is None:
+        if self.key is None or not bucketed:
             df.write.mode("errorifexists").parquet(folder)
             return [(folder, None)]
         # Shuffle on the bucket first: each bucket's rows are written by one task,
@@ -180,7 +181,8 @@ class VersionedTable:
                 files = []
             else:
                 raise
-        return [(f, int(_BUCKET_DIR.search(f).group(1))) for f in sorted(files)]
+        # (an empty write may leave one empty file outside any bucket folder: skipped)
+        return [(f, int(m.group(1))) for f in sorted(files) if (m := _BUCKET_DIR.search(f))]
 
     def overwrite(self, df: DataFrame, meta: dict | None = None, operation: str = "overwrite") -> int:
         """Full refresh: the new version is exactly ``df``."""
