@@ -3,7 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tierflow.operators.keys import assign_surrogate_keys, next_batch_id, next_batch_value
+from tierflow.operators.keys import assign_surrogate_keys, continue_from, next_batch_id, next_batch_value
+from tierflow.sources.tables import layer_path
 
 
 def test_next_batch_id(spark):
@@ -23,3 +24,17 @@ def test_keys_unique_gap_free_in_order_under_skew(spark):
     assert tuple(got) == (20000, 20000 + n - 1, n, n)
     expected = df.withColumn("rk", F.row_number().over(Window.orderBy("k", "tie")) + 19999)
     assert out.join(expected, ["k", "tie"]).filter(F.col("sk") != F.col("rk")).count() == 0
+
+
+def test_ids_continue_across_batches(spark):
+    first = assign_surrogate_keys(spark.range(5).withColumnRenamed("id", "n"), ["n"], start=20000, name="sk")
+    nxt = continue_from(first, "sk", 20000)
+    second = assign_surrogate_keys(spark.range(5, 8).withColumnRenamed("id", "n"), ["n"], start=nxt, name="sk")
+    ids = sorted(r[0] for r in first.unionByName(second).select("sk").collect())
+    assert ids == list(range(20000, 20008))
+    assert continue_from(spark.createDataFrame([], "sk long"), "sk", 300000) == 300000
+
+
+def test_layer_namespace():
+    assert layer_path("s3://b/wh/", "prod", " silver ", "stg") == "s3://b/wh/prod/silver/stg"
+    assert layer_path("/wh", "dev", "", "t") == "/wh/dev/default/t"

@@ -33,6 +33,13 @@ def next_batch_value(df: DataFrame, col: str = "_batch_id") -> int:
     return next_batch_id(df, col).collect()[0]["next_batch_id"]
 
 
+def continue_from(existing: DataFrame, col: str, start: int) -> int:
+    """First id of the next batch: ``max(col) + 1`` of the ids already given, else ``start``
+    (a sequence ``START = start, INCREMENT = 1``).  One value reaches the driver."""
+    last = existing.agg(F.max(col).alias("m")).collect()[0]["m"]
+    return start if last is None else int(last) + 1
+
+
 def assign_surrogate_keys(df: DataFrame, order_by: Sequence, start: int = 1, name: str = "sk",
                           partitions: int | None = None) -> DataFrame:
     """Add ``name`` = ``start + rank - 1`` in ``order_by`` (a total order)."""
