@@ -116,3 +116,15 @@ def test_log_refresh_sees_other_writers_and_compaction(spark):
     v = t.compact()
     assert len(t.history()[-1]["entries"]) == 1 and t.meta()["stream_batch"] == "1"
     assert rows(t.read(), "id") == [(1,), (2,)] == rows(t.read(version=v - 1), "id")
+
+
+def test_time_literals_do_not_depend_on_the_session_zone(spark):
+    src = spark.createDataFrame([(1, "a", D[1]), (2, "b", D[2])], SCHEMA)
+    out = {}
+    for zone in ("UTC", "America/Lima", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            out[zone] = (rows(above_mark(src, "ts", D[1]), "id"), rows(state_as_of(src, "id", "ts", D[1], ["-ts"]), "id"))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out["UTC"] == out["America/Lima"] == out["Asia/Tokyo"] == ([(2,)], [(1,)])

@@ -52,6 +52,19 @@ def as_of(as_of_date=None) -> Column:
     return F.lit(as_of_date)
 
 
+def ntz_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal from a naive ``datetime``, built from text.
+
+    ``F.lit(datetime)`` makes a *zoned* timestamp from the Python process's
+    zone, which is then shifted by the session zone when compared with a
+    ``timestamp_ntz`` column; text has no zone, so the value is exact under
+    any session or system time zone.
+    """
+    if isinstance(value, _dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def days_between(start, end) -> Column:
     """Whole days from ``start`` to ``end`` as bigint."""
     return F.datediff(col_of(end), col_of(start)).cast("bigint")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.functions.scalar import ntz_literal
+
 
 def table_diff(before: DataFrame, after: DataFrame, key) -> DataFrame:
     """One row per changed key with ``_change_type`` insert / update / delete.
@@ -33,7 +35,7 @@ def table_diff(before: DataFrame, after: DataFrame, key) -> DataFrame:
 def state_as_of(history: DataFrame, key, ts_col: str, at, order_by) -> DataFrame:
     """Each key's newest row loaded at or before ``at`` (time travel on an append-only table)."""
     from tierflow.operators.dedup import latest_per_key
-    return latest_per_key(history.filter(F.col(ts_col) <= F.lit(at)), key, order_by)
+    return latest_per_key(history.filter(F.col(ts_col) <= ntz_literal(at)), key, order_by)
 
 
 def deleted_rows(old: DataFrame, current: DataFrame, key) -> DataFrame:

@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.keys import next_batch_value
 from tierflow.sources.versioned import VersionedTable
 
@@ -24,7 +25,7 @@ def stamp_batch(df: DataFrame, batch_id: int, loaded_at: _dt.datetime | Column |
     elif isinstance(loaded_at, Column):
         ts = loaded_at
     else:
-        ts = F.lit(loaded_at).cast("timestamp_ntz")
+        ts = ntz_literal(loaded_at)
     return df.withColumn("_batch_id", F.lit(batch_id).cast("int")).withColumn("_inserted_at", ts)
 
 

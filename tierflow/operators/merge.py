@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.dedup import latest_per_key
 from tierflow.session import stage
 from tierflow.sources.versioned import BUCKET, VersionedTable, bucket_of, norm_path
@@ -45,8 +46,8 @@ def above_mark(source: DataFrame, col: str, mark, lookback: _dt.timedelta | None
     Re-read rows are harmless: the merge is keyed and the newest row wins.
     """
     if lookback is None:
-        return source.filter(F.col(col) > F.lit(mark))
-    return source.filter(F.col(col) >= F.lit(mark - lookback))
+        return source.filter(F.col(col) > ntz_literal(mark))
+    return source.filter(F.col(col) >= ntz_literal(mark - lookback))
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
