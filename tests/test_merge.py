@@ -128,3 +128,17 @@ def test_time_literals_do_not_depend_on_the_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert out["UTC"] == out["America/Lima"] == out["Asia/Tokyo"] == ([(2,)], [(1,)])
+
+
+def test_time_travel_by_commit_time_and_before_a_commit(spark):
+    import time
+    t = _t(spark, key=None)
+    t.overwrite(spark.createDataFrame([(1, "a", D[0])], SCHEMA))
+    time.sleep(0.05)
+    between = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    time.sleep(0.05)
+    v1 = t.overwrite(spark.createDataFrame([(2, "b", D[1])], SCHEMA))
+    assert rows(t.read(as_of=between), "id") == [(1,)]
+    assert rows(t.read(version=t.version_before(v1)), "id") == [(1,)]
+    with pytest.raises(KeyError):
+        t.version_at(dt.datetime(2000, 1, 1))

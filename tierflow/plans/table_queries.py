@@ -120,3 +120,18 @@ where b.pedido_id is null or a.pedido_id is null or {differs}"""
 def q_table_diff(spark, sf):
     t, _ = _fold_then_delete(spark, sf)
     return table_diff(t.read(version=1), t.read(), "pedido_id")
+
+
+@register("table_at_commit_time", _BASE + _latest("_batch_id <= 2"))
+def q_table_at_commit_time(spark, sf):
+    """D7 ``AT(TIMESTAMP)``: the version current at the moment version 1 was committed."""
+    t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
+    at = _dt.datetime.fromisoformat(t.history()[1]["committed_at"])
+    return t.read(as_of=at)
+
+
+@register("table_before_commit", _BASE + _latest("_batch_id <= 3"))
+def q_table_before_commit(spark, sf):
+    """D7 ``BEFORE(STATEMENT)``: the table as it was just before the last merge."""
+    t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
+    return t.read(version=t.version_before(t.version()))

@@ -19,6 +19,7 @@ silently overwriting it.
 
 from __future__ import annotations
 
+import datetime as _dt
 import json
 import re
 from urllib.parse import unquote, urlparse
@@ -36,6 +37,7 @@ _LOG_SCHEMA = T.StructType([
     ]))),
     T.StructField("schema", T.StringType()),
     T.StructField("meta", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("committed_at", T.StringType()),
 ])
 
 BUCKET = "_bucket"
@@ -118,6 +120,7 @@ class VersionedTable:
         cur = self.version()
         v = 0 if cur is None else cur + 1
         record = {"version": v, "operation": operation,
+                  "committed_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" "),
                   "entries": [{"path": p, "bucket": b} for p, b in entries],
                   "schema": schema.json(), "meta": {k: str(x) for k, x in (meta or {}).items()}}
         # One JSON line built on the JVM side (no Python rows shipped to a worker).
@@ -136,7 +139,25 @@ class VersionedTable:
         r = self._commit_row(version)
         return T.StructType.fromJson(json.loads(r["schema"])) if r else None
 
-    def read(self, version=None, buckets=None) -> DataFrame:
+    def version_at(self, ts: _dt.datetime) -> int:
+        """D7 ``AT(TIMESTAMP)``: the last version committed at or before ``ts`` (UTC, naive)."""
+        done = [r["version"] for r in self._log_rows()
+                if r.get("committed_at") and _dt.datetime.fromisoformat(r["committed_at"]) <= ts]
+        if not done:
+            raise KeyError(f"no version of {self.root} committed by {ts}")
+        return max(done)
+
+    def version_before(self, version: int) -> int:
+        """D7 ``BEFORE(STATEMENT)``: the version a given commit replaced."""
+        older = [r["version"] for r in self._log_rows() if r["version"] < version]
+        if not older:
+            raise KeyError(f"version {version} of {self.root} has no predecessor")
+        return max(older)
+
+    def read(self, version=None, buckets=None, as_of: _dt.datetime | None = None) -> DataFrame:
+        """A version (default: the latest); ``as_of`` picks it by commit time."""
+        if as_of is not None:
+            version = self.version_at(as_of)
         r = self._commit_row(version)
         if r is None:
             raise FileNotFoundError(f"no table at {self.root}")
