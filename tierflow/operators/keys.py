@@ -58,3 +58,40 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence, start: int = 1, nam
     return (tagged.join(F.broadcast(offsets), "_pid")
                   .withColumn(name, (F.lit(start) + F.col("_off") + pos).cast("long"))
                   .drop("_pid", "_mid", "_off"))
+
+
+class IdSequence:
+    """A9 across concurrent writers: reserve a range of ids before numbering rows.
+
+    The sequence is a versioned table with no data: each reservation is one
+    commit whose record holds the next free id.  Two writers that read the
+    same state both try to commit the same version number; the commit log
+    lets only one create it, and the other re-reads and retries, so ranges
+    never overlap (``START = start, INCREMENT = 1``).
+    """
+
+    def __init__(self, spark, root: str, start: int = 1, retries: int = 20):
+        from tierflow.sources.versioned import VersionedTable
+        self.table = VersionedTable(spark, root)
+        self.start = start
+        self.retries = retries
+
+    def reserve(self, n: int) -> int:
+        """Reserve ``n`` ids; returns the first (the range is ``[first, first + n)``)."""
+        from pyspark.sql import types as T
+        for _ in range(self.retries):
+            # Optimistic: commit from the state last seen; re-read only after losing a race.
+            first = int(self.table.meta().get("next", self.start)) if self.table.exists() else self.start
+            try:
+                self.table._commit("reserve", [], T.StructType([]), {"next": first + n, "first": first})
+                return first
+            except Exception as e:  # noqa: BLE001 - another writer took this version
+                if "already exists" not in str(e).lower() and "PATH_ALREADY_EXISTS" not in str(e):
+                    raise
+                self.table.refresh()
+        raise RuntimeError(f"could not reserve ids after {self.retries} attempts")
+
+
+def assign_reserved_keys(df: DataFrame, order_by: Sequence, seq: IdSequence, name: str = "sk") -> DataFrame:
+    """Reserve exactly ``df.count()`` ids from ``seq``, then number ``df`` gap-free inside the range."""
+    return assign_surrogate_keys(df, order_by, start=seq.reserve(df.count()), name=name)
