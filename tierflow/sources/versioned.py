@@ -191,8 +191,12 @@ class VersionedTable:
         # Shuffle on the bucket first: each bucket's rows are written by one task,
         # so a write makes about one file per bucket, not one per (task, bucket).
         # Keys are unique in a keyed table, so buckets are even in size.
+        # Rows are sorted by key inside each file (the writer sorts by bucket
+        # anyway), so Parquet min/max statistics skip row groups on key lookups.
+        keys = [self.key] if isinstance(self.key, str) else list(self.key)
         (df.withColumn(BUCKET, bucket_of(self.key, self.buckets))
            .repartition(F.col(BUCKET))
+           .sortWithinPartitions(BUCKET, *keys)
            .write.mode("errorifexists").partitionBy(BUCKET).parquet(folder))
         try:
             # The files written, from the file listing (no data is read).
