@@ -1,16 +1,21 @@
 """A Parquet table with versions (A10, A12, D7): data folders + a commit log.
 
 Spark cannot ``MERGE INTO`` or overwrite a Parquet table it is reading, so a
-table version is a list of immutable data folders named in a one-row commit
-record ``_log/v=<n>``.  Writing a new version never touches old folders, which
-gives time travel (read version ``n``), recovery of deleted rows, and
-restartable jobs: a failed write leaves no commit record, so readers keep
-seeing the previous version and a rerun starts from it.
-
-Keyed tables are stored by ``_bucket = pmod(xxhash64(key), buckets)``.  A
-merge rewrites only the buckets its batch touches and carries every other
-bucket forward by reference, so the cost of an incremental run follows the
-batch, not the table.  Reads of selected buckets list only their folders.
+table version is a list of immutable data folders / files named in a one-row
+commit record ``_log/v=<n>`` (with its commit time).  Writing a new version
+never touches old files, which gives time travel (by version or commit
+time), recovery of deleted rows, and restartable jobs: a failed write leaves
+no commit record, so readers keep seeing the previous version and a rerun
+starts from it.
+
+Keyed tables are stored by ``_bucket = pmod(xxhash64(key), buckets)``, one
+file per bucket per write, sorted by key.  Entries are single files, so a
+merge replaces only the files holding an updated key and carries every
+other file forward by reference: the cost of an incremental run follows the
+batch, not the table.
+
+Each record lists the whole version (no replay of earlier records is needed
+to read it); a long history is folded back by ``compact()``.
 
 Commit records are written through Spark (so any shared file system works);
 ``errorifexists`` makes a second writer of the same version fail instead of
