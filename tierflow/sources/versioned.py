@@ -47,6 +47,11 @@ _LOG_SCHEMA = T.StructType([
 
 BUCKET = "_bucket"
 _BUCKET_DIR = re.compile(r"/_bucket=(\d+)/")
+_VERSION_DIR = re.compile(r"/_log/v=(\d+)/")
+
+
+def _missing(e: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e)
 
 
 def norm_path(path: str) -> str:
@@ -66,7 +71,8 @@ class VersionedTable:
         self.root = root.rstrip("/")
         self.key = key
         self.buckets = buckets
-        self._log_cache: list | None = None
+        self._log_cache: list | None = None   # every record, loaded only when needed
+        self._latest: dict | None = None      # the newest record (enough to read the table)
 
     # --- log -------------------------------------------------------------------------------
 
@@ -79,43 +85,63 @@ class VersionedTable:
         the whole log.
         """
         if self._log_cache is None:
+            self._latest = None
             return
         last = self._log_cache[-1]["version"] if self._log_cache else None
         self._log_cache = self._log_cache + self._read_log(after=last)
 
-    def _read_log(self, after: int | None = None) -> list:
+    def _read_log(self, after: int | None = None, only: int | None = None) -> list:
         try:
             df = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_log")
             if after is not None:
                 df = df.filter(F.col("v") > after)
+            if only is not None:
+                df = df.filter(F.col("v") == only)
             # One tiny record per commit, bounded by the number of versions read.
             rows = [r.asDict(recursive=True) for r in df.drop("v").collect()]
         except Exception as e:  # noqa: BLE001 - no log yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
+            if _missing(e):
                 rows = []
             else:
                 raise
         return sorted(rows, key=lambda r: r["version"])
 
+    def _listed_versions(self) -> list[int]:
+        """Committed version numbers, from the folder listing alone (no record is read)."""
+        try:
+            files = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/_log").inputFiles()
+        except Exception as e:  # noqa: BLE001 - no log yet
+            if _missing(e):
+                return []
+            raise
+        return sorted({int(m.group(1)) for m in (_VERSION_DIR.search(f) for f in files) if m})
+
     def _log_rows(self) -> list:
         if self._log_cache is None:
             self._log_cache = self._read_log()
         return self._log_cache
 
+    def _latest_row(self) -> dict | None:
+        """The newest record: opening a table reads one record, however long its history."""
+        if self._log_cache is not None:
+            return self._log_cache[-1] if self._log_cache else None
+        if self._latest is None:
+            versions = self._listed_versions()
+            rows = self._read_log(only=versions[-1]) if versions else []
+            self._latest = rows[-1] if rows else None
+        return self._latest
+
     def history(self) -> list:
         return self._log_rows()
 
     def version(self) -> int | None:
-        rows = self._log_rows()
-        return rows[-1]["version"] if rows else None
+        r = self._latest_row()
+        return r["version"] if r else None
 
     def _commit_row(self, version=None):
-        rows = self._log_rows()
-        if not rows:
-            return None
         if version is None:
-            return rows[-1]
-        for r in rows:
+            return self._latest_row()
+        for r in self._log_rows():
             if r["version"] == version:
                 return r
         raise KeyError(f"no version {version} in {self.root}")
@@ -131,7 +157,9 @@ class VersionedTable:
         # One JSON line built on the JVM side (no Python rows shipped to a worker).
         line = self.spark.range(1).select(F.lit(json.dumps(record)).alias("value"))
         line.coalesce(1).write.mode("errorifexists").text(f"{self.root}/_log/v={v:09d}")
-        self._log_cache = self._log_rows() + [record]
+        if self._log_cache is not None:
+            self._log_cache = self._log_cache + [record]
+        self._latest = record
         return v
 
     def meta(self, version=None) -> dict:
