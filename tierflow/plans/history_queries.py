@@ -28,6 +28,14 @@ def customer_changes(spark, sf):
 MAX_RUNS = 10_000
 
 
+def load_times(changes, ts_col: str, max_runs: int = MAX_RUNS) -> list:
+    """The distinct load times, one per load (more than ``max_runs`` is refused, never cut)."""
+    loads = sorted(r[0] for r in changes.select(ts_col).distinct().limit(max_runs + 1).collect())
+    if len(loads) > max_runs:
+        raise ValueError(f"more than {max_runs} distinct load times: not one time per load")
+    return loads
+
+
 def fold_history(spark, sf, max_runs: int = MAX_RUNS) -> Scd2Table:
     """Run the snapshot once per load time: each run sees each key's newest row so far.
 
@@ -35,9 +43,7 @@ def fold_history(spark, sf, max_runs: int = MAX_RUNS) -> Scd2Table:
     one per load (bounded by ``max_runs``; more is refused, never truncated).
     """
     changes = stage(customer_changes(spark, sf), "customer-changes")
-    loads = sorted(r[0] for r in changes.select("_inserted_at").distinct().limit(max_runs + 1).collect())
-    if len(loads) > max_runs:
-        raise ValueError(f"more than {max_runs} distinct load times: not one time per load")
+    loads = load_times(changes, "_inserted_at", max_runs)
     table = Scd2Table(spark, work_dir(spark, "clientes_snapshot"), "cliente_id", "_inserted_at")
     for t in loads:
         table.apply(state_as_of(changes, "cliente_id", "_inserted_at", t, ["-_inserted_at"]))
@@ -104,9 +110,7 @@ from starts""")
 def q_scd2_check(spark, sf):
     """Order history tracking (status, price); a reload with a new quantity opens no version."""
     changes = stage(Q.bronze_p(spark, sf).select(*_ORDER_VERSION_COLS), "order-changes")
-    loads = sorted(r[0] for r in changes.select("_inserted_at").distinct().limit(MAX_RUNS + 1).collect())
-    if len(loads) > MAX_RUNS:
-        raise ValueError(f"more than {MAX_RUNS} distinct load times")
+    loads = load_times(changes, "_inserted_at")
     table = Scd2Table(spark, work_dir(spark, "pedidos_snapshot"), "pedido_id", "_inserted_at",
                       check_cols=["estado", "precio_unitario"])
     for t in loads:

@@ -42,7 +42,8 @@ def write_landing(df: DataFrame, landing_root: str, seq: int, compression: str =
     """Deliver ``df`` as header CSV files (gzip by default) into a new folder.
 
     Each Spark task writes its own file, so a large delivery is written in
-    parallel.  ``errorifexists``: a delivery folder is never rewritten (a
+    parallel and read back in parallel: a gzip file cannot be split, so a
+    delivery should be many moderate files, never one huge ``.csv.gz``.  ``errorifexists``: a delivery folder is never rewritten (a
     rewritten file would not be re-read by the pipe anyway).
     """
     path = landing_folder(landing_root, seq)
