@@ -17,3 +17,14 @@ def test_clustered_scan_prunes_partitions(spark):
     rep = {r["scope"]: (r["partitions"], r["rows"]) for r in
            pruning_report(spark, path, F.col("ciudad") == "C1").collect()}
     assert rep == {"total": (5, 2000), "scanned": (1, 400)}
+
+
+def test_range_clustered_files_hold_contiguous_ranges(spark):
+    from tierflow.operators.layout import write_range_clustered
+    df = spark.range(4000).select(F.col("id"), (F.col("id") * 7 % 1000).alias("d"))
+    path = write_range_clustered(df, work_dir(spark, "ranged"), "d", "id", files=8)
+    scan = spark.read.parquet(path).filter(F.col("d").between(100, 149))
+    assert "PushedFilters: [IsNotNull(d), GreaterThanOrEqual(d,100), LessThanOrEqual(d,149)]" in plan_text(scan)
+    assert scan.count() == 200
+    touched = scan.select(F.col("_metadata.file_path")).distinct().count()
+    assert touched <= 2 < len(spark.read.parquet(path).inputFiles())     # the range lives in 1-2 of 8 files

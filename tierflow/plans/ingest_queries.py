@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tierflow.functions.scalar import json_field
 from tierflow.operators.ingest import append_batch, insert_parsed, next_batch_for, variant_keys
 from tierflow.operators.keys import assign_surrogate_keys, next_batch_id
-from tierflow.operators.layout import pruning_report, write_clustered
+from tierflow.operators.layout import pruning_report, write_clustered, write_range_clustered
 from tierflow.plans import core_queries as Q
 from tierflow.plans import models as M
 from tierflow.plans.oracle import AS_OF, with_models
@@ -101,6 +101,19 @@ def q_clustered_scan(spark, sf):
     return spark.read.parquet(path).filter(F.col("ciudad") == _CLUSTER_VALUE)
 
 
+_RANGE_FROM, _RANGE_TO = "1997-03-01", "1997-03-31"
+
+
+@register("clustered_range_scan", with_models("fct_pedidos") + f"""
+select * from fct_pedidos where fecha_pedido between date '{_RANGE_FROM}' and date '{_RANGE_TO}'""")
+def q_clustered_range(spark, sf):
+    """A13, range form: the fact table range-clustered by order date; a month filter skips files by stats."""
+    path = write_range_clustered(Q.fct(spark, sf), work_dir(spark, "fct_pedidos_by_date"),
+                                 "fecha_pedido", "pedido_id")
+    lo, hi = F.lit(_RANGE_FROM).cast("date"), F.lit(_RANGE_TO).cast("date")
+    return spark.read.parquet(path).filter(F.col("fecha_pedido").between(lo, hi))
+
+
 @register("pruning_report", with_models("fct_pedidos") + f"""
 select 'total' as scope, count(distinct ciudad) as partitions, count(*) as "rows" from fct_pedidos
 union all
