@@ -9,7 +9,7 @@ from tierflow.session import work_dir
 
 def test_clustered_scan_prunes_partitions(spark):
     df = spark.range(2000).select(F.col("id"), F.concat(F.lit("C"), (F.col("id") % 5).cast("string")).alias("ciudad"))
-    path = write_clustered(df, work_dir(spark, "clustered"), "ciudad", sort_by=["id"], files_per_value=3)
+    path = write_clustered(df, work_dir(spark, "clustered"), "ciudad", sort_by=["id"])
     scan = spark.read.parquet(path).filter(F.col("ciudad") == "C1")
     plan = plan_text(scan)
     assert "PartitionFilters: [isnotnull(ciudad" in plan and "(ciudad#" in plan
@@ -28,3 +28,14 @@ def test_range_clustered_files_hold_contiguous_ranges(spark):
     assert scan.count() == 200
     touched = scan.select(F.col("_metadata.file_path")).distinct().count()
     assert touched <= 2 < len(spark.read.parquet(path).inputFiles())     # the range lives in 1-2 of 8 files
+
+
+def test_hot_value_is_written_by_many_tasks(spark):
+    # one value holds a third of the rows: range bounds on (value, id) split it
+    df = spark.range(6000).select(F.col("id"),
+                                  F.when(F.col("id") % 3 == 0, "HOT").otherwise(
+                                      F.concat(F.lit("C"), (F.col("id") % 50).cast("string"))).alias("ciudad"))
+    path = write_clustered(df, work_dir(spark, "clustered-hot"), "ciudad", sort_by=["id"])
+    hot = spark.read.parquet(path).filter("ciudad = 'HOT'")
+    assert hot.select(F.col("_metadata.file_path")).distinct().count() > 1
+    assert spark.read.parquet(path).filter("ciudad = 'HOT'").count() == 2000

@@ -2,9 +2,10 @@
 
 ``write_clustered`` stores a table with one directory per value of the
 clustering column, so a filter on that column becomes a ``PartitionFilters``
-entry in the scan and whole directories are skipped.  Rows are shuffled on
-``(column, salt)``: a value holding a third of all rows is written by
-``files_per_value`` tasks in parallel instead of one, and
+entry in the scan and whole directories are skipped.  Rows are range
+partitioned on ``(column, tie-breaker)``: the sampled range bounds give each
+value a share of tasks proportional to its size, so a value holding a third
+of all rows is written by a third of the tasks, not one.
 ``maxRecordsPerFile`` caps file size.  Inside each file rows are sorted by
 the column plus an optional secondary key, so Parquet min/max statistics
 also skip row groups on that key.
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 
 
 def write_clustered(df: DataFrame, path: str, column: str, sort_by: list[str] | None = None,
-                    files_per_value: int = 4, max_records_per_file: int = 5_000_000) -> str:
-    """``CLUSTER BY (column)`` as a partitioned, sorted Parquet layout."""
-    key_cols = [c for c in df.columns if c != column] or [column]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(files_per_value))
-    (df.repartition(F.col(column), salt)
+                    max_records_per_file: int = 5_000_000) -> str:
+    """``CLUSTER BY (column)`` as a partitioned, sorted Parquet layout.
+
+    The tie-breaker is ``sort_by`` when given, else a hash of the row.
+    """
+    tie = ([F.col(c) for c in sort_by] if sort_by
+           else [F.xxhash64(*[F.col(c) for c in df.columns if c != column])])
+    (df.repartitionByRange(F.col(column), *tie)
        .sortWithinPartitions(column, *(sort_by or []))
        .write.mode("errorifexists")
        .option("maxRecordsPerFile", max_records_per_file)
