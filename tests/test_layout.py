@@ -35,7 +35,12 @@ def test_hot_value_is_written_by_many_tasks(spark):
     df = spark.range(6000).select(F.col("id"),
                                   F.when(F.col("id") % 3 == 0, "HOT").otherwise(
                                       F.concat(F.lit("C"), (F.col("id") % 50).cast("string"))).alias("ciudad"))
-    path = write_clustered(df, work_dir(spark, "clustered-hot"), "ciudad", sort_by=["id"])
+    # tiny test data: stop AQE from coalescing the range partitions back into one task
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = write_clustered(df, work_dir(spark, "clustered-hot"), "ciudad", sort_by=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     hot = spark.read.parquet(path).filter("ciudad = 'HOT'")
     assert hot.select(F.col("_metadata.file_path")).distinct().count() > 1
     assert spark.read.parquet(path).filter("ciudad = 'HOT'").count() == 2000
