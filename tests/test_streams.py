@@ -58,7 +58,11 @@ def test_peek_does_not_consume(spark):
     assert changes.consume_into(target) == 1
     assert not changes.has_data(target)
     assert changes.consume_into(target) == 0
-    assert rows(target.read(), "id") == [(1,), (2,), (3,), (4,)]
+    assert changes.consume_if_waiting(target) == 0
+    write_landing(_rows(spark, [5]), pipe.landing_root, 3)
+    pipe.run()
+    assert changes.consume_if_waiting(target) == 1
+    assert rows(target.read(), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
 @pytest.mark.parametrize("stage", ["before", "after"])

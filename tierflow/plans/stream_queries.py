@@ -154,6 +154,8 @@ def q_stream_noop(spark, sf):
         raise AssertionError("data still waiting after a full consumption")
     if s.changes.consume_into(target) != 0:
         raise AssertionError("a rerun with nothing waiting processed a batch")
+    if s.changes.consume_if_waiting(target) != 0:
+        raise AssertionError("the gated run started with nothing waiting")
     return target.read().select(*CSV_COLUMNS)
 
 

@@ -107,6 +107,16 @@ class ChangeStream:
                 fault(batch_id, "after")
         return self._run(body)
 
+    def consume_if_waiting(self, target: VersionedTable, merge_order=None) -> int:
+        """A task body gated on waiting data.  No streaming query starts when
+        nothing is waiting (the gate compares file lists only); otherwise the
+        waiting rows are appended (or merged, given ``merge_order``)."""
+        if not self.has_data(target):
+            return 0
+        if merge_order is None:
+            return self.consume_into(target)
+        return self.upsert_into(target, merge_order)
+
     # --- looking without consuming ----------------------------------------------------
 
     def pending_files(self, consumer: VersionedTable) -> list[str]:
