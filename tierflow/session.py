@@ -78,3 +78,9 @@ def stage(df, name: str = "stage"):
     path = work_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def empty_frame(spark: SparkSession, schema):
+    """An empty DataFrame of ``schema``, planned on the JVM (no Python rows)."""
+    from pyspark.sql import functions as F
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

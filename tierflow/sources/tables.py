@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tierflow.session import empty_frame
+
 RAW_CLIENTES_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("nombre", T.StringType()),
@@ -72,5 +74,5 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     ``mode("ignore")`` is the DataFrame form of ``CREATE TABLE IF NOT EXISTS``:
     an existing table is left untouched.
     """
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    empty_frame(spark, schema).write.mode("ignore").parquet(path)
     return spark.read.schema(schema).parquet(path)

@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.session import empty_frame
+
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("operation", T.StringType()),
@@ -201,7 +203,7 @@ class VersionedTable:
             entries = [e for e in entries if e["bucket"] is None or e["bucket"] in wanted]
         paths = [e["path"] for e in entries]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def exists(self) -> bool:

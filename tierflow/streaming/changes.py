@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +30,8 @@ from pyspark.sql import types as T
 
 from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.merge import merge_upsert
-from tierflow.sources.versioned import VersionedTable
+from tierflow.session import empty_frame
+from tierflow.sources.versioned import VersionedTable, norm_path
 
 CHANGE_FILE = "_change_file"
 CONSUMED_BATCH = "_consumed_batch"
@@ -124,14 +124,14 @@ class ChangeStream:
         consumer.refresh()
         done = set()
         for commit in consumer.history():
-            done.update(_norm(f) for f in json.loads((commit.get("meta") or {}).get(CONSUMED_FILES, "[]")))
+            done.update(norm_path(f) for f in json.loads((commit.get("meta") or {}).get(CONSUMED_FILES, "[]")))
         try:
             files = self.spark.read.schema(self.schema).parquet(self.source_path).inputFiles()
         except Exception as e:  # noqa: BLE001 - nothing loaded yet
             if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e):
                 return []
             raise
-        return sorted(f for f in files if _norm(f) not in done)
+        return sorted(f for f in files if norm_path(f) not in done)
 
     def pending(self, consumer: VersionedTable) -> DataFrame:
         """Rows waiting for ``consumer``; a plain read, the offset does not move.
@@ -140,7 +140,8 @@ class ChangeStream:
         """
         files = self.pending_files(consumer)
         if not files:
-            return self.table().limit(0)
+            fields = list(self.schema.fields) + [T.StructField(CHANGE_FILE, T.StringType())]
+            return empty_frame(self.spark, T.StructType(fields))
         return (self.spark.read.schema(self.schema).parquet(*files)
                 .select("*", F.col("_metadata.file_path").alias(CHANGE_FILE)))
 
@@ -152,12 +153,6 @@ class ChangeStream:
 CONSUMED_FILES = "consumed_files"
 
 
-def _norm(path: str) -> str:
-    # file:/x and file:///x name the same file
-    u = urlparse(path)
-    return f"{u.scheme}://{u.netloc}{u.path}"
-
-
 def _batch_meta(batch: DataFrame, batch_id: int) -> dict:
     # The files of one micro-batch: bounded by maxFilesPerTrigger.
     files = [r[0] for r in batch.select(CHANGE_FILE).distinct().collect()]
