@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.session import stage
@@ -135,7 +135,6 @@ def history_from_changes(changes: DataFrame, key: str, updated_at: str) -> DataF
 
     The batch equivalent of folding every snapshot through ``Scd2Table``.
     """
-    from pyspark.sql import Window
     w = Window.partitionBy(key).orderBy(F.col(VALID_FROM))
     v = _as_versions(changes, key, updated_at)
     return v.withColumn(VALID_TO, F.lead(VALID_FROM).over(w))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierflow.functions.scalar import clean_text, norm_key, safe_date, safe_decimal, safe_int
+from tierflow.functions.scalar import (clean_text, json_field, norm_key, parse_json_safe, safe_date,
+                                       safe_decimal, safe_int)
 from tierflow.operators import dedup
 from tierflow.operators.joins import orphans
 from tierflow.plans import models as M
@@ -81,7 +82,6 @@ select pedido_id, _batch_id,
        json_extract_string(atributos_extra, '$.sku_proveedor') as sku_proveedor
 from bronze_pedidos""")
 def q_json_extract(spark, sf):
-    from tierflow.functions.scalar import json_field, parse_json_safe
     b = bronze_p(spark, sf).withColumn("_v", parse_json_safe("atributos_extra"))
     return b.select("pedido_id", "_batch_id",
                     json_field("_v", "color").alias("color"),

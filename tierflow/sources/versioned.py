@@ -27,6 +27,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import re
+import uuid
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -218,7 +219,6 @@ class VersionedTable:
         Keyed: one entry per data file with its bucket, so a merge can later
         replace single files.
         """
-        import uuid
         folder = f"{self.root}/data/{tag}-{uuid.uuid4().hex[:10]}"
         if self.key is None or not bucketed:
             df.write.mode("errorifexists").parquet(folder)
