@@ -135,3 +135,9 @@ def q_table_before_commit(spark, sf):
     """D7 ``BEFORE(STATEMENT)``: the table as it was just before the last merge."""
     t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
     return t.read(version=t.version_before(t.version()))
+
+
+@register("late_arrivals_lookback", _BASE + _latest("true"))
+def q_late_arrivals_lookback(spark, sf):
+    """G7 with ``lookback``: the late batch 1 is re-read under the mark and merged (newest row wins)."""
+    return fold_batches(spark, Q.bronze_p(spark, sf), [2, 1, 3, 4], lookback=_dt.timedelta(days=3)).read()
