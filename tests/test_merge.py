@@ -142,3 +142,10 @@ def test_time_travel_by_commit_time_and_before_a_commit(spark):
     assert rows(t.read(version=t.version_before(v1)), "id") == [(1,)]
     with pytest.raises(KeyError):
         t.version_at(dt.datetime(2000, 1, 1))
+
+
+def test_norm_path_spellings_agree():
+    from tierflow.sources.versioned import norm_path
+    a = norm_path("file:/tmp/t/_bucket=3/part-0 1.parquet")
+    assert a == norm_path("file:///tmp/t/_bucket=3/part-0%201.parquet") == norm_path("file:/tmp/t/_bucket%3D3/part-0 1.parquet")
+    assert norm_path("s3a://bkt/t/f.parquet") != norm_path("s3a://other/t/f.parquet")
