@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from tierflow.llm import content_sort, feistel, mixing
+from pyspark.sql import functions as F
+
+from tierflow.llm import content_sort, entropy, factor, feistel, mixing, pii, spans, toxicity, url_rules
 from tierflow.llm.common import table
 
 
+def op1_association_rules(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+def op2_counterfactual(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sainte_lague(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -14,9 +24,25 @@ def op5_content_sort(spark, sf_dir):
     return content_sort.content_sort(table(spark, sf_dir, "documents"))
 
 
+def op6_weak_supervision(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *spans.digest(F.col("pii"), pii.BASE_KINDS))
+
+
 def op8_feistel(spark, sf_dir):
     return feistel.manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_sainte_lague, op5_content_sort, op8_feistel)}
+def op9_entropy(spark, sf_dir):
+    found = entropy.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *spans.digest(F.col("secrets"), entropy.BASE_KINDS))
+
+
+def op10_factorisation_machine(spark, sf_dir):
+    return factor.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_association_rules, op2_counterfactual, op4_sainte_lague, op5_content_sort, op6_weak_supervision,
+    op8_feistel, op9_entropy, op10_factorisation_machine)}
 ORACLE = {"op5_content_sort": content_sort.ORACLE_SQL}
