@@ -6,6 +6,7 @@ their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,8 +17,6 @@ from tierflow.session import stage
 #: ASCII white space of the contracts: blank and tab to carriage return.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 WORDS = r"[^\x20\x09-\x0D]+"
-#: Narrow rows that one window task sorts at most, on average.
-ROWS_PER_BUCKET = 50_000
 #: Rows of one Arrow batch; a batch of whole long texts then stays small.
 BATCH_ROWS = 200
 
@@ -62,7 +61,8 @@ def expand(df: DataFrame, chunk: int = 65_536) -> DataFrame:
 
 
 def bucket_count(rows: int) -> int:
-    return max(1, -(-rows // ROWS_PER_BUCKET))
+    """As many buckets as rows in each, so neither level of a running sum outgrows the other."""
+    return max(1, math.isqrt(rows))
 
 
 def running_start(df: DataFrame, amount: Column, keys: list[str], order: list[Column], buckets: int) -> DataFrame:
