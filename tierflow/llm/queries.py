@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierflow.llm import content_sort, entropy, factor, feistel, mixing, pii, spans, toxicity, url_rules
+from tierflow.llm import content_sort, entropy, factor, feistel, latent, mixing, order_minhash, pii, spans, toxicity, url_rules
 from tierflow.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_counterfactual(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_order_minhash(spark, sf_dir):
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_sainte_lague(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op6_weak_supervision(spark, sf_dir):
     return found.select("doc_id", *spans.digest(F.col("pii"), pii.BASE_KINDS))
 
 
+def op7_latent_semantic(spark, sf_dir):
+    return latent.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_feistel(spark, sf_dir):
     return feistel.manifest(table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,6 @@ def op10_factorisation_machine(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_association_rules, op2_counterfactual, op4_sainte_lague, op5_content_sort, op6_weak_supervision,
-    op8_feistel, op9_entropy, op10_factorisation_machine)}
+    op1_association_rules, op2_counterfactual, op3_order_minhash, op4_sainte_lague, op5_content_sort,
+    op6_weak_supervision, op7_latent_semantic, op8_feistel, op9_entropy, op10_factorisation_machine)}
 ORACLE = {"op5_content_sort": content_sort.ORACLE_SQL}
