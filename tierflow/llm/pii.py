@@ -90,7 +90,7 @@ def sign(good: Column, bad: Column | None = None) -> Column:
 
 
 def candidates(text: Column, matches: Column, kind: str) -> Column:
-    """Array of (start, end, kind, ok, votes, size) for one kind, in text order."""
+    """Array of (start, kind, end, ok, votes, size) for one kind, in text order."""
     pieces = F.split(text, PATTERNS[kind], -1)
     k = F.size(matches)
 
@@ -110,7 +110,7 @@ def candidates(text: Column, matches: Column, kind: str) -> Column:
         votes = F.array(sign(ok), sign(m.rlike(GAZETTEER[kind])), sign(before.rlike(CUES), F.lit(False)),
                         sign(F.lit(False), before.rlike(COUNTERS)), sign(~glued), sign(kinds >= 4))
         size = F.when(F.length(m) < 12, 0).when(F.length(m) < 18, 1).otherwise(2)
-        return F.struct(c["s"].alias("start"), (c["s"] + F.length(m)).alias("end"), F.lit(KINDS.index(kind)).alias("kind"),
+        return F.struct(c["s"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (c["s"] + F.length(m)).alias("end"),
                         ok.alias("ok"), votes.alias("votes"), size.alias("size"))
 
     # arrays_zip pads to the longest; pieces has one more than matches
@@ -126,7 +126,7 @@ def extract(documents: DataFrame) -> DataFrame:
         if kind in HINTS:
             found = F.when(F.contains(text, F.lit(HINTS[kind])), found).otherwise(F.array().cast("array<string>"))
         doc = doc.withColumn(f"_w_m_{kind}", found)
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int,ok:boolean,votes:array<tinyint>,size:int>>")
+    empty = F.array().cast("array<struct<start:int,kind:int,end:int,ok:boolean,votes:array<tinyint>,size:int>>")
     for kind in KINDS:
         doc = doc.withColumn(f"_w_c_{kind}", F.coalesce(candidates(F.col("_w_text"), F.col(f"_w_m_{kind}"), kind), empty))
     every = F.concat(*[F.col(f"_w_c_{kind}") for kind in KINDS])
