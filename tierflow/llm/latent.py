@@ -137,7 +137,8 @@ def svd_space(passages: DataFrame, size: int, rank: int = RANK, seed: int = 3) -
                     y = val @ sent.value[np.asarray(idx)]
                     for i, v in zip(idx, val, strict=True):
                         total[i] = total[i] + v * y if i in total else v * y
-            yield pd.DataFrame({"word": list(total), "row": [r.tolist() for r in total.values()]})
+            if total:
+                yield pd.DataFrame({"word": list(total), "row": [r.tolist() for r in total.values()]})
 
         rows = map_batches(passages, products, "word int, row array<double>")
         summed = rows.groupBy("word").agg(*[F.sum(F.col("row")[j]).alias(f"s{j}") for j in range(width)]).collect()
