@@ -40,15 +40,24 @@ def test_layer_namespace():
     assert layer_path("/wh", "dev", "", "t") == "/wh/dev/default/t"
 
 
-def test_concurrent_writers_get_disjoint_ranges(spark):
-    from tierflow.operators.keys import IdSequence, assign_reserved_keys
-    from tierflow.session import work_dir
-    root = work_dir(spark, "seq")
-    a, b = IdSequence(spark, root, start=300000), IdSequence(spark, root, start=300000)
-    ra = a.reserve(10)
-    rb = b.reserve(5)            # b reads the log first; a's cached view is now stale
-    rc = a.reserve(7)            # a tries b's version number, loses, re-reads and retries
-    assert [r["operation"] for r in a.table.history()] == ["reserve"] * 3
-    assert (ra, rb, rc) == (300000, 300010, 300015)
-    out = assign_reserved_keys(spark.range(4).withColumnRenamed("id", "n"), ["n"], b, name="sk")
-    assert sorted(r[0] for r in out.select("sk").collect()) == [300022, 300023, 300024, 300025]
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+    from tierflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

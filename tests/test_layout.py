@@ -44,3 +44,11 @@ def test_hot_value_is_written_by_many_tasks(spark):
     hot = spark.read.parquet(path).filter("ciudad = 'HOT'")
     assert hot.select(F.col("_metadata.file_path")).distinct().count() > 1
     assert spark.read.parquet(path).filter("ciudad = 'HOT'").count() == 2000
+
+
+def test_report_counts_files_of_the_range_layout(spark):
+    from tierflow.operators.layout import write_range_clustered
+    df = spark.range(4000).select(F.col("id"), (F.col("id") * 7 % 1000).alias("d"))
+    path = write_range_clustered(df, work_dir(spark, "ranged"), "d", "id", files=8)
+    total, scanned = pruning_report(spark, path, F.col("d").between(100, 149), unit="file").orderBy(F.desc("scope")).collect()
+    assert total["partitions"] == len(spark.read.parquet(path).inputFiles()) > scanned["partitions"] and scanned["rows"] == 200

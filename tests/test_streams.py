@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tierflow.session import work_dir
 from tierflow.sources.tables import PEDIDOS_CSV_SCHEMA
-from tierflow.sources.versioned import VersionedTable
-from tierflow.streaming.changes import ChangeStream, fail_once
-from tierflow.streaming.pipe import FilePipe, pipe_schema, read_csv, write_landing
+from tierflow.sources.storage import KeyedTable
+from tierflow.streaming import changes as changes_module
+from tierflow.streaming.changes import ChangeStream, StaleCheckpoint, consumer_table
+from tierflow.streaming.pipe import DELIVERY, FilePipe, pipe_schema, read_csv, write_landing
 
 COLS = PEDIDOS_CSV_SCHEMA.fieldNames()
 
@@ -46,7 +47,8 @@ def test_pipe_loads_each_file_once(spark):
 
 def test_peek_does_not_consume(spark):
     root, pipe, changes = _setup(spark)
-    target = VersionedTable(spark, f"{root}/consumer")
+    target = consumer_table(spark, f"{root}/consumer")
+    assert not changes.has_data(target)          # nothing loaded yet
     write_landing(_rows(spark, [1, 2]), pipe.landing_root, 1)
     pipe.run()
     changes.consume_into(target)
@@ -65,21 +67,99 @@ def test_peek_does_not_consume(spark):
     assert rows(target.read(), "id") == [(1,), (2,), (3,), (4,), (5,)]
 
 
-@pytest.mark.parametrize("stage", ["before", "after"])
-def test_failed_batch_is_applied_exactly_once(spark, stage):
+def test_two_streams_into_one_target(spark):
+    root = work_dir(spark, "two-streams")
+    target = consumer_table(spark, f"{root}/consumer")
+    streams = []
+    for name, ids in (("a", range(10)), ("b", range(10, 20))):
+        pipe = FilePipe(spark, f"{root}/{name}/landing", f"{root}/{name}/table", f"{root}/{name}/ck")
+        write_landing(_rows(spark, ids), pipe.landing_root, 1)
+        pipe.run()
+        streams.append(ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/{name}/ck-changes", name=name))
+    for s in streams:
+        s.consume_into(target)
+        assert not s.has_data(target)
+    assert target.read().count() == target.read().select("id").distinct().count() == 20
+
+
+def test_a_replaced_checkpoint_is_refused(spark):
+    root, pipe, changes = _setup(spark)
+    target = consumer_table(spark, f"{root}/consumer")
+    write_landing(_rows(spark, range(10)), pipe.landing_root, 1)
+    pipe.run()
+    changes.consume_into(target)
+    fresh = ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/other")
+    with pytest.raises(StaleCheckpoint):
+        fresh.consume_into(target)
+    assert target.read().count() == 10
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_failed_batch_is_applied_exactly_once(spark, monkeypatch, when):
     root, pipe, changes = _setup(spark)
-    target = VersionedTable(spark, f"{root}/current", "id", 4)
+    target = KeyedTable(spark, f"{root}/current", "id", 4)
     write_landing(_rows(spark, [1, 2]), pipe.landing_root, 1)
     write_landing(_rows(spark, [2], producto="Mouse"), pipe.landing_root, 2)
     pipe.run()
+    real = changes_module.merge_upsert
+
+    def fails(*a, **k):
+        if when == "after":
+            real(*a, **k)
+        raise RuntimeError("injected fault")
+
+    monkeypatch.setattr(changes_module, "merge_upsert", fails)
     with pytest.raises(Exception, match="injected fault"):
-        changes.upsert_into(target, ["-_source_file"], fault=fail_once(0, stage))
-    changes.upsert_into(target, ["-_source_file"])
+        changes.upsert_into(target, ["-" + DELIVERY, "producto"])
+    monkeypatch.undo()
+    changes.upsert_into(target, ["-" + DELIVERY, "producto"])
     assert rows(target.read(), "id", "producto") == [(1, "Laptop"), (2, "Mouse")]
-    assert target.version() == 0        # one merge commit in total, whatever the failure point
     assert rows(target.read().groupBy("id").count().filter(F.col("count") > 1)) == []
 
 
+def test_a_replayed_append_replaces_itself(spark):
+    root, pipe, changes = _setup(spark)
+    target = consumer_table(spark, f"{root}/consumer")
+    write_landing(_rows(spark, [1, 2]), pipe.landing_root, 1)
+    pipe.run()
+    real = target.write
+
+    def fails(df):
+        real(df)
+        raise RuntimeError("injected fault")
+
+    target.write = fails
+    with pytest.raises(Exception, match="injected fault"):
+        changes.consume_into(target)
+    target.write = real
+    assert changes.consume_into(target) == 1
+    assert rows(target.read(), "id") == [(1,), (2,)]
+
+
+def test_deliveries_are_ordered_by_number(spark):
+    root, pipe, changes = _setup(spark)
+    target = KeyedTable(spark, f"{root}/current", "id", 4)
+    for seq, producto in ((1_000_000, "newest"), (999_999, "older")):
+        write_landing(_rows(spark, [1], producto=producto), pipe.landing_root, seq)
+    pipe.run()
+    changes.upsert_into(target, ["-" + DELIVERY, "producto"])
+    assert rows(target.read(), "producto") == [("newest",)]
+
+
+def test_result_does_not_depend_on_the_cut_into_micro_batches(spark):
+    root, pipe, _ = _setup(spark)
+    for seq, producto in ((2, "new"), (1, "old"), (3, "newest"), (4, "last")):
+        write_landing(_rows(spark, [1, seq + 10], producto=producto), pipe.landing_root, seq)
+        pipe.run()
+    got = []
+    for n in (1, 1000):
+        target = KeyedTable(spark, f"{root}/current-{n}", "id", 4)
+        s = ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/cut-{n}", max_files_per_trigger=n)
+        s.upsert_into(target, ["-" + DELIVERY, "producto"])
+        got.append(rows(target.read(), "id", "producto"))
+    assert got[0] == got[1] and (1, "last") in got[0]
+
+
 def test_pipe_can_archive_loaded_files(spark):
     root = work_dir(spark, "pipe-archive")
     pipe = FilePipe(spark, f"{root}/landing", f"{root}/table", f"{root}/ck", archive_dir=f"{root}/archive")

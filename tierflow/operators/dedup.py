@@ -59,28 +59,19 @@ def latest_per_expr_key(df: DataFrame, key_expr: Column, order_by: Sequence,
 def rank_top1(df: DataFrame, keys, order_by: Sequence) -> DataFrame:
     """``rank() = 1``: every row tied for first place is kept.
 
-    Ties are all kept, so a window would send a hot key's tied rows to one
-    task.  Instead: the best order value per key (``min`` / ``max`` of a
-    struct, a partial aggregate that is combined map-side), then an
-    equi-join of the rows to it on (key, order value).  A hot (key, value)
-    group becomes a skewed join key, which AQE splits across tasks.  Mixed
-    sort directions fall back to the window.
+    Ties are all kept, so a rank window would send a hot key's tied rows to
+    one task.  Instead: the best order values per key (one row per key, limited
+    before the shuffle), then an equi-join of the rows to them on (key, order
+    values).  A hot group becomes a skewed join key, which AQE splits.
     """
-    ks = _keys(keys)
-    names = [o for o in order_by if isinstance(o, str)]
-    if len(names) != len(order_by) or len({o.startswith("-") for o in names}) != 1:
-        w = Window.partitionBy(*ks).orderBy(*_order_cols(order_by))
-        return qualify(df, F.rank().over(w), lambda c: c == 1)
-    desc = names[0].startswith("-")
-    cols = [o.lstrip("-") for o in names]
-    # asc: struct order puts NULL fields first, as ``asc_nulls_first``;
-    # desc: max puts them last, as ``desc_nulls_last``.
-    order_val = F.struct(*[F.col(c) for c in cols])
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in ks]
-    best = df.groupBy(*[c.alias(f"_bk{i}") for i, c in enumerate(key_cols)]) \
-             .agg((F.max if desc else F.min)(order_val).alias("_best"))
-    cond = ([c.eqNullSafe(F.col(f"_bk{i}")) for i, c in enumerate(key_cols)]
-            + [order_val.eqNullSafe(F.col("_best"))])
+    ks = [F.col(k) if isinstance(k, str) else k for k in _keys(keys)]
+    order = [o.lstrip("-") if isinstance(o, str) else o for o in order_by]
+    if any(isinstance(o, Column) for o in order):
+        raise TypeError("rank_top1 orders by column names")
+    best = (latest_per_key(df.select(*[k.alias(f"_bk{i}") for i, k in enumerate(ks)], *order), [f"_bk{i}" for i in range(len(ks))], order_by)
+            .select(*[f"_bk{i}" for i in range(len(ks))], *[F.col(c).alias(f"_bo{i}") for i, c in enumerate(order)]))
+    cond = ([k.eqNullSafe(F.col(f"_bk{i}")) for i, k in enumerate(ks)]
+            + [F.col(c).eqNullSafe(F.col(f"_bo{i}")) for i, c in enumerate(order)])
     return df.join(best, cond, "inner").select(*df.columns)
 
 

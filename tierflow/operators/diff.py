@@ -1,9 +1,7 @@
-"""Change capture between table versions and recovery."""
+"""Change rows between two states of a table and recovery."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,26 +9,36 @@ from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.dedup import latest_per_key
 
 
+def _row_hash(cols: list[str]):
+    """96 bits over the values and, because hashes skip NULLs, over where the NULLs are."""
+    nulls = F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in cols])
+    return F.struct(F.xxhash64(nulls, *cols).alias("a"), F.hash(nulls, *cols).alias("b"))
+
+
 def table_diff(before: DataFrame, after: DataFrame, key) -> DataFrame:
     """One row per changed key with ``_change_type`` insert / update / delete.
 
-    A full outer join on the key (a single shuffle of both versions); a row is
-    updated when any non-key column differs under null-safe equality.  Output
-    columns: the key, ``_change_type``, then ``<col>_before`` / ``<col>_after``.
+    Keys and row hashes are compared first (one partial aggregate over narrow
+    rows); the columns are then fetched for the keys that differ only.
+    Output columns: the key, ``_change_type``, ``<col>_before`` / ``<col>_after``.
+    Keys are unique and not NULL in either state.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in after.columns if c not in keys]
-    b = before.select(*keys, *[F.col(c).alias(f"{c}_before") for c in cols], F.lit(True).alias("_in_before"))
-    a = after.select(*keys, *[F.col(c).alias(f"{c}_after") for c in cols], F.lit(True).alias("_in_after"))
-    j = b.join(a, keys, "full_outer")
-    same = reduce(lambda x, y: x & y,
-                  [F.col(f"{c}_before").eqNullSafe(F.col(f"{c}_after")) for c in cols], F.lit(True))
-    change = (F.when(F.col("_in_before").isNull(), "insert")
-               .when(F.col("_in_after").isNull(), "delete")
-               .when(~same, "update"))
-    return (j.withColumn("_change_type", change)
-             .filter(F.col("_change_type").isNotNull())
-             .drop("_in_before", "_in_after"))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*keys, F.lit(name).alias("_side"), _row_hash(cols).alias("_hash"))
+
+    marks = (side(before, "b").unionByName(side(after, "a")).groupBy(*keys)
+             .agg(F.max(F.when(F.col("_side") == "b", F.col("_hash"))).alias("_b"),
+                  F.max(F.when(F.col("_side") == "a", F.col("_hash"))).alias("_a")))
+    change = (F.when(F.col("_b").isNull(), "insert").when(F.col("_a").isNull(), "delete")
+              .when(F.col("_a") != F.col("_b"), "update"))
+    changed = marks.select(*keys, change.alias("_change_type")).where("_change_type IS NOT NULL")
+    old = before.select(*keys, *[F.col(c).alias(f"{c}_before") for c in cols])
+    new = after.select(*keys, *[F.col(c).alias(f"{c}_after") for c in cols])
+    out = changed.join(old, keys, "left").join(new, keys, "left")
+    return out.select(*keys, *[f"{c}_before" for c in cols], *[f"{c}_after" for c in cols], "_change_type")
 
 
 def state_as_of(history: DataFrame, key, ts_col: str, at, order_by) -> DataFrame:
@@ -39,6 +47,6 @@ def state_as_of(history: DataFrame, key, ts_col: str, at, order_by) -> DataFrame
 
 
 def deleted_rows(old: DataFrame, current: DataFrame, key) -> DataFrame:
-    """Rows of an old version whose key is gone from the current one."""
+    """Rows of an old state whose key is gone from the current one."""
     keys = [key] if isinstance(key, str) else list(key)
     return old.join(current.select(*keys), keys, "left_anti")

@@ -1,9 +1,8 @@
 """Raw-layer loads (A5, A6): stamped batch appends and JSON parsed on insert.
 
-A raw table is append-only.  Each load is one atomic commit of a
-``VersionedTable`` (a new data folder plus a commit record), stamped with
-the next batch id and one load time for the whole batch, the way a column
-default fills every row of one ``INSERT``.
+A raw table is append-only.  Each load is one partition of a ``BatchTable``,
+stamped with the next batch id and one load time for the whole batch, the way a
+column default fills every row of one ``INSERT``.
 """
 
 from __future__ import annotations
@@ -14,8 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import ntz_literal
-from tierflow.operators.keys import next_batch_value
-from tierflow.sources.versioned import VersionedTable
+from tierflow.sources.storage import BatchTable
 
 
 def stamp_batch(df: DataFrame, batch_id: int, loaded_at: _dt.datetime | Column | None = None) -> DataFrame:
@@ -29,22 +27,19 @@ def stamp_batch(df: DataFrame, batch_id: int, loaded_at: _dt.datetime | Column |
     return df.withColumn("_batch_id", F.lit(batch_id).cast("int")).withColumn("_inserted_at", ts)
 
 
-def next_batch_for(table: VersionedTable) -> int:
-    """The batch id the next load of ``table`` gets (A8, read from the last commit)."""
-    if not table.exists():
-        return 1
-    last = table.meta().get("last_batch_id")
-    return int(last) + 1 if last is not None else next_batch_value(table.read())
+def next_batch_for(table: BatchTable) -> int:
+    """The batch id the next load of ``table`` gets (A8): one more than its last partition's."""
+    return max(table.batches(), default=0) + 1
 
 
-def append_batch(table: VersionedTable, rows: DataFrame, loaded_at=None) -> int:
+def append_batch(table: BatchTable, rows: DataFrame, loaded_at=None, batch_id: int | None = None) -> int:
     """A5: append ``rows`` as the next batch of ``table``; returns the batch id used.
 
-    The batch id is ``coalesce(max(_batch_id), 0) + 1`` of the table, kept in
-    the commit record so the next load reads one value, not the table.
+    A load that failed is repeated under the same ``batch_id``: the batch is
+    its own partition, so the repeat replaces what was left of it.
     """
-    batch_id = next_batch_for(table)
-    table.append(stamp_batch(rows, batch_id, loaded_at), meta={"last_batch_id": batch_id})
+    batch_id = next_batch_for(table) if batch_id is None else batch_id
+    table.write(stamp_batch(rows, batch_id, loaded_at))
     return batch_id
 
 
@@ -61,9 +56,13 @@ def parse_json_columns(df: DataFrame, json_cols: list[str]) -> DataFrame:
                        for c in df.columns])
 
 
-def insert_parsed(table: VersionedTable, values: DataFrame, names: list[str], json_cols: list[str]) -> int:
-    """``INSERT INTO t (names) SELECT $1.., PARSE_JSON($k) FROM values`` as one commit."""
-    return table.append(parse_json_columns(positional(values, names), json_cols))
+def insert_parsed(table: BatchTable, values: DataFrame, names: list[str], json_cols: list[str]) -> None:
+    """``INSERT INTO t (names) SELECT $1.., PARSE_JSON($k) FROM values``.
+
+    A load time that is not among ``names`` is filled with its default, the time of the insert.
+    """
+    rows = parse_json_columns(positional(values, names), json_cols)
+    table.write(rows if "_inserted_at" in names else rows.withColumn("_inserted_at", F.localtimestamp()))
 
 
 def variant_keys(c: str) -> Column:

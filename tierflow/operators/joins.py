@@ -1,10 +1,8 @@
 """Joins between layers.
 
-Broadcast is used only behind a *proven* bound: ``bounded_rows`` runs a
-``limit(n + 1).count()`` on the small side, and only when that returns at
-most ``n`` rows is the side hinted for broadcast.  Beyond the bound the join
-is left to Spark: a shuffled join on the key, with AQE splitting skewed
-partitions and converting to broadcast at runtime from *measured* sizes.
+No join hints: Spark broadcasts a side when its statistics or, at run time,
+the measured size of its shuffle are under ``spark.sql.autoBroadcastJoinThreshold``
+(bytes), and otherwise shuffles both and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,29 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a dimension we are willing to ship to every executor.  At ~100 bytes a
-# row this is ~200 MB in the worst case, well under the broadcast hard limit.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (proven by counting)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                   size_proof: DataFrame | None = None) -> DataFrame:
-    """Fact x dimension equi-join; broadcast the dimension if it is bounded.
-
-    ``size_proof`` is a DataFrame known to have at least as many rows as
-    ``dim`` (e.g. the table the dimension is filtered / deduplicated from).
-    Counting it (a scan that stops after ``max_broadcast_rows + 1`` rows)
-    proves the bound without computing the dimension twice.
-    """
-    proof = dim if size_proof is None else size_proof
-    if max_broadcast_rows > 0 and bounded_rows(proof, max_broadcast_rows):
-        dim = F.broadcast(dim)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Fact x dimension equi-join."""
     return fact.join(dim, on, how)
 
 

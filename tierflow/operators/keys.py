@@ -6,9 +6,9 @@ partitioned on the order (a hot leading column is split by the later ones),
 sorted inside each partition and tagged with (partition, position).  The
 tagged rows are written once to the shared work folder so the numbering
 pass sees exactly the positions that were counted.  One count per partition
-gives each partition's offset; that table has one row per partition, so it
-is broadcast with a proven bound.  Keys are unique and gap-free, and equal
-to ``start - 1 + row_number()`` over the order.
+gives each partition's offset.  Keys are unique and gap-free, and equal to
+``start - 1 + row_number()`` over the order.  Loads that number rows at the same
+time need a lock around ``continue_from`` and the write that follows it.
 """
 
 from __future__ import annotations
@@ -17,11 +17,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierflow.operators.dedup import _order_cols
 from tierflow.session import stage
-from tierflow.sources.versioned import VersionedTable
 
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
@@ -53,45 +51,10 @@ def assign_surrogate_keys(df: DataFrame, order_by: Sequence, start: int = 1, nam
                       F.monotonically_increasing_id().alias("_mid")))
     tagged = stage(tagged, "surrogate-keys")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition (bounded by the partition count): a tiny window and a broadcast.
+    # One row per partition: a tiny window; the join is broadcast when Spark measures it as small.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS)
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    return (tagged.join(offsets, "_pid")
                   .withColumn(name, (F.lit(start) + F.col("_off") + pos).cast("long"))
                   .drop("_pid", "_mid", "_off"))
-
-
-class IdSequence:
-    """A9 across concurrent writers: reserve a range of ids before numbering rows.
-
-    The sequence is a versioned table with no data: each reservation is one
-    commit whose record holds the next free id.  Two writers that read the
-    same state both try to commit the same version number; the commit log
-    lets only one create it, and the other re-reads and retries, so ranges
-    never overlap (``START = start, INCREMENT = 1``).
-    """
-
-    def __init__(self, spark, root: str, start: int = 1, retries: int = 20):
-        self.table = VersionedTable(spark, root)
-        self.start = start
-        self.retries = retries
-
-    def reserve(self, n: int) -> int:
-        """Reserve ``n`` ids; returns the first (the range is ``[first, first + n)``)."""
-        for _ in range(self.retries):
-            # Optimistic: commit from the state last seen; re-read only after losing a race.
-            first = int(self.table.meta().get("next", self.start)) if self.table.exists() else self.start
-            try:
-                self.table._commit("reserve", [], T.StructType([]), {"next": first + n, "first": first})
-                return first
-            except Exception as e:  # noqa: BLE001 - another writer took this version
-                if "already exists" not in str(e).lower() and "PATH_ALREADY_EXISTS" not in str(e):
-                    raise
-                self.table.refresh()
-        raise RuntimeError(f"could not reserve ids after {self.retries} attempts")
-
-
-def assign_reserved_keys(df: DataFrame, order_by: Sequence, seq: IdSequence, name: str = "sk") -> DataFrame:
-    """Reserve exactly ``df.count()`` ids from ``seq``, then number ``df`` gap-free inside the range."""
-    return assign_surrogate_keys(df, order_by, start=seq.reserve(df.count()), name=name)

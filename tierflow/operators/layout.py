@@ -10,10 +10,11 @@ of all rows is written by a third of the tasks, not one.
 the column plus an optional secondary key, so Parquet min/max statistics
 also skip row groups on that key.
 
-``pruning_report`` measures what a filtered scan actually reads: the
-partitions (directories) and rows behind the files the pruned scan opens,
-next to the table's totals.  It reads only the ``_metadata`` file path (no
-data columns); ``inputFiles()`` is not used because it ignores pruning.
+``pruning_report`` measures what a filtered scan actually reads: the files,
+their directories and the rows behind the files the pruned scan opens, next to
+the table's totals.  It reads only the ``_metadata`` file path (no data columns),
+one row per file after the first aggregate; ``inputFiles()`` is not used because
+it ignores pruning.
 """
 
 from __future__ import annotations
@@ -60,19 +61,19 @@ def read_clustered(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _partition_dir(file_col: Column) -> Column:
-    # Parent directory of a data file = one partition of the layout.
-    return F.regexp_extract(file_col, r"^(.*)/[^/]*$", 1)
+def pruning_report(spark: SparkSession, path: str, predicate: Column, unit: str = "directory") -> DataFrame:
+    """Two rows, ``scope`` = total / scanned, with ``partitions`` and ``rows``.
 
-
-def pruning_report(spark: SparkSession, path: str, predicate: Column) -> DataFrame:
-    """Two rows, ``scope`` = total / scanned, with ``partitions`` and ``rows``."""
+    A partition is a directory of ``write_clustered`` or, with ``unit="file"``, a
+    file of ``write_range_clustered``.  Rows of the scanned part are those
+    that the filter keeps.
+    """
     scan = read_clustered(spark, path)
+    part = F.col("_file") if unit == "file" else F.regexp_extract("_file", r"^(.*)/[^/]*$", 1)
 
     def measure(df: DataFrame, scope: str) -> DataFrame:
-        f = df.select(F.col("_metadata.file_path").alias("_file"))
-        return f.agg(F.lit(scope).alias("scope"),
-                     F.count_distinct(_partition_dir(F.col("_file"))).cast("bigint").alias("partitions"),
-                     F.count(F.lit(1)).cast("bigint").alias("rows"))
+        files = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
+        return files.agg(F.lit(scope).alias("scope"), F.count_distinct(part).cast("bigint").alias("partitions"),
+                         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"))
 
     return measure(scan, "total").unionByName(measure(scan.filter(predicate), "scanned"))

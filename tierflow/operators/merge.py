@@ -1,16 +1,16 @@
 """Keyed incremental merge, high-water mark and in-place repair.
 
-``merge_upsert`` = "update rows whose key is in the batch, insert the rest",
-written as a new table version: only the files holding an updated key are
-rewritten (``file LEFT ANTI batch``), and the batch is added as new files.
-The batch is staged once as Parquet in the shared checkpoint folder so that the
-duplicate-key check, the bucket list and the write all read the same,
-lineage-free data (and a lost executor recomputes nothing upstream).
+``merge_rows`` is the merge as a function of two frames; ``merge_upsert`` applies
+it to the buckets of a ``KeyedTable`` that the batch touches.  Given an order,
+the stored row takes part in it: an older change that arrives late never
+replaces a newer one, and the result is the same however the changes are cut
+into batches.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.dedup import latest_per_key
 from tierflow.session import stage
-from tierflow.sources.versioned import BUCKET, VersionedTable, bucket_of, norm_path
+from tierflow.sources.storage import KeyedTable, Table, bucket_of
 
 
 class DuplicateKeyError(ValueError):
@@ -50,85 +50,50 @@ def above_mark(source: DataFrame, col: str, mark, lookback: _dt.timedelta | None
     return source.filter(F.col(col) >= ntz_literal(mark - lookback))
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    return stage(df, "merge-batch")
+def merge_rows(current: DataFrame, batch: DataFrame, key, order_by: Sequence = ()) -> DataFrame:
+    """One row per key of both; of a key in both the first under ``order_by``, then the batch's.
 
+    A NULL key is a key of its own.  One window over the union: both sides
+    are limited to one row per key before the shuffle.
+    """
+    both = (current.withColumn("_from_batch", F.lit(0))
+            .unionByName(batch.select(*current.columns).withColumn("_from_batch", F.lit(1))))
+    return latest_per_key(both, key, [*order_by, "-_from_batch"]).drop("_from_batch")
 
-def merge_upsert(table: VersionedTable, batch: DataFrame, meta: dict | None = None,
-                 check_unique: bool = True, touched: list[int] | None = None) -> int:
-    """Upsert ``batch`` into ``table`` by its key; returns the new version.
-
-    Copy-on-write at file granularity:
 
-    1. the key column of the buckets the batch touches (a columnar scan,
-       with each row's file) is semi-joined with the batch keys, giving the
-       files that hold a key being updated (one row per file);
-    2. only those files are rewritten, minus the updated keys;
-    3. the batch is written as new files.
+def merge_upsert(table: KeyedTable, batch: DataFrame, order_by: Sequence = (), check_unique: bool = True) -> None:
+    """Upsert ``batch`` into ``table``; only the buckets that hold a batch key are rewritten.
 
-    An insert-only batch (e.g. new, increasing order ids) rewrites nothing.
-    ``touched`` (the batch's buckets) may be passed by a caller that already
-    aggregated the batch; the batch must then be staged already.  Replaying
-    the same batch yields the same table (idempotent by key).
+    The batch is staged, so that the key check, the bucket list (at most one
+    number per bucket) and the merge read the same rows.  Replaying a batch
+    leaves the table as it is.
     """
-    key = table.key
-    keys = [key] if isinstance(key, str) else list(key)
-    if not table.exists():
-        if check_unique:
-            assert_unique_keys(batch, key)
-        return table.overwrite(batch, meta, operation="merge")
-    if touched is None:
-        batch = _checkpointed(batch)
-        touched = [r[0] for r in
-                   batch.select(bucket_of(key, table.buckets).alias(BUCKET)).distinct().collect()]
+    batch = stage(batch, "merge-batch")
     if check_unique:
-        assert_unique_keys(batch, key)
-    if not touched:
-        return table.replace_files(batch, [], meta)
-    batch_keys = batch.select(*keys)
-    candidate_files = table.files(buckets=touched)
-    hit: list[str] = []
-    if candidate_files:
-        candidates = (table.spark.read.schema(table.schema()).parquet(*candidate_files)
-                      .select(*keys, F.col("_metadata.file_path").alias("_file")))
-        hit_files = {norm_path(r[0]) for r in
-                     candidates.join(batch_keys, keys, "left_semi").select("_file").distinct().collect()}
-        hit = [p for p in candidate_files if norm_path(p) in hit_files]
-    if hit:
-        kept = (table.spark.read.schema(table.schema()).parquet(*hit)
-                .join(batch_keys, keys, "left_anti"))
-        return table.replace_files(kept.unionByName(batch), hit, meta)
-    return table.replace_files(batch, [], meta)
-
-
-def incremental_run(table: VersionedTable, source: DataFrame, ts_col: str, order_by,
-                    lookback: _dt.timedelta | None = None, meta: dict | None = None) -> int:
+        assert_unique_keys(batch, table.keys)
+    if not table.exists():
+        table.overwrite(batch)
+        return
+    touched = [r[0] for r in batch.select(bucket_of(table.keys, table.buckets)).distinct().collect()]
+    if touched:
+        table.replace_buckets(merge_rows(table.read(touched), batch, table.keys, order_by))
+
+
+def incremental_run(table: KeyedTable, source: DataFrame, ts_col: str, order_by: Sequence,
+                    lookback: _dt.timedelta | None = None) -> None:
     """High-water filter -> newest row per key in the batch -> merge.
 
-    The mark is ``max(ts_col)`` of the target, kept in the commit record (it
-    only grows: rows at or below it are never merged in strict mode) so an
-    incremental run never scans the target to find it.
+    The mark is ``max(ts_col)`` of the target (a scan of that one column).
     """
-    meta = dict(meta or {})
     if table.exists():
-        m = table.meta().get("high_water")
-        mark = (_dt.datetime.fromisoformat(m) if m is not None
-                else high_water_mark(table.read(), ts_col))
-        source = above_mark(source, ts_col, mark, lookback)
-    else:
-        mark = None
-    batch = _checkpointed(latest_per_key(source, table.key, order_by))
-    # One small aggregate gives both the buckets the batch touches and its max time.
-    stats = (batch.groupBy(bucket_of(table.key, table.buckets).alias(BUCKET))
-                  .agg(F.max(ts_col).alias("m")).collect())
-    bmax = max((r["m"] for r in stats if r["m"] is not None), default=None)
-    new_mark = max((x for x in (mark, bmax) if x is not None), default=None)
-    if new_mark is not None:
-        meta["high_water"] = new_mark.isoformat(sep=" ")
-    return merge_upsert(table, batch, meta, check_unique=False, touched=[r[0] for r in stats])
-
-
-def replace_with_dedup(table: VersionedTable, key, order_by) -> int:
-    """Replace a table by its own newest-row-per-key content (new version)."""
-    deduped = latest_per_key(table.read(), key, order_by)
-    return table.overwrite(deduped, table.meta(), operation="replace_dedup")
+        source = above_mark(source, ts_col, high_water_mark(table.read(), ts_col), lookback)
+    merge_upsert(table, latest_per_key(source, table.keys, order_by), order_by, check_unique=False)
+
+
+def replace_with_dedup(table: Table, key, order_by: Sequence) -> None:
+    """Replace a table by its own newest-row-per-key content (one refresh).
+
+    Rows are limited to one per key before the shuffle, so a key with a third
+    of the rows costs one row per task.
+    """
+    table.overwrite(latest_per_key(table.read(), key, order_by))

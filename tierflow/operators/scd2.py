@@ -1,19 +1,18 @@
-"""Version history (SCD type 2) by timestamp, and its as-of reads.
-
-The history is one versioned table made of closed-version folders (append
-only) and one open-version folder (one row per key, ``valid_to`` NULL).
-A run joins the source snapshot to the *open* rows only (one shuffle on the
-key over ``keys + snapshot`` rows), adds the versions it closes and rewrites
-the open set.  Closed history is never re-read or rewritten, so a run costs
-the number of keys, not the length of the history.
-
-Timestamp strategy (default): a source row opens a new version when its key
-has no open row, or when its ``updated_at`` is later than the open row's
-``valid_from``; the old row is then closed at ``updated_at``.  Check
-strategy (``check_cols``): a later row opens a new version only when one of
-the tracked columns differs (NULL-safe), so a reload of unchanged values
-keeps the open version.  Keys missing from the snapshot stay open (no
-hard-delete tracking).
+"""Version history (SCD type 2) and its rebuild from a change log.
+
+``version_changes`` is one run as a function of two frames: the source snapshot,
+left-joined to the open rows, gives the versions that open and those they
+close.  ``Scd2Table`` applies it to storage: the open rows are a ``KeyedTable``
+(one row per key, ``valid_to`` NULL) of which a run rewrites the buckets that
+hold a changed key, and each run's closed versions are a partition of their
+own that no later run reads.
+
+Timestamp strategy (default): a source row opens a version when its key has no
+open row, or when its ``updated_at`` is later than the open row's ``valid_from``;
+the old row is closed at ``updated_at``.  Check strategy (``check_cols``): a later
+row opens a version only when a tracked column differs (NULL-safe).  Keys
+missing from the snapshot stay open.  Rows with a NULL key have no history and
+are left out; a key that comes twice in one snapshot raises.
 """
 
 from __future__ import annotations
@@ -23,10 +22,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tierflow.operators.merge import assert_unique_keys, merge_upsert
 from tierflow.session import stage
-from tierflow.sources.versioned import VersionedTable, norm_path
+from tierflow.sources.storage import BatchTable, KeyedTable
 
 VALID_FROM, VALID_TO, HASH = "valid_from", "valid_to", "version_hash"
+RUN = "_run"
 
 
 def version_hash(key: str, ts: str):
@@ -34,100 +35,71 @@ def version_hash(key: str, ts: str):
     return F.sha2(F.concat_ws("|", F.col(key).cast("string"), F.col(ts).cast("string")), 256)
 
 
-def _as_versions(src: DataFrame, key: str, updated_at: str) -> DataFrame:
+def as_versions(src: DataFrame, key: str, updated_at: str) -> DataFrame:
     cols = [c for c in src.columns if c != updated_at]
     return src.select(*cols, F.col(updated_at).alias(VALID_FROM),
                       F.lit(None).cast(src.schema[updated_at].dataType).alias(VALID_TO),
                       version_hash(key, updated_at).alias(HASH))
 
 
-class Scd2Table:
-    """History stored as one keyed versioned table.
+def version_changes(open_rows: DataFrame, incoming: DataFrame, key: str, check_cols: list[str] | None = None) -> DataFrame:
+    """Rows (new, old): each version that opens, with the open row it closes (NULL for a new key).
 
-    Its entries are the *open* rows, as bucketed files (one row per key,
-    ``valid_to`` NULL), plus one folder of *closed* versions per run (no
-    bucket).  A run joins the snapshot with the open rows (one shuffle on
-    the key over ``keys + snapshot`` rows) and then writes only what changed:
+    A left join from the snapshot: open rows without a snapshot row are not
+    part of the result and need not be shuffled when Spark broadcasts the
+    snapshot or filters by its keys at run time.
+    """
+    new = incoming.select(F.col(key).alias("_key"), F.struct(*incoming.columns).alias("new"))
+    old = open_rows.select(F.col(key).alias("_key"), F.struct(*incoming.columns).alias("old"))
+    newer = F.col(f"new.{VALID_FROM}") > F.col(f"old.{VALID_FROM}")
+    if check_cols:
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in check_cols]
+        newer = newer & ~reduce(lambda a, b: a & b, same)
+    return new.join(old, "_key", "left").where(F.col("old").isNull() | newer).select("new", "old")
 
-    * the closed versions, as a new folder;
-    * the open files that held a changed key, rewritten without it;
-    * the new open versions, as new bucketed files.
 
-    All of it is one commit: a failed run commits nothing, and rerunning the
-    same snapshot after a successful run finds nothing newer and changes
-    nothing.  Unchanged keys cost a read, never a write.
-    """
+class Scd2Table:
+    """History in two parts: ``open`` (keyed buckets) and ``closed`` (one partition per run)."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str = "_inserted_at",
-                 check_cols: list[str] | None = None, buckets: int = 16):
+                 check_cols: list[str] | None = None, buckets: int | None = None):
         self.spark = spark
         self.key = key
         self.updated_at = updated_at
         self.check_cols = list(check_cols) if check_cols else None
-        self.table = VersionedTable(spark, root, key, buckets)
-
-    def _entries(self, version=None) -> list:
-        r = self.table._commit_row(version) if self.table.exists() else None
-        return (r["entries"] or []) if r else []
-
-    def open_rows(self, version=None) -> DataFrame:
-        files = [e["path"] for e in self._entries(version) if e["bucket"] is not None]
-        return self.spark.read.schema(self.table.schema(version)).parquet(*files)
-
-    def apply(self, snapshot: DataFrame) -> int:
-        """Fold one source snapshot (at most one row per key) into the history."""
-        k = self.key
-        incoming = _as_versions(snapshot, k, self.updated_at)
-        cols = incoming.columns
-        if not self.table.exists():
-            return self.table._commit("snapshot", self.table._write_data(incoming, "open"), incoming.schema)
-        cur = self.open_rows().select("*", F.col("_metadata.file_path").alias("_file"))
-        n = incoming.select(*[F.col(c).alias(f"n_{c}") for c in cols])
-        j = cur.join(n, cur[k] == n[f"n_{k}"], "full_outer")
-        has_cur, has_new = F.col(k).isNotNull(), F.col(f"n_{k}").isNotNull()
-        newer = has_cur & has_new & (F.col(f"n_{VALID_FROM}") > F.col(VALID_FROM))
-        if self.check_cols:
-            same = [F.col(f"n_{c}").eqNullSafe(F.col(c)) for c in self.check_cols]
-            newer = newer & ~reduce(lambda a, b: a & b, same)
-        take_new = (~has_cur & has_new) | newer
-        # Only keys that change are kept, written once to the shared work folder.
-        changes = stage(j.filter(take_new).withColumn("_newer", newer), "scd2-changes")
-        replaced = changes.filter(F.col("_newer"))
-        hit_files = {norm_path(r[0]) for r in replaced.select("_file").distinct().collect()}
-        entries = self._entries()
-        hit = [e["path"] for e in entries if e["bucket"] is not None and norm_path(e["path"]) in hit_files]
-        new_open = changes.select(*[F.col(f"n_{c}").alias(c) for c in cols])
-        if hit:
-            kept = (self.spark.read.schema(incoming.schema).parquet(*hit)
-                    .join(replaced.select(F.col(f"n_{k}").alias(k)), k, "left_anti"))
-            new_open = kept.unionByName(new_open)
-        closed = replaced.select(*[(F.col(f"n_{VALID_FROM}") if c == VALID_TO else F.col(c)).alias(c)
-                                   for c in cols])
-        gone = {norm_path(p) for p in hit}
-        out = [(e["path"], e["bucket"]) for e in entries if norm_path(e["path"]) not in gone]
-        if hit:
-            out += self.table._write_data(closed, "closed", bucketed=False)
-        out += self.table._write_data(new_open, "open")
-        return self.table._commit("snapshot", out, incoming.schema)
-
-    def history(self, version=None) -> DataFrame:
-        return self.table.read(version)
-
-    def compact(self) -> int:
-        """Fold the closed versions (one folder per run) into one folder and the
-        open rows (new files every run) into one file per bucket.
-
-        Old commits stay readable.
+        self.open = KeyedTable(spark, f"{root}/open", key, buckets)
+        self.closed = BatchTable(spark, f"{root}/closed", by=(RUN,))
+
+    def exists(self) -> bool:
+        return self.open.exists()
+
+    def apply(self, snapshot: DataFrame) -> None:
+        """Fold one source snapshot (at most one row per key) into the history.
+
+        The closed versions go to a partition named by their content before
+        the open rows change.  A run that failed in between is repeated with
+        the same snapshot: it closes the same versions into the same
+        partition.
         """
-        entries = self._entries()
-        closed = [e["path"] for e in entries if e["bucket"] is None]
-        schema = self.table.schema()
-        out = []
-        if closed:
-            out += self.table._write_data(self.spark.read.schema(schema).parquet(*closed), "compact",
-                                          bucketed=False)
-        out += self.table._write_data(self.open_rows(), "compact")
-        return self.table._commit("compact", out, schema)
+        incoming = stage(as_versions(snapshot.where(F.col(self.key).isNotNull()), self.key, self.updated_at), "scd2-snapshot")
+        assert_unique_keys(incoming, self.key)
+        if not self.open.exists():
+            self.open.overwrite(incoming)
+            return
+        changes = stage(version_changes(self.open.read(), incoming, self.key, self.check_cols), "scd2-changes")
+        closing = changes.where(F.col("old").isNotNull())
+        run = closing.agg(F.sum(F.xxhash64(f"old.{HASH}", f"new.{HASH}").cast("decimal(38,0)")).alias("s")).first()["s"]
+        if run is not None:
+            cols = [F.col(f"new.{VALID_FROM}").alias(c) if c == VALID_TO else F.col(f"old.{c}").alias(c) for c in incoming.columns]
+            # a partition per run: the sum of its version hashes, shifted above zero
+            self.closed.write(closing.select(*cols, F.lit(str(int(run) + 10**30)).alias(RUN)))
+        merge_upsert(self.open, changes.select("new.*"), ["-" + VALID_FROM], check_unique=False)
+
+    def history(self) -> DataFrame:
+        now = self.open.read()
+        if not self.closed.exists():
+            return now
+        return self.closed.read().select(*now.columns).unionByName(now)
 
 
 def history_from_changes(changes: DataFrame, key: str, updated_at: str) -> DataFrame:
@@ -136,5 +108,5 @@ def history_from_changes(changes: DataFrame, key: str, updated_at: str) -> DataF
     The batch equivalent of folding every snapshot through ``Scd2Table``.
     """
     w = Window.partitionBy(key).orderBy(F.col(VALID_FROM))
-    v = _as_versions(changes, key, updated_at)
+    v = as_versions(changes, key, updated_at)
     return v.withColumn(VALID_TO, F.lead(VALID_FROM).over(w))

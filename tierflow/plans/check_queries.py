@@ -13,7 +13,6 @@ from tierflow.plans.oracle import AS_OF, with_models
 from tierflow.plans.registry import register
 from tierflow.session import stage
 from tierflow.sources.fixtures import raw_clientes, raw_pedidos
-from tierflow.sources.tables import read_table
 
 
 @register("dq_not_null", with_models("bronze_pedidos") + """
@@ -79,7 +78,7 @@ def _report_models(spark, sf):
     stg_c = stage(Q.stg_c(spark, sf), "stg_clientes")
     stg_p = stage(Q.stg_p(spark, sf), "stg_pedidos")
     dim = M.dim_clientes(stg_c, AS_OF)
-    fct = stage(M.fct_pedidos(stg_p, dim, size_proof=read_table(spark, sf, "customer")), "fct_pedidos")
+    fct = stage(M.fct_pedidos(stg_p, dim), "fct_pedidos")
     return {"stg_clientes": stg_c, "stg_pedidos": stg_p, "dim_clientes": dim,
             "fct_pedidos": fct, "mart_ventas_por_ciudad": M.mart_ventas_por_ciudad(fct)}
 

@@ -9,7 +9,7 @@ from tierflow.functions.scalar import (clean_text, json_field, norm_key, parse_j
 from tierflow.operators import dedup
 from tierflow.operators.joins import orphans
 from tierflow.plans import models as M
-from tierflow.plans.oracle import AS_OF, with_models
+from tierflow.plans.oracle import AS_OF, BRONZE_PEDIDOS_NEWEST, CLIENTES_NEWEST, with_models
 from tierflow.plans.registry import register
 from tierflow.sources.fixtures import raw_clientes, raw_pedidos
 from tierflow.sources.tables import read_table
@@ -38,8 +38,7 @@ def dim_c(spark, sf):
 
 
 def fct(spark, sf):
-    # The dimension is a filtered, deduplicated subset of ``customer``: its row count bounds the dim's.
-    return M.fct_pedidos(stg_p(spark, sf), dim_c(spark, sf), size_proof=read_table(spark, sf, "customer"))
+    return M.fct_pedidos(stg_p(spark, sf), dim_c(spark, sf))
 
 
 def mart(spark, sf):
@@ -125,23 +124,22 @@ def q_safe_casts(spark, sf):
 
 # --- dedup / window operators --------------------------------------------------------------
 
-@register("latest_per_key", with_models("bronze_pedidos") + """
+@register("latest_per_key", with_models("bronze_pedidos") + f"""
 select * exclude (rn) from (
-  select *, row_number() over (partition by pedido_id
-                               order by _inserted_at desc nulls last, _batch_id desc) as rn
+  select *, row_number() over (partition by pedido_id order by {BRONZE_PEDIDOS_NEWEST}) as rn
   from bronze_pedidos) x where rn = 1""")
 def q_latest_per_key(spark, sf):
-    return dedup.latest_per_key(bronze_p(spark, sf), "pedido_id", M.NEWEST_FIRST)
+    return dedup.latest_per_key(bronze_p(spark, sf), "pedido_id", M.BRONZE_PEDIDOS_ORDER)
 
 
-@register("latest_per_expr_key", with_models("bronze_clientes") + """
+@register("latest_per_expr_key", with_models("bronze_clientes") + f"""
 select lower(trim(email)) as email_key, cliente_id, _batch_id, _inserted_at from (
   select *, row_number() over (partition by lower(trim(email))
-                               order by _inserted_at desc nulls last, _batch_id desc, cliente_id desc) as rn
+                               order by {CLIENTES_NEWEST}) as rn
   from bronze_clientes where email is not null) x where rn = 1""")
 def q_latest_per_expr_key(spark, sf):
     b = bronze_c(spark, sf).filter(F.col("email").isNotNull())
-    out = dedup.latest_per_expr_key(b, norm_key("email"), M.NEWEST_FIRST + ("-cliente_id",))
+    out = dedup.latest_per_expr_key(b, norm_key("email"), M.CLIENTES_ORDER)
     return out.select(norm_key("email").alias("email_key"), "cliente_id", "_batch_id", "_inserted_at")
 
 

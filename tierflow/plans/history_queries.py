@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierflow.operators.diff import state_as_of
+from tierflow.functions.scalar import ntz_literal
+from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.joins import asof_join, join_dimension
 from tierflow.operators.scd2 import Scd2Table, history_from_changes
 from tierflow.plans import core_queries as Q
+from tierflow.plans.incremental import batches_of
 from tierflow.plans.oracle import with_models
 from tierflow.plans.registry import register
 from tierflow.session import stage, work_dir
@@ -21,32 +23,18 @@ def customer_changes(spark, sf):
     """City moves joined with the other customer attributes from silver (left join)."""
     moves = raw_clientes_history(spark, sf)
     attrs = Q.stg_c(spark, sf).select("cliente_id", "nombre", "email", "fecha_registro")
-    return join_dimension(moves, attrs, "cliente_id", "left",
-                          size_proof=read_table(spark, sf, "customer")).select(*HISTORY_COLUMNS)
+    return join_dimension(moves, attrs, "cliente_id", "left").select(*HISTORY_COLUMNS)
 
 
-MAX_RUNS = 10_000
+def fold(table: Scd2Table, changes, order_by=()) -> Scd2Table:
+    """Apply the changes load by load, as the daily job does.
 
-
-def load_times(changes, ts_col: str, max_runs: int = MAX_RUNS) -> list:
-    """The distinct load times, one per load (more than ``max_runs`` is refused, never cut)."""
-    loads = sorted(r[0] for r in changes.select(ts_col).distinct().limit(max_runs + 1).collect())
-    if len(loads) > max_runs:
-        raise ValueError(f"more than {max_runs} distinct load times: not one time per load")
-    return loads
-
-
-def fold_history(spark, sf, max_runs: int = MAX_RUNS) -> Scd2Table:
-    """Run the snapshot once per load time: each run sees each key's newest row so far.
-
-    A load stamps one time on all its rows, so the distinct load times are
-    one per load (bounded by ``max_runs``; more is refused, never truncated).
+    A load stamps one time on all its rows, so there is one run per distinct
+    time.  A run is given the rows of its load only: earlier rows open nothing.
     """
-    changes = stage(customer_changes(spark, sf), "customer-changes")
-    loads = load_times(changes, "_inserted_at", max_runs)
-    table = Scd2Table(spark, work_dir(spark, "clientes_snapshot"), "cliente_id", "_inserted_at")
-    for t in loads:
-        table.apply(state_as_of(changes, "cliente_id", "_inserted_at", t, ["-_inserted_at"]))
+    for t in batches_of(changes, "_inserted_at"):
+        load = changes.filter(F.col("_inserted_at") == ntz_literal(t))
+        table.apply(latest_per_key(load, table.key, ["-_inserted_at", *order_by]))
     return table
 
 
@@ -64,7 +52,8 @@ _HIST_SQL = with_models("stg_clientes", "raw_clientes_history") + """
 
 @register("scd2_snapshot", _HIST_SQL + "select * from versions")
 def q_scd2(spark, sf):
-    return fold_history(spark, sf).history()
+    changes = stage(customer_changes(spark, sf), "customer-changes")
+    return fold(Scd2Table(spark, work_dir(spark, "clientes_snapshot"), "cliente_id", "_inserted_at"), changes).history()
 
 
 @register("scd2_rebuild", _HIST_SQL + "select * from versions")
@@ -87,7 +76,8 @@ from probes p left join versions v
 def q_asof(spark, sf):
     probes = read_table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", F.expr(_PROBE).alias("probe_ts"))
-    hist = fold_history(spark, sf).history().select("cliente_id", "ciudad", "valid_from", "valid_to")
+    hist = (history_from_changes(customer_changes(spark, sf), "cliente_id", "_inserted_at")
+            .select("cliente_id", "ciudad", "valid_from", "valid_to"))
     out = asof_join(probes, hist.withColumnRenamed("cliente_id", "o_custkey"), "o_custkey", "probe_ts")
     return out.select("o_orderkey", "o_custkey", "probe_ts", "ciudad", "valid_from")
 
@@ -96,7 +86,12 @@ _ORDER_VERSION_COLS = ("pedido_id", "cliente_id", "estado", "precio_unitario", "
 
 
 @register("scd2_check_strategy", with_models("bronze_pedidos") + """
-, src as (select pedido_id, cliente_id, estado, precio_unitario, cantidad, _inserted_at from bronze_pedidos)
+, src as (
+  select pedido_id, cliente_id, estado, precio_unitario, cantidad, _inserted_at from (
+    select *, row_number() over (partition by pedido_id, _inserted_at
+                                 order by cliente_id nulls first, estado nulls first, precio_unitario nulls first,
+                                          cantidad nulls first) as k
+    from bronze_pedidos) x where k = 1)
 , marked as (
   select *, row_number() over w as rn, lag(estado) over w as prev_estado, lag(precio_unitario) over w as prev_precio
   from src window w as (partition by pedido_id order by _inserted_at))
@@ -110,9 +105,6 @@ from starts""")
 def q_scd2_check(spark, sf):
     """Order history tracking (status, price); a reload with a new quantity opens no version."""
     changes = stage(Q.bronze_p(spark, sf).select(*_ORDER_VERSION_COLS), "order-changes")
-    loads = load_times(changes, "_inserted_at")
     table = Scd2Table(spark, work_dir(spark, "pedidos_snapshot"), "pedido_id", "_inserted_at",
                       check_cols=["estado", "precio_unitario"])
-    for t in loads:
-        table.apply(state_as_of(changes, "pedido_id", "_inserted_at", t, ["-_inserted_at"]))
-    return table.history()
+    return fold(table, changes, ["cliente_id", "estado", "precio_unitario", "cantidad"]).history()

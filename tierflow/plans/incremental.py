@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import clean_text
 from tierflow.operators.merge import incremental_run
-from tierflow.plans.models import NEWEST_FIRST
+from tierflow.plans.models import PEDIDOS_ORDER
 from tierflow.session import work_dir
-from tierflow.sources.versioned import VersionedTable
+from tierflow.sources.storage import KeyedTable
 
 INCREMENTAL_COLUMNS = ("pedido_id", "cliente_id", "producto", "cantidad", "precio_unitario",
                        "fecha_pedido", "estado", "_batch_id", "_inserted_at")
@@ -24,20 +24,26 @@ def incremental_source(bronze: DataFrame) -> DataFrame:
                          "_batch_id", "_inserted_at")
 
 
-def fold_batches(spark: SparkSession, bronze: DataFrame, order: list[int],
-                 lookback: _dt.timedelta | None = None, buckets: int = 16,
-                 table: VersionedTable | None = None) -> VersionedTable:
+def batches_of(rows: DataFrame, col: str = "_batch_id") -> list:
+    """The distinct batches of the data in order, one value per load; NULL, if any, comes first."""
+    return sorted((r[0] for r in rows.select(col).distinct().collect()), key=lambda b: (b is not None, b))
+
+
+def fold_batches(spark: SparkSession, bronze: DataFrame, order: list,
+                 lookback: _dt.timedelta | None = None, buckets: int | None = None,
+                 table: KeyedTable | None = None, after_run=None) -> KeyedTable:
     """Run the incremental model once per arriving batch.
 
     Run ``i`` sees the source as it stands after batches ``order[:i+1]``
     have landed (the landing table only grows); the high-water mark decides
-    which of its rows are new.
+    which of its rows are new.  ``after_run(i, table)`` is called after each run.
     """
     src = incremental_source(bronze)
-    table = table or VersionedTable(spark, work_dir(spark, "pedidos_incremental"), "pedido_id", buckets)
-    landed: list[int] = []
-    for b in order:
-        landed.append(b)
-        incremental_run(table, src.filter(F.col("_batch_id").isin(landed)), "_inserted_at",
-                        NEWEST_FIRST, lookback=lookback, meta={"run_batch": b})
+    table = table or KeyedTable(spark, work_dir(spark, "pedidos_incremental"), "pedido_id", buckets)
+    landed = F.lit(False)
+    for i, b in enumerate(order):
+        landed = landed | F.col("_batch_id").eqNullSafe(F.lit(b))
+        incremental_run(table, src.filter(landed), "_inserted_at", PEDIDOS_ORDER, lookback=lookback)
+        if after_run:
+            after_run(i, table)
     return table

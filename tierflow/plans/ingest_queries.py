@@ -13,12 +13,13 @@ from tierflow.operators.layout import pruning_report, write_clustered, write_ran
 from tierflow.plans import core_queries as Q
 from tierflow.plans import models as M
 from tierflow.plans.oracle import AS_OF, with_models
+from tierflow.plans.incremental import batches_of
 from tierflow.plans.pipeline import run_pipeline
 from tierflow.plans.registry import register
 from tierflow.session import work_dir
 from tierflow.sources.fixtures import raw_clientes, raw_pedidos
 from tierflow.sources.tables import RAW_CLIENTES_SCHEMA, ensure_table, layer_path, scan_raw
-from tierflow.sources.versioned import VersionedTable
+from tierflow.sources.storage import BatchTable
 
 
 @register("scan_raw_orders", with_models("raw_pedidos") + "select * from raw_pedidos")
@@ -40,12 +41,12 @@ _RAW_C_COLS = ["id", "nombre", "email", "ciudad", "fecha_registro"]
 
 @register("raw_append_batch", with_models("raw_clientes") + "select * from raw_clientes")
 def q_raw_append(spark, sf):
-    """A5: three loads, each stamped with the next batch id and its own load time."""
-    t = VersionedTable(spark, work_dir(spark, "raw_clientes"))
-    src = raw_clientes(spark, sf).select(*_RAW_C_COLS)
-    for part in range(3):
-        loaded_at = _dt.datetime(2024, 1, 1) + _dt.timedelta(days=next_batch_for(t))
-        append_batch(t, src.filter(F.col("id") % 3 == part), loaded_at)
+    """A5: one load per batch of the data, each stamped with the next batch id and its load time."""
+    t = BatchTable(spark, work_dir(spark, "raw_clientes"))
+    src = raw_clientes(spark, sf)
+    for b in batches_of(src):
+        rows = src.filter(F.col("_batch_id").eqNullSafe(F.lit(b))).select(*_RAW_C_COLS)
+        append_batch(t, rows, _dt.datetime(2024, 1, 1) + _dt.timedelta(days=next_batch_for(t)))
     return t.read().select(*RAW_CLIENTES_SCHEMA.fieldNames())
 
 
@@ -71,7 +72,7 @@ def q_parse_json_ingest(spark, sf):
     """Positional values with JSON text, parsed to VARIANT on insert, read back."""
     values = raw_pedidos(spark, sf).select(*_PED_NAMES)
     values = values.toDF(*[f"c{i + 1}" for i in range(len(_PED_NAMES))])  # $1 .. $9
-    t = VersionedTable(spark, work_dir(spark, "raw_pedidos_json"))
+    t = BatchTable(spark, work_dir(spark, "raw_pedidos_json"))
     insert_parsed(t, values, _PED_NAMES, ["atributos_extra"])
     return t.read().select("id", "_batch_id", variant_keys("atributos_extra").alias("attr_keys"),
                            json_field("atributos_extra", "color").alias("color"),

@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import (as_of, clean_text, days_between, json_field, norm_key,
                                        parse_json_safe, safe_date, safe_decimal, safe_int)
-from tierflow.operators.dedup import distinct_rows, latest_per_expr_key, latest_per_key
+from tierflow.operators.dedup import latest_per_expr_key, latest_per_key
 from tierflow.operators.joins import join_dimension
 
-# Total order for "newest row wins": load time (NULL last), then batch, then id.
+# "Newest row wins": load time (NULL last), then batch.  One load stamps all its rows
+# alike, so each model breaks ties by all its other columns: the order is total.
 NEWEST_FIRST = ("-_inserted_at", "-_batch_id")
+CLIENTES_ORDER = (*NEWEST_FIRST, "-cliente_id", "nombre", "email", "ciudad", "fecha_registro")
+PEDIDOS_ORDER = (*NEWEST_FIRST, "cliente_id", "producto", "cantidad", "precio_unitario", "fecha_pedido", "estado")
+BRONZE_PEDIDOS_ORDER = (*PEDIDOS_ORDER, "atributos_extra")
 
 
 # --- bronze: rename + safe casts (I1, B1, B2) ---------------------------------
@@ -44,13 +48,14 @@ def bronze_pedidos(raw: DataFrame) -> DataFrame:
 # --- silver (I2, I3, I4) ---------------------------------------------------------
 
 def stg_clientes(bronze: DataFrame, as_of_date=None) -> DataFrame:
-    """Distinct -> valid email -> newest per normalised email -> date in range.
+    """Valid email -> newest per normalised email -> date in range.
 
-    The date filter runs *after* the per-email dedup: an email whose newest
-    row has a bad date disappears entirely.
+    The order is total, so equal rows need no distinct first: one of them is
+    kept either way.  The date filter runs *after* the per-email dedup: an
+    email whose newest row has a bad date disappears entirely.
     """
-    valid = distinct_rows(bronze).filter(F.col("email").isNotNull() & F.col("email").like("%@%"))
-    newest = latest_per_expr_key(valid, norm_key("email"), NEWEST_FIRST + ("-cliente_id",))
+    valid = bronze.filter(F.col("email").isNotNull() & F.col("email").like("%@%"))
+    newest = latest_per_expr_key(valid, norm_key("email"), CLIENTES_ORDER)
     return (newest
             .filter(F.col("fecha_registro").between(F.lit("2020-01-01").cast("date"), as_of(as_of_date)))
             .select("cliente_id",
@@ -66,7 +71,7 @@ def _invalid_amount(c: str):
 
 def stg_pedidos(bronze: DataFrame, as_of_date=None) -> DataFrame:
     """Newest row per order id, JSON attributes promoted, quality flags, dated rows only."""
-    newest = latest_per_key(bronze, "pedido_id", NEWEST_FIRST)
+    newest = latest_per_key(bronze, "pedido_id", BRONZE_PEDIDOS_ORDER)
     attrs = parse_json_safe("atributos_extra")
     today = as_of(as_of_date)
     return (newest
@@ -110,12 +115,12 @@ def dim_clientes(stg: DataFrame, as_of_date=None) -> DataFrame:
                       days_between("fecha_registro", as_of(as_of_date)).alias("dias_como_cliente"))
 
 
-def fct_pedidos(stg_orders: DataFrame, dim: DataFrame, **join_opts) -> DataFrame:
+def fct_pedidos(stg_orders: DataFrame, dim: DataFrame) -> DataFrame:
     """Clean orders x customer dimension; amount = quantity x unit price."""
     clean = stg_orders.filter(~F.col("flag_cantidad_invalida")
                               & ~F.col("flag_precio_invalido")
                               & ~F.col("flag_fecha_futura"))
-    joined = join_dimension(clean, dim.select("cliente_id", "ciudad"), "cliente_id", **join_opts)
+    joined = join_dimension(clean, dim.select("cliente_id", "ciudad"), "cliente_id")
     return joined.select(
         "pedido_id", "cliente_id", "ciudad", "producto", "cantidad", "precio_unitario",
         (F.col("cantidad") * F.col("precio_unitario")).cast("decimal(21,2)").alias("monto_total"),

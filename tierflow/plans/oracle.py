@@ -12,6 +12,13 @@ from tierflow.sources.fixtures import oracle_ctes
 
 AS_OF = "2025-01-01"
 
+# Total orders of "newest row wins" (the same column lists as the models').
+CLIENTES_NEWEST = """_inserted_at desc nulls last, _batch_id desc nulls last, cliente_id desc nulls last,
+  nombre nulls first, email nulls first, ciudad nulls first, fecha_registro nulls first"""
+PEDIDOS_NEWEST = """_inserted_at desc nulls last, _batch_id desc nulls last, cliente_id nulls first, producto nulls first,
+  cantidad nulls first, precio_unitario nulls first, fecha_pedido nulls first, estado nulls first"""
+BRONZE_PEDIDOS_NEWEST = PEDIDOS_NEWEST + ", atributos_extra nulls first"
+
 # Model CTEs (DuckDB dialect), in dependency order.
 _MODELS = {
     "bronze_clientes": """
@@ -27,7 +34,7 @@ from raw_pedidos""",
 select cliente_id, trim(nombre) as nombre, lower(trim(email)) as email, trim(ciudad) as ciudad,
        fecha_registro, _batch_id, _inserted_at
 from (select *, row_number() over (partition by lower(trim(email))
-                                   order by _inserted_at desc nulls last, _batch_id desc, cliente_id desc) as rn
+                                   order by {CLIENTES_NEWEST}) as rn
       from (select distinct * from bronze_clientes) d
       where email is not null and email like '%@%') x
 where rn = 1 and fecha_registro between date '2020-01-01' and date '{AS_OF}'""",
@@ -44,7 +51,7 @@ select pedido_id, cliente_id, trim(producto) as producto, cantidad, precio_unita
        (precio_unitario is null or precio_unitario <= 0) as flag_precio_invalido,
        coalesce(fecha_pedido > date '{AS_OF}', false) as flag_fecha_futura
 from (select *, row_number() over (partition by pedido_id
-                                   order by _inserted_at desc nulls last, _batch_id desc) as rn
+                                   order by {BRONZE_PEDIDOS_NEWEST}) as rn
       from bronze_pedidos) d
 where rn = 1 and fecha_pedido is not null""",
     "dim_clientes": f"""

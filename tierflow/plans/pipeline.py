@@ -1,13 +1,15 @@
 """The daily job (I10): ingest -> build -> test -> snapshot, as one Spark job function.
 
-Tables are materialised as ``VersionedTable`` versions under
-``<base>/<env>/<layer>/<name>``.  The flattened-attributes view stays a lazy
-DataFrame (``flatten_view``); silver is materialised because it has many
-readers in one run.  Each materialised table is
-read back from its files, which cuts lineage: a lost executor later in the
-job re-reads Parquet instead of recomputing earlier layers.  The data tests
-run on the built tables; an ``error`` failure stops the job before the
-snapshot, a ``warn`` failure does not.
+A run takes one new batch.  Raw and bronze are append-only: the run adds the
+batch's partition and casts that partition alone.  The incremental table merges
+what is above its mark, and the snapshot folds today's customers into their
+history.  Silver, dimension, fact and mart are rebuilt from all of bronze, as
+their definition asks (the newest row per key may be in any batch); silver is
+written once because it has many readers in one run.  A run that failed, or is
+repeated, replaces its own partitions and changes nothing else.
+
+The data tests run on the built tables; an ``error`` failure stops the job
+before the snapshot, a ``warn`` failure does not.
 """
 
 from __future__ import annotations
@@ -15,23 +17,24 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierflow.operators.checks import CheckFailed, duplicate_keys, enforce, run_checks
+from tierflow.operators.merge import incremental_run
 from tierflow.operators.scd2 import Scd2Table
 from tierflow.plans import models as M
 from tierflow.plans.data_tests import model_checks
-from tierflow.plans.incremental import incremental_source
-from tierflow.operators.merge import incremental_run
+from tierflow.plans.incremental import batches_of, incremental_source
 from tierflow.sources.fixtures import raw_clientes, raw_pedidos
+from tierflow.sources.storage import BatchTable, KeyedTable, Table
 from tierflow.sources.tables import layer_path
-from tierflow.sources.versioned import VersionedTable
 
 SNAPSHOT_COLUMNS = ("cliente_id", "nombre", "email", "ciudad", "fecha_registro", "_inserted_at")
 
 
 @dataclass
 class PipelineRun:
-    tables: dict[str, VersionedTable]
+    tables: dict[str, Table | BatchTable]
     report: list
     snapshot: Scd2Table
 
@@ -43,45 +46,47 @@ class PipelineRun:
         return M.flatten_attributes(self.read("bronze_pedidos"))
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, base: str, env: str = "dev",
-                 as_of_date=None, buckets: int = 16, checks=None) -> PipelineRun:
-    """Run the job; ``checks`` defaults to the models' 13 data tests."""
-    def table(layer: str, name: str, key=None) -> VersionedTable:
-        return VersionedTable(spark, layer_path(base, env, layer, name), key, buckets)
+def run_batch(spark: SparkSession, clientes: DataFrame, pedidos: DataFrame, base: str, env: str = "dev",
+              as_of_date=None, checks=None) -> PipelineRun:
+    """Run the job on one batch of raw rows, stamped with its ``_batch_id`` and load time.
+
+    ``checks`` defaults to the models' 13 data tests.
+    """
+    def path(layer: str, name: str) -> str:
+        return layer_path(base, env, layer, name)
+
+    tables: dict[str, Table | BatchTable] = {}
 
-    def build(t: VersionedTable, df: DataFrame) -> DataFrame:
+    def append(layer: str, name: str, df: DataFrame) -> DataFrame:
+        t = tables[name] = BatchTable(spark, path(layer, name))
+        t.write(df)
+        return t.read().select(*df.columns)
+
+    def build(layer: str, name: str, df: DataFrame) -> DataFrame:
+        t = tables[name] = Table(spark, path(layer, name))
         t.overwrite(df)
         return t.read()
 
-    tables: dict[str, VersionedTable] = {}
-    # 1. ingest: land the raw layer.
-    for name, df in (("raw_clientes", raw_clientes(spark, sf_dir)), ("raw_pedidos", raw_pedidos(spark, sf_dir))):
-        tables[name] = table("raw", name)
-        tables[name].overwrite(df)
-
-    # 2. build: bronze tables, silver views, incremental table, gold tables.
-    tables["bronze_clientes"] = table("bronze", "bronze_clientes")
-    bronze_c = build(tables["bronze_clientes"], M.bronze_clientes(tables["raw_clientes"].read()))
-    tables["bronze_pedidos"] = table("bronze", "bronze_pedidos")
-    bronze_p = build(tables["bronze_pedidos"], M.bronze_pedidos(tables["raw_pedidos"].read()))
-    # Silver is a view per model, but gold, six checks and the snapshot all read it:
-    # the job materialises it once rather than recomputing a window per reader.
-    tables["stg_clientes"] = table("silver", "stg_clientes")
-    stg_c = build(tables["stg_clientes"], M.stg_clientes(bronze_c, as_of_date))
-    tables["stg_pedidos"] = table("silver", "stg_pedidos")
-    stg_p = build(tables["stg_pedidos"], M.stg_pedidos(bronze_p, as_of_date))
-    tables["pedidos_incremental"] = table("silver", "pedidos_incremental", "pedido_id")
-    incremental_run(tables["pedidos_incremental"], incremental_source(bronze_p), "_inserted_at", M.NEWEST_FIRST)
-    tables["dim_clientes"] = table("gold", "dim_clientes")
-    dim = build(tables["dim_clientes"], M.dim_clientes(stg_c, as_of_date))
-    tables["fct_pedidos"] = table("gold", "fct_pedidos")
+    # 1. ingest: the batch joins the raw layer
+    batches = {}
+    for name, df in (("clientes", clientes), ("pedidos", pedidos)):
+        ids = batches_of(df)
+        batches[name] = append("raw", f"raw_{name}", df).where(F.col("_batch_id").isin(ids))
+
+    # 2. build: bronze of the new batch; silver, incremental table and gold
+    bronze_c = append("bronze", "bronze_clientes", M.bronze_clientes(batches["clientes"]))
+    bronze_p = append("bronze", "bronze_pedidos", M.bronze_pedidos(batches["pedidos"]))
+    stg_c = build("silver", "stg_clientes", M.stg_clientes(bronze_c, as_of_date))
+    stg_p = build("silver", "stg_pedidos", M.stg_pedidos(bronze_p, as_of_date))
+    tables["pedidos_incremental"] = KeyedTable(spark, path("silver", "pedidos_incremental"), "pedido_id")
+    incremental_run(tables["pedidos_incremental"], incremental_source(bronze_p), "_inserted_at", M.PEDIDOS_ORDER)
+    dim = build("gold", "dim_clientes", M.dim_clientes(stg_c, as_of_date))
     # Email dedup does not make the customer id unique: gate the join on it, or
     # duplicate dimension rows would multiply orders in the fact table.
-    if duplicate_keys(dim, "cliente_id").limit(1).count():
+    if not duplicate_keys(dim, "cliente_id").isEmpty():
         raise CheckFailed("dim_clientes.cliente_id is not unique; fact join not built")
-    fct = build(tables["fct_pedidos"], M.fct_pedidos(stg_p, dim))
-    tables["mart_ventas_por_ciudad"] = table("gold", "mart_ventas_por_ciudad")
-    mart = build(tables["mart_ventas_por_ciudad"], M.mart_ventas_por_ciudad(fct))
+    fct = build("gold", "fct_pedidos", M.fct_pedidos(stg_p, dim))
+    mart = build("gold", "mart_ventas_por_ciudad", M.mart_ventas_por_ciudad(fct))
 
     # 3. test: 13 checks, one small result row each; an error stops the job here.
     models = {"stg_clientes": stg_c, "stg_pedidos": stg_p, "dim_clientes": dim,
@@ -90,6 +95,16 @@ def run_pipeline(spark: SparkSession, sf_dir: str, base: str, env: str = "dev",
     enforce(report)
 
     # 4. snapshot: fold today's customers into their version history.
-    snap = Scd2Table(spark, layer_path(base, env, "snapshots", "clientes_snapshot"), "cliente_id", "_inserted_at")
+    snap = Scd2Table(spark, path("snapshots", "clientes_snapshot"), "cliente_id", "_inserted_at")
     snap.apply(stg_c.select(*SNAPSHOT_COLUMNS))
     return PipelineRun(tables, report, snap)
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str, base: str, env: str = "dev", as_of_date=None, checks=None) -> PipelineRun:
+    """The job once per batch found in the data, in order; returns the last run."""
+    clientes, pedidos = raw_clientes(spark, sf_dir), raw_pedidos(spark, sf_dir)
+    run = None
+    for b in batches_of(clientes.select("_batch_id").unionByName(pedidos.select("_batch_id"))):
+        mine = F.col("_batch_id").eqNullSafe(F.lit(b))
+        run = run_batch(spark, clientes.where(mine), pedidos.where(mine), base, env, as_of_date, checks)
+    return run

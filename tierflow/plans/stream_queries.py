@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tierflow.plans.incremental import batches_of
 from tierflow.plans.oracle import with_models
 from tierflow.plans.registry import register
 from tierflow.session import work_dir
 from tierflow.sources.fixtures import raw_pedidos
-from tierflow.sources.versioned import VersionedTable
-from tierflow.streaming.changes import ChangeStream, InjectedFault, fail_once
-from tierflow.streaming.pipe import SOURCE_FILE, FilePipe, pipe_schema, read_landing, write_landing
+from tierflow.sources.storage import KeyedTable
+from tierflow.streaming.changes import CONSUMED_BATCH, ChangeStream, consumer_table
+from tierflow.streaming.pipe import DELIVERY, FilePipe, pipe_schema, read_landing, write_landing
 
 CSV_COLUMNS = ["id", "cliente_id", "producto", "cantidad", "precio_unitario", "fecha_pedido", "estado"]
 
@@ -33,10 +34,13 @@ from {raw_pedidos}"""
 _CSV_ORACLE = (with_models("raw_pedidos").rstrip("\n")
                + ",\ncsv_pedidos as (" + CSV_PEDIDOS_SQL.format(raw_pedidos="raw_pedidos") + ")\n")
 _COLS = ", ".join(CSV_COLUMNS)
+_CSV_TIES = ", ".join(f"{c} nulls first" for c in CSV_COLUMNS[1:])
 _LATEST_SQL = _CSV_ORACLE + f"""
 select {_COLS} from (
-  select *, row_number() over (partition by id order by _batch_id desc) as rn from csv_pedidos) x
+  select *, row_number() over (partition by id order by _batch_id desc, {_CSV_TIES}) as rn from csv_pedidos) x
 where rn = 1"""
+# The deliveries after the first two.
+_LATER = "_batch_id not in (select distinct _batch_id from csv_pedidos order by 1 limit 2)"
 
 
 def csv_deliveries(spark, sf):
@@ -54,6 +58,7 @@ class _Setup:
         self.pipe = FilePipe(spark, self.landing, f"{root}/pedidos_loaded", f"{root}/_ck/pipe")
         self.changes = ChangeStream(spark, self.pipe.target, pipe_schema(), f"{root}/_ck/changes")
         self.root = root
+        self.batches = batches_of(self.rows)
 
     def land(self, *batches: int) -> None:
         for b in batches:
@@ -63,14 +68,17 @@ class _Setup:
         self.land(*batches)
         return self.pipe.run()
 
-    def target(self, name: str, key=None) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{name}", key)
+    def consumer(self):
+        return consumer_table(self.spark, f"{self.root}/consumer")
+
+    def current(self) -> KeyedTable:
+        return KeyedTable(self.spark, f"{self.root}/orders_current", "id")
 
 
 @register("csv_ingest", _CSV_ORACLE + f"select {_COLS} from csv_pedidos")
 def q_csv_ingest(spark, sf):
     s = _Setup(spark, sf)
-    s.land(1, 2, 3, 4)
+    s.land(*s.batches)
     return read_landing(spark, s.landing).select(*CSV_COLUMNS)
 
 
@@ -78,37 +86,35 @@ def q_csv_ingest(spark, sf):
 def q_stream_file_ingest(spark, sf):
     """Deliveries arrive in three steps; a fourth run finds nothing and loads nothing."""
     s = _Setup(spark, sf)
-    s.land_and_load(1)
-    s.land_and_load(2, 3)
-    s.land_and_load(4)
+    for step in (s.batches[:1], s.batches[1:3], s.batches[3:]):
+        s.land_and_load(*step)
     if s.pipe.run() != 0:
         raise AssertionError("a pipe run with no new file loaded rows")
     return s.pipe.table().select(*CSV_COLUMNS)
 
 
-@register("stream_consume_changes", _CSV_ORACLE + f"select {_COLS} from csv_pedidos where _batch_id in (3, 4)")
+@register("stream_consume_changes", _CSV_ORACLE + f"select {_COLS} from csv_pedidos where {_LATER}")
 def q_consume_changes(spark, sf):
     """The rows the second consumption picked up: exactly those loaded since the first."""
     s = _Setup(spark, sf)
-    target = s.target("consumer")
-    s.land_and_load(1, 2)
-    s.changes.consume_into(target)
-    mark = int(target.meta()["stream_batch"])
-    s.land_and_load(3, 4)
+    target = s.consumer()
+    s.land_and_load(*s.batches[:2])
+    first = s.changes.consume_into(target)
+    s.land_and_load(*s.batches[2:])
     s.changes.consume_into(target)
-    return target.read().filter(F.col("_consumed_batch") > mark).select(*CSV_COLUMNS)
+    return target.read().filter(F.col(CONSUMED_BATCH) >= first).select(*CSV_COLUMNS)
 
 
 def _consumed_then_loaded(spark, sf):
     s = _Setup(spark, sf)
-    target = s.target("consumer")
-    s.land_and_load(1, 2)
+    target = s.consumer()
+    s.land_and_load(*s.batches[:2])
     s.changes.consume_into(target)
-    s.land_and_load(3, 4)
+    s.land_and_load(*s.batches[2:])
     return s, target
 
 
-@register("peek_changes", _CSV_ORACLE + f"select {_COLS} from csv_pedidos where _batch_id in (3, 4)")
+@register("peek_changes", _CSV_ORACLE + f"select {_COLS} from csv_pedidos where {_LATER}")
 def q_peek_changes(spark, sf):
     """What is waiting after the first consumption, read without consuming it."""
     s, target = _consumed_then_loaded(spark, sf)
@@ -119,7 +125,7 @@ _PEEK_ORDER = ["id", "cliente_id", "producto", "cantidad", "precio_unitario", "f
 
 
 @register("peek_first_rows", _CSV_ORACLE + f"""
-select {_COLS} from csv_pedidos where _batch_id in (3, 4)
+select {_COLS} from csv_pedidos where {_LATER}
 order by {", ".join(c + " nulls first" for c in _PEEK_ORDER)} limit 5""")
 def q_peek_first_rows(spark, sf):
     """the first five waiting rows in key order (a top-k, planned as TakeOrderedAndProject)."""
@@ -128,17 +134,17 @@ def q_peek_first_rows(spark, sf):
     return pending.orderBy(*[F.col(c).asc_nulls_first() for c in _PEEK_ORDER]).limit(5)
 
 
-# Newest change of a key within one micro-batch: the later delivery wins.
-_NEWEST_DELIVERY = ["-" + SOURCE_FILE]
+# Newest change of a key: the later delivery by number, then a fixed order of its values.
+_NEWEST_DELIVERY = ["-" + DELIVERY, *CSV_COLUMNS[1:]]
 
 
 @register("stream_merge_upsert", _LATEST_SQL)
 def q_stream_merge(spark, sf):
     """Each consumption merges waiting changes into a keyed table."""
     s = _Setup(spark, sf)
-    target = s.target("orders_current", key="id")
-    for batches in ((1,), (2, 3), (4,)):
-        s.land_and_load(*batches)
+    target = s.current()
+    for step in (s.batches[:1], s.batches[1:3], s.batches[3:]):
+        s.land_and_load(*step)
         s.changes.upsert_into(target, _NEWEST_DELIVERY)
     return target.read().select(*CSV_COLUMNS)
 
@@ -147,8 +153,8 @@ def q_stream_merge(spark, sf):
 def q_stream_noop(spark, sf):
     """After a full consumption nothing is waiting and a rerun processes no batch."""
     s = _Setup(spark, sf)
-    target = s.target("consumer")
-    s.land_and_load(1, 2, 3, 4)
+    target = s.consumer()
+    s.land_and_load(*s.batches)
     s.changes.consume_into(target)
     if s.changes.has_data(target):
         raise AssertionError("data still waiting after a full consumption")
@@ -159,27 +165,13 @@ def q_stream_noop(spark, sf):
     return target.read().select(*CSV_COLUMNS)
 
 
-def _run_with_retry(fn) -> None:
-    try:
-        fn()
-    except Exception as e:  # noqa: BLE001 - the stream wraps the fault
-        if "injected fault" not in str(e):
-            raise
-        fn()  # rerun from the checkpoint: the failed batch is replayed
-
-
 @register("stream_retry_after_error", _LATEST_SQL)
 def q_stream_retry(spark, sf):
-    """One batch fails after its write, another before it; reruns apply each exactly once."""
+    """All changes are consumed again from a lost checkpoint; the merge leaves one row per key, the newest."""
     s = _Setup(spark, sf)
-    target = s.target("orders_current", key="id")
-    s.land_and_load(1)
-    hook = fail_once(0, "after")
-    _run_with_retry(lambda: s.changes.upsert_into(target, _NEWEST_DELIVERY, fault=hook))
-    s.land_and_load(2, 3, 4)
-    hook = fail_once(1, "before")
-    _run_with_retry(lambda: s.changes.upsert_into(target, _NEWEST_DELIVERY, fault=hook))
+    target = s.current()
+    s.land_and_load(*s.batches)
+    s.changes.upsert_into(target, _NEWEST_DELIVERY)
+    replay = ChangeStream(spark, s.pipe.target, pipe_schema(), f"{s.root}/_ck/replay", max_files_per_trigger=1)
+    replay.upsert_into(target, _NEWEST_DELIVERY)
     return target.read().select(*CSV_COLUMNS)
-
-
-__all__ = ["InjectedFault"]

@@ -1,102 +1,158 @@
-"""Registered queries for versioned tables: merge, high-water mark, late data,
-in-place repair, full refresh, time travel, recovery and version diff."""
+"""Registered queries for stored tables: merge, high-water mark, late data,
+in-place repair, full refresh, dated copies, recovery and diff."""
 
 from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.diff import deleted_rows, state_as_of, table_diff
 from tierflow.operators.merge import above_mark, high_water_mark, replace_with_dedup
 from tierflow.plans import core_queries as Q
-from tierflow.plans.incremental import INCREMENTAL_COLUMNS, fold_batches, incremental_source
-from tierflow.plans.models import NEWEST_FIRST
-from tierflow.plans.oracle import with_models
+from tierflow.plans.incremental import INCREMENTAL_COLUMNS, batches_of, fold_batches, incremental_source
+from tierflow.plans.models import PEDIDOS_ORDER
+from tierflow.plans.oracle import PEDIDOS_NEWEST, with_models
 from tierflow.plans.registry import register
-from tierflow.session import work_dir
-from tierflow.sources.versioned import VersionedTable
+from tierflow.session import stage, work_dir
+from tierflow.sources.storage import BatchTable, Table
 
 _INC_SRC = """
 , inc_src as (
 select pedido_id, cliente_id, trim(producto) as producto, cantidad, precio_unitario, fecha_pedido, estado,
        _batch_id, _inserted_at from bronze_pedidos)"""
 
+# Batches in order of arrival: the first two, and all.
+_FIRST = "(select distinct _batch_id from inc_src order by 1 limit {n})"
+
 
 def _latest(where: str) -> str:
     return f"""select * exclude (rn) from (
-  select *, row_number() over (partition by pedido_id
-                               order by _inserted_at desc nulls last, _batch_id desc) as rn
+  select *, row_number() over (partition by pedido_id order by {PEDIDOS_NEWEST}) as rn
   from inc_src where {where}) x where rn = 1"""
 
 
 _BASE = with_models("bronze_pedidos") + _INC_SRC + "\n"
 
 
+def _bronze(spark, sf) -> DataFrame:
+    """Bronze orders, written once: the fold reads them for every batch."""
+    return stage(Q.bronze_p(spark, sf), "bronze_pedidos")
+
+
+def _late_first(batches: list) -> list:
+    return [*batches[1:2], *batches[:1], *batches[2:]]
+
+
 @register("incremental_merge", _BASE + _latest("true"))
 def q_incremental_merge(spark, sf):
-    return fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4]).read()
+    b = _bronze(spark, sf)
+    return fold_batches(spark, b, batches_of(b)).read()
 
 
-@register("late_arrivals", _BASE + _latest("_batch_id in (2, 3, 4)"))
+@register("late_arrivals", _BASE + _latest(f"_batch_id not in {_FIRST.format(n=1)}"))
 def q_late_arrivals(spark, sf):
-    """Batch 1 lands after batch 2: strict mode skips its rows (at or below the mark)."""
-    return fold_batches(spark, Q.bronze_p(spark, sf), [2, 1, 3, 4]).read()
+    """The first batch lands after the second: strict mode skips its rows (at or below the mark)."""
+    b = _bronze(spark, sf)
+    return fold_batches(spark, b, _late_first(batches_of(b))).read()
 
 
-@register("highwater_filter", _BASE + """
+@register("late_arrivals_lookback", _BASE + _latest("true"))
+def q_late_arrivals_lookback(spark, sf):
+    """G7 with ``lookback``: the late batch is re-read under the mark and merged (newest row wins)."""
+    b = _bronze(spark, sf)
+    return fold_batches(spark, b, _late_first(batches_of(b)), lookback=_dt.timedelta(days=3)).read()
+
+
+@register("highwater_filter", _BASE + f"""
 select * from inc_src
-where _batch_id <= 3
-  and _inserted_at > (select coalesce(max(_inserted_at), timestamp '1900-01-01') from inc_src where _batch_id <= 2)""")
+where _batch_id in {_FIRST.format(n=3)}
+  and _inserted_at > (select coalesce(max(_inserted_at), timestamp '1900-01-01') from inc_src
+                      where _batch_id in {_FIRST.format(n=2)})""")
 def q_highwater(spark, sf):
-    src = incremental_source(Q.bronze_p(spark, sf))
-    table = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2])
-    mark = high_water_mark(table.read(), "_inserted_at")
-    return above_mark(src.filter(F.col("_batch_id") <= 3), "_inserted_at", mark)
+    b = _bronze(spark, sf)
+    batches = batches_of(b)
+    mark = high_water_mark(fold_batches(spark, b, batches[:2]).read(), "_inserted_at")
+    return above_mark(incremental_source(b).filter(F.col("_batch_id").isin(batches[:3])), "_inserted_at", mark)
 
 
 @register("replace_table_dedup", _BASE + _latest("true"))
 def q_replace_dedup(spark, sf):
-    t = VersionedTable(spark, work_dir(spark, "bronze_repair"), "pedido_id")
+    t = Table(spark, work_dir(spark, "bronze_repair"))
     t.overwrite(incremental_source(Q.bronze_p(spark, sf)))
-    replace_with_dedup(t, "pedido_id", NEWEST_FIRST)
+    replace_with_dedup(t, "pedido_id", PEDIDOS_ORDER)
     return t.read()
 
 
 @register("full_refresh_roundtrip", with_models("dim_clientes") + "select * from dim_clientes")
 def q_full_refresh(spark, sf):
-    t = VersionedTable(spark, work_dir(spark, "dim_clientes"))
-    dim = Q.dim_c(spark, sf)
-    t.overwrite(dim)
-    t.overwrite(dim)
+    """A10: the dimension is refreshed twice, the second time from the table itself."""
+    t = Table(spark, work_dir(spark, "dim_clientes"))
+    t.overwrite(Q.dim_c(spark, sf))
+    t.overwrite(t.read())
     return t.read()
 
 
-@register("table_as_of", _BASE + _latest("_batch_id <= 2"))
+def _dated_copies(spark, sf) -> BatchTable:
+    """The incremental table with a copy after every run, the copy's number its partition.
+
+    Time travel as a Spark user keeps it: dated copies in partitions, pruned
+    by their number when one is read.
+    """
+    copies = BatchTable(spark, work_dir(spark, "pedidos_copies"), by=("_copy",))
+    b = _bronze(spark, sf)
+
+    def keep(i: int, table) -> None:
+        at = ntz_literal(_dt.datetime(2024, 1, 1) + _dt.timedelta(days=i))
+        copies.write(table.read().withColumn("_copied_at", at).withColumn("_copy", F.lit(i)))
+
+    fold_batches(spark, b, batches_of(b), after_run=keep)
+    return copies
+
+
+def _copy(copies: BatchTable, n: int) -> DataFrame:
+    return copies.read().where(F.col("_copy") == n).select(*INCREMENTAL_COLUMNS)
+
+
+@register("table_as_of", _BASE + _latest(f"_batch_id in {_FIRST.format(n=2)}"))
 def q_table_as_of(spark, sf):
-    """Version 1 of the incremental table = its state after the second run."""
-    t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
-    return t.read(version=1)
+    """The incremental table as it stood after the second run."""
+    return _copy(_dated_copies(spark, sf), 1)
+
+
+@register("table_at_commit_time", _BASE + _latest(f"_batch_id in {_FIRST.format(n=2)}"))
+def q_table_at_commit_time(spark, sf):
+    """D7 ``AT(TIMESTAMP)``: the newest copy made by noon of the second run's day."""
+    copies = _dated_copies(spark, sf)
+    noon = ntz_literal(_dt.datetime(2024, 1, 2, 12))
+    n = copies.read().where(F.col("_copied_at") <= noon).agg(F.max("_copy")).first()[0]
+    return _copy(copies, n)
+
+
+@register("table_before_commit", _BASE + _latest("_batch_id <> (select max(_batch_id) from inc_src)"))
+def q_table_before_commit(spark, sf):
+    """D7 ``BEFORE(STATEMENT)``: the table as it was just before the last merge."""
+    copies = _dated_copies(spark, sf)
+    return _copy(copies, copies.batches()[-2])
 
 
 @register("table_as_of_time", _BASE + _latest("_inserted_at <= timestamp '2024-01-03 00:00:00'"))
 def q_table_as_of_time(spark, sf):
     """Time travel on the append-only source: newest row per key loaded by T."""
     src = incremental_source(Q.bronze_p(spark, sf))
-    return state_as_of(src, "pedido_id", "_inserted_at", _dt.datetime(2024, 1, 3), NEWEST_FIRST)
-
-
-def _fold_then_delete(spark, sf):
-    t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
-    before_delete = t.version()
-    t.overwrite(t.read().filter(F.col("estado") != "P"), t.meta(), operation="delete")
-    return t, before_delete
+    return state_as_of(src, "pedido_id", "_inserted_at", _dt.datetime(2024, 1, 3), PEDIDOS_ORDER)
 
 
 @register("recover_deleted", _BASE + "select * from (" + _latest("true") + ") where estado = 'P'")
 def q_recover(spark, sf):
-    t, v = _fold_then_delete(spark, sf)
-    return deleted_rows(t.read(version=v), t.read(), "pedido_id")
+    """Rows deleted by a refresh, taken from the copy before it."""
+    b = _bronze(spark, sf)
+    t = fold_batches(spark, b, batches_of(b))
+    before = stage(t.read(), "before-delete")
+    t.overwrite(t.read().filter(F.col("estado") != "P"))
+    return deleted_rows(before, t.read(), "pedido_id")
 
 
 _DIFF_COLS = [c for c in INCREMENTAL_COLUMNS if c != "pedido_id"]
@@ -107,7 +163,7 @@ def _diff_sql() -> str:
     after = ", ".join(f"a.{c} as {c}_after" for c in _DIFF_COLS)
     differs = " or ".join(f"b.{c} is distinct from a.{c}" for c in _DIFF_COLS)
     return _BASE + f"""
-, v_before as ({_latest("_batch_id <= 2")})
+, v_before as ({_latest(f"_batch_id in {_FIRST.format(n=2)}")})
 , v_after as (select * from ({_latest("true")}) where estado <> 'P')
 select coalesce(b.pedido_id, a.pedido_id) as pedido_id, {before}, {after},
   case when b.pedido_id is null then 'insert' when a.pedido_id is null then 'delete' else 'update' end
@@ -118,26 +174,6 @@ where b.pedido_id is null or a.pedido_id is null or {differs}"""
 
 @register("table_diff", _diff_sql())
 def q_table_diff(spark, sf):
-    t, _ = _fold_then_delete(spark, sf)
-    return table_diff(t.read(version=1), t.read(), "pedido_id")
-
-
-@register("table_at_commit_time", _BASE + _latest("_batch_id <= 2"))
-def q_table_at_commit_time(spark, sf):
-    """D7 ``AT(TIMESTAMP)``: the version current at the moment version 1 was committed."""
-    t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
-    at = _dt.datetime.fromisoformat(t.history()[1]["committed_at"])
-    return t.read(as_of=at)
-
-
-@register("table_before_commit", _BASE + _latest("_batch_id <= 3"))
-def q_table_before_commit(spark, sf):
-    """D7 ``BEFORE(STATEMENT)``: the table as it was just before the last merge."""
-    t = fold_batches(spark, Q.bronze_p(spark, sf), [1, 2, 3, 4])
-    return t.read(version=t.version_before(t.version()))
-
-
-@register("late_arrivals_lookback", _BASE + _latest("true"))
-def q_late_arrivals_lookback(spark, sf):
-    """G7 with ``lookback``: the late batch 1 is re-read under the mark and merged (newest row wins)."""
-    return fold_batches(spark, Q.bronze_p(spark, sf), [2, 1, 3, 4], lookback=_dt.timedelta(days=3)).read()
+    copies = _dated_copies(spark, sf)
+    last = _copy(copies, copies.batches()[-1])
+    return table_diff(_copy(copies, 1), last.filter(F.col("estado") != "P"), "pedido_id")

@@ -7,13 +7,16 @@ Settings that matter at scale:
 * ``spark.sql.files.maxPartitionBytes`` left at a size that keeps a scan task
   well inside executor memory (128 MB default).
 
-Work folders (versioned tables, CSV landing zones, stream checkpoints) live
-under the shared folder named by ``spark.checkpoint.dir``.  A cluster sets
-that; only when it is unset (tests, local runs) do we create one ourselves.
+Work folders (tables, CSV landing zones, stream checkpoints) live under the
+shared folder named by ``spark.checkpoint.dir``.  A cluster must set it; only a
+local session gets a temporary one.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -46,17 +49,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and work tables.
+    """The shared folder for lineage cuts and work tables, from ``spark.checkpoint.dir``.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir).  Only when neither is set do we create a local one and register it,
-    which is the test / single-machine case.
+    Only a session on this machine may go without: it gets a temporary folder
+    that is removed when Python ends.  On a cluster, executors would write to
+    their own disks, so a missing setting raises.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tierflow-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
     return root.rstrip("/")

@@ -61,6 +61,10 @@ union all
 select id, cliente_id, producto, '7', precio_unitario, fecha_pedido, estado,
   _batch_id + 1, '{{"color":"negro"}}', _inserted_at + interval '1' day
 from base where id % 37 = 0
+union all
+select id, cliente_id, producto || ' twice', cantidad, precio_unitario, fecha_pedido, estado,
+  _batch_id, atributos_extra, _inserted_at
+from base where id % 31 = 0
 """
 
 RAW_CLIENTES_HISTORY_SQL = """

@@ -1,27 +1,22 @@
-"""Change streams over a loaded table: consume, peek, upsert, run-if-data, retry.
+"""Change streams over a loaded table: consume, peek, upsert, run-if-data.
 
 A change stream is a Structured Streaming Parquet source over a table written
 by a file sink; its *offset* is the stream checkpoint.  Consuming means
 running the stream: rows reach the consumer's target and the checkpoint
 commits.  Reading the table with a plain batch query never moves the offset.
 
-Every consumer writes through ``foreachBatch`` into a ``VersionedTable`` and
-stamps the commit with the stream's ``batchId``.  If a batch is replayed
-(the process died after the write but before the checkpoint commit) the
-stamp shows it was already applied and the replay is skipped, so each
-change lands exactly once.  If the body fails *before* its write, nothing
-was committed and the rerun applies it normally.
-
-Each consumer commit also records the source files its micro-batch held
-(at most ``max_files_per_trigger`` names).  "What is waiting" (G2) is the
-table's committed file list minus the files recorded by the consumer's
-commits: peeking reads only the waiting files, and "has data" (G4) reads no
-data at all.  Nothing touches the checkpoint's internals.
+A micro-batch that is replayed (the process died after the write but before
+the checkpoint commit) changes nothing: an append replaces its own partition
+(stream name, micro-batch number) of the target, and an upsert merges rows that
+the target already holds, by key and order.
+
+Appends are numbered by the checkpoint, so a stream's name stands for one
+checkpoint: a fresh checkpoint that meets a target already holding rows of that
+name raises.  Several streams of different names may feed one target.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,25 +26,31 @@ from pyspark.sql import types as T
 from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.merge import merge_upsert
 from tierflow.session import empty_frame
-from tierflow.sources.versioned import VersionedTable, norm_path
+from tierflow.sources.storage import BatchTable, KeyedTable, exists
 
 CHANGE_FILE = "_change_file"
-CONSUMED_BATCH = "_consumed_batch"
+STREAM, CONSUMED_BATCH = "_stream", "_consumed_batch"
+
+
+class StaleCheckpoint(RuntimeError):
+    """A stream starts from a fresh checkpoint although its rows are in the target already."""
 
 
-class InjectedFault(RuntimeError):
-    """Raised by a test hook inside a micro-batch."""
+def consumer_table(spark: SparkSession, root: str) -> BatchTable:
+    """A target for ``consume_into``: one partition per stream and micro-batch."""
+    return BatchTable(spark, root, by=(STREAM, CONSUMED_BATCH))
 
 
 class ChangeStream:
     """G1: the rows of ``source_path`` not yet consumed by this stream's checkpoint."""
 
     def __init__(self, spark: SparkSession, source_path: str, schema: T.StructType, checkpoint: str,
-                 max_files_per_trigger: int = 1000):
+                 name: str = "changes", max_files_per_trigger: int = 1000):
         self.spark = spark
         self.source_path = source_path
         self.schema = schema
         self.checkpoint = checkpoint
+        self.name = name
         self.max_files_per_trigger = max_files_per_trigger
 
     def stream(self) -> DataFrame:
@@ -60,119 +61,66 @@ class ChangeStream:
 
     def table(self) -> DataFrame:
         """The whole source table with each row's file (batch read)."""
+        if not exists(self.spark, self.source_path):
+            return empty_frame(self.spark, T.StructType([*self.schema.fields, T.StructField(CHANGE_FILE, T.StringType())]))
         return (self.spark.read.schema(self.schema).parquet(self.source_path)
                 .select("*", F.col("_metadata.file_path").alias(CHANGE_FILE)))
 
     # --- consumption ------------------------------------------------------------------
 
     def _run(self, body: Callable[[DataFrame, int], None]) -> int:
-        q = (self.stream().writeStream.foreachBatch(body)
-             .option("checkpointLocation", self.checkpoint)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        return len([p for p in q.recentProgress if p["numInputRows"] > 0])
+        ran = 0
+
+        def counted(batch: DataFrame, batch_id: int) -> None:
+            nonlocal ran
+            body(batch, batch_id)
+            ran += 1
+
+        (self.stream().writeStream.foreachBatch(counted)
+         .option("checkpointLocation", self.checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+        return ran
 
-    def consume_into(self, target: VersionedTable, fault: Callable[[int, str], None] | None = None) -> int:
+    def consume_into(self, target: BatchTable) -> int:
         """G1/G3 (``INSERT ... SELECT``): append every waiting row to ``target``.
 
-        Returns the number of micro-batches that carried rows (0 when nothing
-        was waiting: G4).  ``fault(batch_id, stage)`` is a test hook called
-        ``"before"`` and ``"after"`` the write.
+        Returns the number of micro-batches (0 when nothing was waiting: G4).
         """
+        if not exists(self.spark, f"{self.checkpoint}/offsets") and exists(self.spark, f"{target.root}/{STREAM}={self.name}"):
+            raise StaleCheckpoint(f"{target.root} holds rows of stream {self.name}, {self.checkpoint} is fresh")
+
         def body(batch: DataFrame, batch_id: int) -> None:
-            if _already_applied(target, batch_id):
-                return
-            if fault:
-                fault(batch_id, "before")
-            target.append(batch.withColumn(CONSUMED_BATCH, F.lit(batch_id).cast("long")),
-                          meta=_batch_meta(batch, batch_id))
-            if fault:
-                fault(batch_id, "after")
+            target.write(batch.withColumn(STREAM, F.lit(self.name)).withColumn(CONSUMED_BATCH, F.lit(batch_id).cast("long")))
         return self._run(body)
 
-    def upsert_into(self, target: VersionedTable, order_by, fault: Callable[[int, str], None] | None = None) -> int:
+    def upsert_into(self, target: KeyedTable, order_by) -> int:
         """G3 (``MERGE``): upsert every waiting row into a keyed ``target``.
 
-        A micro-batch may hold several changes of one key; the newest under
-        ``order_by`` wins before the merge (which demands unique keys).
+        The first row of a key under ``order_by`` stays, whether it is waiting
+        or stored, so the result does not depend on the cut into micro-batches.
         """
         def body(batch: DataFrame, batch_id: int) -> None:
-            if _already_applied(target, batch_id):
-                return
-            if fault:
-                fault(batch_id, "before")
-            newest = latest_per_key(batch, target.key, order_by)
-            merge_upsert(target, newest, meta=_batch_meta(batch, batch_id), check_unique=False)
-            if fault:
-                fault(batch_id, "after")
+            merge_upsert(target, latest_per_key(batch, target.keys, order_by), order_by, check_unique=False)
         return self._run(body)
 
-    def consume_if_waiting(self, target: VersionedTable, merge_order=None) -> int:
-        """A task body gated on waiting data.  No streaming query starts when
-        nothing is waiting (the gate compares file lists only); otherwise the
-        waiting rows are appended (or merged, given ``merge_order``)."""
-        if not self.has_data(target):
-            return 0
-        if merge_order is None:
-            return self.consume_into(target)
-        return self.upsert_into(target, merge_order)
+    def consume_if_waiting(self, target: BatchTable) -> int:
+        """A task body gated on waiting data: no streaming query starts when nothing is waiting."""
+        return self.consume_into(target) if self.has_data(target) else 0
 
     # --- looking without consuming ----------------------------------------------------
 
-    def pending_files(self, consumer: VersionedTable) -> list[str]:
-        """Committed source files no commit of ``consumer`` has recorded (file names only)."""
-        consumer.refresh()
-        done = set()
-        for commit in consumer.history():
-            done.update(norm_path(f) for f in json.loads((commit.get("meta") or {}).get(CONSUMED_FILES, "[]")))
-        try:
-            files = self.spark.read.schema(self.schema).parquet(self.source_path).inputFiles()
-        except Exception as e:  # noqa: BLE001 - nothing loaded yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER" in str(e):
-                return []
-            raise
-        return sorted(f for f in files if norm_path(f) not in done)
-
-    def pending(self, consumer: VersionedTable) -> DataFrame:
+    def pending(self, consumer: BatchTable) -> DataFrame:
         """Rows waiting for ``consumer``; a plain read, the offset does not move.
 
-        Only the waiting files are scanned, however large the table is.
+        The rows of files that no consumed row of this stream came from.  Spark
+        joins the file names; none is held by the driver.
         """
-        files = self.pending_files(consumer)
-        if not files:
-            fields = list(self.schema.fields) + [T.StructField(CHANGE_FILE, T.StringType())]
-            return empty_frame(self.spark, T.StructType(fields))
-        return (self.spark.read.schema(self.schema).parquet(*files)
-                .select("*", F.col("_metadata.file_path").alias(CHANGE_FILE)))
-
-    def has_data(self, consumer: VersionedTable) -> bool:
-        """G4, the run-only-if-data gate: is anything waiting?  Compares file lists only."""
-        return bool(self.pending_files(consumer))
-
-
-CONSUMED_FILES = "consumed_files"
-
-
-def _batch_meta(batch: DataFrame, batch_id: int) -> dict:
-    # The files of one micro-batch: bounded by maxFilesPerTrigger.
-    files = [r[0] for r in batch.select(CHANGE_FILE).distinct().collect()]
-    return {"stream_batch": batch_id, CONSUMED_FILES: json.dumps(sorted(files))}
-
-
-def _already_applied(target: VersionedTable, batch_id: int) -> bool:
-    target.refresh()
-    if not target.exists():
-        return False
-    done = target.meta().get("stream_batch")
-    return done is not None and int(done) >= batch_id
-
-
-def fail_once(batch_id: int, stage: str):
-    """A fault hook that raises once, at ``stage`` of micro-batch ``batch_id``."""
-    fired = {"done": False}
-
-    def hook(bid: int, st: str) -> None:
-        if not fired["done"] and bid == batch_id and st == stage:
-            fired["done"] = True
-            raise InjectedFault(f"injected fault {stage} write of batch {bid}")
-    return hook
+        rows = self.table()
+        if not exists(self.spark, f"{consumer.root}/{STREAM}={self.name}"):
+            return rows
+        done = consumer.read().where(F.col(STREAM) == self.name).select(CHANGE_FILE).distinct()
+        return rows.join(done, CHANGE_FILE, "left_anti").select(*self.schema.fieldNames(), CHANGE_FILE)
+
+    def has_data(self, consumer: BatchTable) -> bool:
+        """G4, the run-only-if-data gate: is anything waiting?"""
+        return not self.pending(consumer).isEmpty()

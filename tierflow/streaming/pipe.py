@@ -1,7 +1,8 @@
 """File landing and continuous file load (A3, A4).
 
-Files land in a landing folder, one sub-folder per delivery with a unique,
-ordered name (``b000001``, ``b000002``, ...).  The pipe is a Structured
+Files land in a landing folder, one sub-folder per delivery, named by the
+delivery's number (``b000001``, ``b000002``, ...).  Loaded rows carry that number
+as ``_delivery``: later deliveries are told by number, never by name.  The pipe is a Structured
 Streaming file source over that folder with a checkpoint: each file is read
 exactly once, whenever the pipe runs, and appended to a Parquet table through
 the file sink (whose commit log makes the append exactly-once as well).
@@ -19,9 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.sources.storage import exists
 from tierflow.sources.tables import PEDIDOS_CSV_SCHEMA
 
-SOURCE_FILE = "_source_file"
+SOURCE_FILE, DELIVERY = "_source_file", "_delivery"
 
 # Text is written and read as is: no trimming, doubled quotes inside quoted text.
 _CSV_OPTIONS = {
@@ -34,7 +36,7 @@ _CSV_OPTIONS = {
 
 
 def landing_folder(landing_root: str, seq: int) -> str:
-    """Unique, ordered delivery folder: lexical order = arrival order."""
+    """The folder of delivery number ``seq``."""
     return f"{landing_root.rstrip('/')}/b{seq:06d}"
 
 
@@ -57,6 +59,12 @@ def _landing_glob(landing_root: str) -> str:
     return f"{landing_root.rstrip('/')}/b*/part-*"
 
 
+def with_origin(df: DataFrame) -> DataFrame:
+    """Adds each row's file and the number of the delivery it came in."""
+    path = F.col("_metadata.file_path")
+    return df.select("*", path.alias(SOURCE_FILE), F.regexp_extract(path, r"/b(\d+)/[^/]*$", 1).cast("long").alias(DELIVERY))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = PEDIDOS_CSV_SCHEMA) -> DataFrame:
     """A3: batch read of delimited files with a declared schema (no inference).
 
@@ -68,13 +76,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = PEDIDOS_CSV_
 
 def read_landing(spark: SparkSession, landing_root: str,
                  schema: T.StructType = PEDIDOS_CSV_SCHEMA) -> DataFrame:
-    """All delivered files as one batch DataFrame, with each row's file."""
-    return (read_csv(spark, _landing_glob(landing_root), schema)
-            .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
+    """All delivered files as one batch DataFrame, with each row's origin."""
+    return with_origin(read_csv(spark, _landing_glob(landing_root), schema))
 
 
 def pipe_schema(schema: T.StructType = PEDIDOS_CSV_SCHEMA) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(SOURCE_FILE, T.StringType())])
+    return T.StructType([*schema.fields, T.StructField(SOURCE_FILE, T.StringType()), T.StructField(DELIVERY, T.LongType())])
 
 
 class FilePipe:
@@ -98,16 +105,22 @@ class FilePipe:
                   .option("maxFilesPerTrigger", self.max_files_per_trigger))
         if self.archive_dir:
             reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", self.archive_dir)
-        return (reader.csv(_landing_glob(self.landing_root))
-                .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE)))
+        return with_origin(reader.csv(_landing_glob(self.landing_root)))
 
     def run(self) -> int:
-        """Load everything waiting, then stop; returns rows loaded by this run."""
-        q = (self.source().writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", self.checkpoint)
-             .trigger(availableNow=True).start(self.target))
-        q.awaitTermination()
-        return sum(p["numInputRows"] for p in q.recentProgress)
+        """Load everything waiting, then stop; returns the rows that the table gained.
+
+        Counted in the committed table before and after (Parquet footers only),
+        since a query's progress list keeps just its last updates.
+        """
+        before = self._rows()
+        (self.source().writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", self.checkpoint)
+         .trigger(availableNow=True).start(self.target).awaitTermination())
+        return self._rows() - before
+
+    def _rows(self) -> int:
+        return self.table().count() if exists(self.spark, self.target) else 0
 
     def table(self) -> DataFrame:
         """The loaded table (batch read; only committed files are visible)."""
