@@ -147,5 +147,20 @@ def test_blocks_of_the_benchmark_add_up(spark, monkeypatch):
 
 
 def test_bucket_pairs_stay_linear(spark):
-    nodes = spark.range(500).select(F.col("id").cast("string").cast("binary").alias("t"), F.array(F.lit(1).cast("long")).alias("keys"))
-    assert order_minhash.candidate_pairs(nodes).count() <= 2 * 500
+    members = spark.range(500).select(F.lit(1).cast("long").alias("key"), F.col("id").cast("string").cast("binary").alias("t"))
+    assert order_minhash.candidate_pairs(members.withColumn("root", F.col("t")), 0).count() <= 2 * 500
+    assert order_minhash.candidate_pairs(members.withColumn("root", F.lit(b"1")), 0).count() == 0
+
+
+def test_a_chain_of_copies_is_one_class(spark):
+    """Neighbours are near copies, the ends are not: every link of the chain must be found."""
+    rng = random.Random(9)
+    words, docs = text(rng, 300), []
+    for _ in range(40):
+        for at in rng.sample(range(0, 300), 3):
+            words[at] = rng.choice(VOCAB) + "x"
+        docs.append(" ".join(words))
+    d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    h = order_minhash.WordHashes()
+    assert order_minhash.alignment(*(order_minhash.labelled(h.sequence(docs[i])) for i in (0, -1))) == 0.0
+    assert order_minhash.near_duplicates(d).select("class_id").distinct().collect() == [(0,)]

@@ -5,13 +5,18 @@ its occurrence number so that all elements differ.  A sketch takes, per hash
 function, the ``ELEMENTS`` labelled k-mers with the smallest hashes and keeps
 them in text order: equal sketches ask for the same k-mers in the same order.
 
-Texts that share a sketch are linked to two leaders of that bucket (the least
-and the greatest by a hash of their own), so a bucket of m texts gives under 2m
-pairs; the many sketches give every text many leaders.  A pair is a link when
-its alignment, the longest common subsequence of labelled k-mers, is at least
-``SIMILARITY`` of the union:  L / (n + m - L).  Any alignment that good keeps
-matches within a band around the diagonal, so only matches inside it are
-aligned.  Links between distinct texts make the classes.
+Texts that share a sketch form a bucket.  Candidates are made in rounds: in
+each, two classes of a bucket are drawn by hash, each with one of its texts, and
+every text of the bucket is paired with those of the two that are not of its own
+class.  A bucket of m texts gives under 2m pairs a round, however large it is,
+and none once its texts are one class; a class of many texts meets each
+outsider of its bucket with all of its texts.  Rounds go on until ``QUIET`` of
+them in a row have joined nothing.
+
+A pair is a link when its alignment, the longest common subsequence of labelled
+k-mers, is at least ``SIMILARITY`` of the union:  L / (n + m - L).  Any alignment
+that good keeps matches within a band around the diagonal, so only matches
+inside it are aligned.  Links between distinct texts make the classes.
 
 Equal texts are one node: copies are counted before anything is shuffled.
 
@@ -43,6 +48,9 @@ SIMILARITY = 0.8
 SKETCHES = 20
 ELEMENTS = 5
 
+#: Rounds without a new link after which no more are made.
+QUIET = 2
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 _SEEDS = np.random.default_rng(31).integers(1, 2**63, SKETCHES, dtype=np.uint64)
@@ -166,19 +174,19 @@ def verify_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.loc[ok, ["u", "v"]]
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """Distinct (u, v): each text of a bucket with the bucket's two leaders."""
-    members = nodes.select("t", F.explode("keys").alias("key"))
-    rank = F.xxhash64("t", "key")
-    leaders = (members.groupBy("key").agg(F.min(F.struct(rank.alias("h"), "t")).alias("a"), F.max(F.struct(rank.alias("h"), "t")).alias("b"))
-               .where("a.t <> b.t").select("key", F.array("a.t", "b.t").alias("leader")))
-    pairs = members.join(leaders, "key").select("t", F.explode("leader").alias("l")).where("t <> l")
-    return pairs.select(F.least("t", "l").alias("u"), F.greatest("t", "l").alias("v")).distinct()
+def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """Distinct (u, v) of one round, from the rows (key, t, root) of the buckets."""
+    seed = F.lit(turn)
+    drawn = members.groupBy("key", "root").agg(F.min(F.struct(F.xxhash64("t", "key", seed).alias("h"), "t")).alias("d"))
+    end = F.struct(F.xxhash64("root", "key", seed).alias("h"), "root", F.col("d.t").alias("t"))
+    ends = (drawn.groupBy("key").agg(F.min(end).alias("a"), F.max(end).alias("b")).where("a.root <> b.root")
+            .select("key", F.array("a", "b").alias("ends")))
+    pairs = members.join(ends, "key").select("t", "root", F.explode("ends").alias("e")).where("root <> e.root")
+    return pairs.select(F.least("t", "e.t").alias("u"), F.greatest("t", "e.t").alias("v")).distinct()
 
 
 def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows (doc_id, t, _w_n) and, per text t, its class: class_id and the text that stays."""
-    spark = documents.sparkSession
     text = text_or_empty()
     texts = documents.select("doc_id", key_of(text).alias("t"), text.alias("text"))
     made = stage(map_batches(texts.select(F.col("doc_id").cast("long"), "t", "text"), sketch_rows,
@@ -186,16 +194,39 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = collapse(made.select("doc_id", "t"), "near-rows")
     nodes = stage(made.groupBy("t").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys")), "near-nodes")
 
-    pairs = stage(candidate_pairs(nodes), "near-pairs")
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("t")).distinct()
-    one_each = texts.select("t", "text").join(needed, "t").groupBy("t").agg(F.first("text").alias("text"))
+    members = nodes.select("t", F.explode("keys").alias("key"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    members = stage(members.join(shared, "key"), "near-buckets")
+    # of each candidate text the row with its first id: copies of one text do not meet in one task
+    needed = (members.select("t").distinct().join(nodes.select("t", "first_id"), "t")
+              .select(F.col("t").alias("_t"), "first_id"))
+    one_each = (texts.join(needed, (F.col("t") == F.col("_t")) & F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")))
+                .select("t", "text").dropDuplicates(["t"]))
     words = stage(map_batches(one_each, sequence_rows, "t binary, words binary"), "near-words")
-    both = (pairs.join(words.select(F.col("t").alias("u"), F.col("words").alias("uw")), "u")
-            .join(words.select(F.col("t").alias("v"), F.col("words").alias("vw")), "v"))
-    links = map_batches(both.select("u", "v", "uw", "vw"), verify_rows, "u binary, v binary")
-    root = stars(links)
 
-    placed = nodes.select("t", "first_id").join(root.withColumnRenamed("u", "t"), "t", "left")
+    place = words.select("t", F.col("t").alias("root"))
+    tested, quiet, turn = None, 0, 0
+    while quiet < QUIET:
+        pairs = candidate_pairs(members.join(place, "t"), turn)
+        if tested is not None:
+            pairs = pairs.join(tested, ["u", "v"], "left_anti")
+        pairs = stage(pairs, "near-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        both = (pairs.join(words.select(F.col("t").alias("u"), F.col("words").alias("uw")), "u")
+                .join(words.select(F.col("t").alias("v"), F.col("words").alias("vw")), "v"))
+        links = map_batches(both.select("u", "v", "uw", "vw"), verify_rows, "u binary, v binary")
+        joins = (links.join(place.select(F.col("t").alias("u"), F.col("root").alias("ru")), "u")
+                 .join(place.select(F.col("t").alias("v"), F.col("root").alias("rv")), "v")
+                 .select(F.col("ru").alias("u"), F.col("rv").alias("v")))
+        merged = stars(joins).select(F.col("u").alias("root"), F.col("root").alias("into"))
+        if merged.isEmpty():
+            quiet += 1
+        else:
+            quiet = 0
+            place = stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places")
+        turn += 1
+
+    placed = nodes.select("t", "first_id").join(place, "t", "left")
     placed = placed.select("t", "first_id", F.coalesce("root", "t").alias("root"))
     best = placed.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("n"), "first_id", "t")).alias("b"))
     groups = placed.join(best, "root").select("t", F.col("b.first_id").alias("class_id"), F.col("b.t").alias("keep_t"))
