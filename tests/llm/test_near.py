@@ -61,7 +61,7 @@ def test_classes_equal_all_pairs(spark):
     hot = text(rng, 200)
     docs += [edited(rng, hot, 2) for _ in range(60)] + [hot] * 40 + [text(rng, 3) for _ in range(5)] + [["a", "b"], ["a", "b"], []]
     rows = [(i, " ".join(w)) for i, w in enumerate(docs)]
-    got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rounds=None).collect()}
     h = order_minhash.WordHashes()
     kmers = [order_minhash.labelled(h.sequence(t)) for _, t in rows]
     parent = list(range(len(rows)))
@@ -163,4 +163,4 @@ def test_a_chain_of_copies_is_one_class(spark):
     d = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     h = order_minhash.WordHashes()
     assert order_minhash.alignment(*(order_minhash.labelled(h.sequence(docs[i])) for i in (0, -1))) == 0.0
-    assert order_minhash.near_duplicates(d).select("class_id").distinct().collect() == [(0,)]
+    assert order_minhash.near_duplicates(d, rounds=None).select("class_id").distinct().collect() == [(0,)]

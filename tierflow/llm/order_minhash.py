@@ -8,10 +8,12 @@ them in text order: equal sketches ask for the same k-mers in the same order.
 Texts that share a sketch form a bucket.  Candidates are made in rounds: in
 each, two classes of a bucket are drawn by hash, each with one of its texts, and
 every text of the bucket is paired with those of the two that are not of its own
-class.  A bucket of m texts gives under 2m pairs a round, however large it is,
-and none once its texts are one class; a class of many texts meets each
-outsider of its bucket with all of its texts.  Rounds go on until ``QUIET`` of
-them in a row have joined nothing.
+class.  A bucket of m texts gives under 2m pairs a round, however large it is;
+a class of many texts meets an outsider of its bucket with all of its texts.  A
+bucket takes part in the next round if a class of it grew in this one and it
+still has several.  There are at most ``ROUNDS``, so all pairs together are at
+most 2 x SKETCHES x ROUNDS a text; with ``rounds=None`` they end when no bucket is
+left, after as many as a large class has outsiders.
 
 A pair is a link when its alignment, the longest common subsequence of labelled
 k-mers, is at least ``SIMILARITY`` of the union:  L / (n + m - L).  Any alignment
@@ -47,9 +49,7 @@ SIMILARITY = 0.8
 #: At similarity 0.8 one sketch agrees with a chance of about 0.8^5; all 20 miss with 0.0004.
 SKETCHES = 20
 ELEMENTS = 5
-
-#: Rounds without a new link after which no more are made.
-QUIET = 2
+ROUNDS = 3
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -171,21 +171,24 @@ def verify_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             return made[t]
 
         ok = [alignment(kmers(u, x), kmers(v, y)) >= SIMILARITY for u, v, x, y in zip(b.u, b.v, b.uw, b.vw, strict=True)]
-        yield b.loc[ok, ["u", "v"]]
+        yield b.loc[ok, ["ru", "rv"]]
 
 
 def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Distinct (u, v) of one round, from the rows (key, t, root) of the buckets."""
+    """Distinct (u, v) of one round with their classes (ru, rv), from the rows (key, t, root) of the buckets."""
     seed = F.lit(turn)
     drawn = members.groupBy("key", "root").agg(F.min(F.struct(F.xxhash64("t", "key", seed).alias("h"), "t")).alias("d"))
     end = F.struct(F.xxhash64("root", "key", seed).alias("h"), "root", F.col("d.t").alias("t"))
     ends = (drawn.groupBy("key").agg(F.min(end).alias("a"), F.max(end).alias("b")).where("a.root <> b.root")
             .select("key", F.array("a", "b").alias("ends")))
     pairs = members.join(ends, "key").select("t", "root", F.explode("ends").alias("e")).where("root <> e.root")
-    return pairs.select(F.least("t", "e.t").alias("u"), F.greatest("t", "e.t").alias("v")).distinct()
+    first = F.col("t") < F.col("e.t")
+    return pairs.select(F.least("t", "e.t").alias("u"), F.greatest("t", "e.t").alias("v"),
+                        F.when(first, F.col("root")).otherwise(F.col("e.root")).alias("ru"),
+                        F.when(first, F.col("e.root")).otherwise(F.col("root")).alias("rv")).distinct()
 
 
-def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows (doc_id, t, _w_n) and, per text t, its class: class_id and the text that stays."""
     text = text_or_empty()
     texts = documents.select("doc_id", key_of(text).alias("t"), text.alias("text"))
@@ -200,31 +203,33 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # of each candidate text the row with its first id: copies of one text do not meet in one task
     needed = (members.select("t").distinct().join(nodes.select("t", "first_id"), "t")
               .select(F.col("t").alias("_t"), "first_id"))
-    one_each = (texts.join(needed, (F.col("t") == F.col("_t")) & F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")))
+    # the candidates grow with the corpus: their join is planned as a shuffle at every size
+    one_each = (texts.join(needed.hint("merge"), (F.col("t") == F.col("_t")) & F.col("doc_id").cast("long").eqNullSafe(F.col("first_id")))
                 .select("t", "text").dropDuplicates(["t"]))
     words = stage(map_batches(one_each, sequence_rows, "t binary, words binary"), "near-words")
 
     place = words.select("t", F.col("t").alias("root"))
-    tested, quiet, turn = None, 0, 0
-    while quiet < QUIET:
-        pairs = candidate_pairs(members.join(place, "t"), turn)
+    buckets, tested, turn = members.withColumn("root", F.col("t")), None, 0
+    while turn != rounds and not buckets.isEmpty():
+        pairs = candidate_pairs(buckets, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = stage(pairs, "near-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        tested = pairs.select("u", "v") if tested is None else tested.unionByName(pairs.select("u", "v"))
         both = (pairs.join(words.select(F.col("t").alias("u"), F.col("words").alias("uw")), "u")
                 .join(words.select(F.col("t").alias("v"), F.col("words").alias("vw")), "v"))
-        links = map_batches(both.select("u", "v", "uw", "vw"), verify_rows, "u binary, v binary")
-        joins = (links.join(place.select(F.col("t").alias("u"), F.col("root").alias("ru")), "u")
-                 .join(place.select(F.col("t").alias("v"), F.col("root").alias("rv")), "v")
-                 .select(F.col("ru").alias("u"), F.col("rv").alias("v")))
-        merged = stars(joins).select(F.col("u").alias("root"), F.col("root").alias("into"))
+        links = map_batches(both.select("u", "v", "ru", "rv", "uw", "vw"), verify_rows, "ru binary, rv binary")
+        merged = stars(links.select(F.col("ru").alias("u"), F.col("rv").alias("v"))).select(F.col("u").alias("root"), F.col("root").alias("into"))
         if merged.isEmpty():
-            quiet += 1
-        else:
-            quiet = 0
-            place = stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places")
+            break
+        place = stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places")
         turn += 1
+        if turn == rounds:
+            break
+        grown = buckets.join(merged, "root", "left").select("key", "t", F.coalesce("into", "root").alias("root"), F.col("into").isNotNull().alias("moved"))
+        alive = (grown.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("moved").alias("moved"))
+                 .where("moved AND a <> b").select("key"))
+        buckets = stage(grown.join(alive, "key").select("key", "t", "root"), "near-buckets")
 
     placed = nodes.select("t", "first_id").join(place, "t", "left")
     placed = placed.select("t", "first_id", F.coalesce("root", "t").alias("root"))
@@ -233,17 +238,17 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, stage(groups, "near-classes")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
     """One row per document: doc_id, class_id (least id of its class) and kept (one row per class)."""
-    rows, groups = classes(documents)
+    rows, groups = classes(documents, rounds)
     placed = expand(rows.join(groups, "t"))
     kept = (F.col("t") == F.col("keep_t")) & F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("_w_copy") == 0)
     return placed.select("doc_id", "class_id", kept.alias("kept"))
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
+def keep_one(documents: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
     """The documents, one of each class, with all their columns."""
-    _, groups = classes(documents)
+    _, groups = classes(documents, rounds)
     keep = groups.where("t = keep_t").select(key_of(F.hex("t"), F.col("class_id")).alias("_w_row"))
     row = key_of(F.hex(key_of(text_or_empty())), F.col("doc_id").cast("long"))
     return documents.withColumn("_w_row", row).join(keep, "_w_row", "left_semi").dropDuplicates(["_w_row"]).drop("_w_row")
