@@ -4,8 +4,9 @@ Benchmark passages are the rows of a TF-IDF matrix whose document frequencies
 are counted over all documents.  A randomised SVD of that matrix (subspace
 iteration; the products with it are summed by Spark) gives the latent space.
 Every document is read as overlapping windows.  A window is a candidate for a
-passage if it holds at least ``MASS`` of the squared TF-IDF weight of the
-lightest passage, its latent vector has a cosine of at least ``COSINE`` with the
+passage if it holds at least ``MASS`` of the passage's squared TF-IDF weight (the
+passages are sorted by it, so a light window is multiplied with few), its latent
+vector has a cosine of at least ``COSINE`` with the
 passage's, and its part along the passage is at least ``MASS`` of the passage's
 length.  A candidate is contaminated when the longest common word subsequence of the passage and the
 window's surroundings covers ``COVER`` of the passage, and that of the
@@ -77,7 +78,7 @@ class Block:
     vectors: np.ndarray  # by word, in the latent space
     pieces: np.ndarray  # unit vectors of the items' pieces
     length: np.ndarray  # of the pieces before that
-    lightest: float  # least squared weight of a piece
+    mass: np.ndarray  # of the pieces: squared weight, ascending
     piece_item: np.ndarray
 
 
@@ -90,25 +91,31 @@ def pieces_of(words: list[str]) -> Iterator[list[str]]:
         yield words[min(at, len(words) - WINDOW) : min(at, len(words) - WINDOW) + WINDOW]
 
 
+class Known(dict):
+    """Token to its form in a vocabulary, None outside; emptied when it has grown."""
+
+    def __init__(self, vocab: set[str]) -> None:
+        super().__init__()
+        self.vocab = vocab
+
+    def __missing__(self, token: str) -> str | None:
+        word = norm(token)
+        word = self[token] = word if word in self.vocab else None
+        return word
+
+
 def document_counts(documents: DataFrame, vocab: set[str]) -> tuple[int, dict[str, int]]:
     """Number of documents, and how many of them have each word of the vocabulary."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = Counter(), 0
-        memo: dict[str, str | None] = {}
+        known = Known(vocab)
         for b in batches:
+            if len(known) > MEMO:
+                known.clear()
             for t in b.text:
                 n += 1
-                if len(memo) > MEMO:
-                    memo.clear()
-                found = set()
-                for w in set(t.split()):
-                    hit = memo.get(w, 0)
-                    if hit == 0:
-                        x = norm(w)
-                        hit = memo[w] = x if x in vocab else None
-                    if hit is not None:
-                        found.add(hit)
-                total.update(found)
+                total.update(set(map(known.__getitem__, set(t.split()))))
+        total.pop(None, None)
         yield pd.DataFrame({"word": [*total, None], "n": [*total.values(), n]})
 
     text = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -179,9 +186,12 @@ def build(documents: DataFrame, items: list[tuple[int, str, str | None]], rank:
     base = svd_space(passages, len(vocab), rank)
     made = np.array([np.asarray(v) @ base[np.asarray(i)] for i, v in rows])
     length = np.maximum(np.linalg.norm(made, axis=1), 1e-9)
+    mass = np.array([sum(c * weight[i] ** 2 for i, c in zip(idx, tf, strict=True)) for idx, tf in
+                     ((idx, [v / weight[i] for i, v in zip(idx, val, strict=True)]) for idx, val in rows)])
+    order = np.argsort(mass, kind="stable")
     placed = [(i, [vocab[w] for w in words], [vocab[w] for w in answer]) for i, words, answer in known]
-    return Block(placed, vocab, weight, (base * weight[:, None]).astype(np.float32), (made / length[:, None]).astype(np.float32),
-                 length.astype(np.float32), float(min(sum(weight[i] ** 2 for i in idx) for idx, _ in rows)), np.array(owner))
+    return Block(placed, vocab, weight, (base * weight[:, None]).astype(np.float32), (made / length[:, None]).astype(np.float32)[order],
+                 length.astype(np.float32)[order], mass[order], np.array(owner)[order])
 
 
 class Places(dict):
@@ -196,43 +206,57 @@ class Places(dict):
         return place
 
 
-def matches(text: str, block: Block, places: Places) -> list[tuple[int, float, float, float]]:
-    """(item_id, cosine, cover, answer) of every contaminating item of a text."""
-    words = text.split()
-    at = np.array(list(map(places.__getitem__, words)), np.int32)
+def matches(texts: list[str], block: Block, places: Places) -> list[list[tuple[int, float, float, float]]]:
+    """Per text the (item_id, cosine, cover, answer) of every contaminating item."""
+    words = [t.split() for t in texts]
+    size = np.array([len(w) for w in words])
+    begin = np.cumsum(size) - size
+    at = np.array([p for w in words for p in map(places.__getitem__, w)], np.int32)
     pos = np.flatnonzero((at >= 0) & (block.weight[at] > 0))
-    if not len(pos):
-        return []
     mass = np.concatenate(([0.0], np.cumsum(block.weight[at[pos]] ** 2)))
-    starts = np.arange(0, max(1, len(words) - WINDOW + STRIDE), STRIDE)
-    lo, hi = np.searchsorted(pos, starts), np.searchsorted(pos, starts + WINDOW)
-    heavy = mass[hi] - mass[lo] >= MASS * block.lightest
-    starts, lo, hi = starts[heavy], lo[heavy], hi[heavy]
-    near_items: dict[int, list] = {}
-    for a in range(0, len(starts), 1024):  # bounds the tables of vectors and cosines
-        first, last = lo[a : a + 1024], hi[a : a + 1024]
-        sums = np.zeros((last[-1] - first[0] + 1, block.vectors.shape[1]), np.float32)
-        np.cumsum(block.vectors[at[pos[first[0] : last[-1]]]], axis=0, out=sums[1:])
-        w = sums[last - first[0]] - sums[first - first[0]]
-        along = w @ block.pieces.T
-        cos = along / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
-        for r, c in zip(*np.nonzero((cos >= COSINE) & (along >= MASS * block.length)), strict=True):
-            near_items.setdefault(int(block.piece_item[c]), []).append((int(starts[a + r]), float(cos[r, c])))
-    out = []
-    for k, found in near_items.items():
+    # windows of every text, none across two
+    count = np.where(size > 0, np.maximum(1, -(-(size - WINDOW + STRIDE) // STRIDE)), 0)
+    owner = np.repeat(np.arange(len(texts)), count)
+    starts = begin[owner] + STRIDE * (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
+    stops = np.minimum(starts + WINDOW, (begin + size)[owner])
+    lo, hi = np.searchsorted(pos, starts), np.searchsorted(pos, stops)
+    # how many of the pieces, lightest first, each window is heavy enough for
+    most = np.searchsorted(block.mass, (mass[hi] - mass[lo]) / MASS + 1e-9, side="right")
+    step = max(1, len(block.mass) // 8)
+    tier = -(-most // step)
+    near: list[dict[int, list]] = [{} for _ in texts]
+    for t in np.unique(tier[tier > 0]):
+        rows = np.flatnonzero(tier == t)
+        columns = slice(0, min(len(block.mass), int(t) * step))
+        for a in range(0, len(rows), 512):  # bounds the tables of vectors and cosines
+            part = rows[a : a + 512]
+            held = hi[part] - lo[part]
+            first = np.cumsum(held) - held
+            events = np.repeat(lo[part] - first, held) + np.arange(int(held.sum()))
+            w = np.add.reduceat(block.vectors[at[pos[events]]], first, axis=0)
+            along = w @ block.pieces[columns].T
+            cos = along / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+            good = (cos >= COSINE) & (along >= MASS * block.length[columns]) & (np.arange(along.shape[1]) < most[part][:, None])
+            for r, c in zip(*np.nonzero(good), strict=True):
+                near[owner[part[r]]].setdefault(int(block.piece_item[c]), []).append((int(starts[part[r]]), float(cos[r, c])))
+    return [sorted(verified(at[begin[i] : begin[i] + size[i]], int(begin[i]), found, block)) if found else [] for i, found in enumerate(near)]
+
+
+def verified(at: np.ndarray, begin: int, near: dict[int, list], block: Block) -> Iterator[tuple[int, float, float, float]]:
+    """The candidates of one text (its words ``at``, its windows by item) that the passages cover."""
+    for k, found in near.items():
         item, passage, answer = block.items[k]
         result = None
         for start in sorted({s for s, _ in found}):
             # what surrounds the window may hold the rest of a longer passage
-            around = at[max(0, start - len(passage)) : start + WINDOW + len(passage)].tolist()
+            around = at[max(0, start - begin - len(passage)) : start - begin + WINDOW + len(passage)].tolist()
             cover = lcs(passage, around) / len(passage)
             if cover >= COVER and (a := lcs(answer, around) / len(answer)) >= ANSWER and (result is None or cover > result[2]):
                 result = (item, max(c for s, c in found if s == start), cover, a)
                 if cover == 1:
                     break
         if result:
-            out.append(result)
-    return sorted(out)
+            yield result
 
 
 MATCH = "array<struct<item_id:long,cosine:double,cover:double,answer:double>>"
@@ -266,7 +290,8 @@ def matcher(spark, block: Block):
         for texts in batches:
             if len(places) > MEMO:
                 places.clear()
-            yield pd.Series([[{"item_id": i, "cosine": c, "cover": v, "answer": a} for i, c, v, a in matches(t or "", block, places)] for t in texts])
+            found = matches([t or "" for t in texts], block, places)
+            yield pd.Series([[{"item_id": i, "cosine": c, "cover": v, "answer": a} for i, c, v, a in m] for m in found])
 
     return find
 
