@@ -18,7 +18,7 @@ left, after as many as a large class has outsiders.
 A pair is a link when its alignment, the longest common subsequence of labelled
 k-mers, is at least ``SIMILARITY`` of the union:  L / (n + m - L).  Any alignment
 that good keeps matches within a band around the diagonal, so only matches
-inside it are aligned.  Links between distinct texts make the classes.
+inside it are aligned; a pair whose lengths alone forbid it fetches no text.  Links between distinct texts make the classes.
 
 Equal texts are one node: copies are counted before anything is shuffled.
 
@@ -152,7 +152,8 @@ def key_of(*parts: Column) -> Column:
 def sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHashes()
     for b in batches:
-        yield pd.DataFrame({"doc_id": b.doc_id, "t": b.t, "keys": [sketches(labelled(hashes.sequence(x))) for x in b.text]})
+        kmers = [labelled(hashes.sequence(x)) for x in b.text]
+        yield pd.DataFrame({"doc_id": b.doc_id, "t": b.t, "n": [len(k) for k in kmers], "keys": [sketches(k) for k in kmers]})
 
 
 def sequence_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,13 +176,14 @@ def verify_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Distinct (u, v) of one round with their classes (ru, rv), from the rows (key, t, root) of the buckets."""
+    """Distinct (u, v) of one round with their classes (ru, rv), from the rows (key, t, n, root) of the buckets."""
     seed = F.lit(turn)
-    drawn = members.groupBy("key", "root").agg(F.min(F.struct(F.xxhash64("t", "key", seed).alias("h"), "t")).alias("d"))
-    end = F.struct(F.xxhash64("root", "key", seed).alias("h"), "root", F.col("d.t").alias("t"))
+    drawn = members.groupBy("key", "root").agg(F.min(F.struct(F.xxhash64("t", "key", seed).alias("h"), "t", "n")).alias("d"))
+    end = F.struct(F.xxhash64("root", "key", seed).alias("h"), "root", F.col("d.t").alias("t"), F.col("d.n").alias("n"))
     ends = (drawn.groupBy("key").agg(F.min(end).alias("a"), F.max(end).alias("b")).where("a.root <> b.root")
             .select("key", F.array("a", "b").alias("ends")))
-    pairs = members.join(ends, "key").select("t", "root", F.explode("ends").alias("e")).where("root <> e.root")
+    pairs = members.join(ends, "key").select("t", "n", "root", F.explode("ends").alias("e")).where("root <> e.root")
+    pairs = pairs.where(F.least("n", "e.n") >= SIMILARITY * F.greatest("n", "e.n"))
     first = F.col("t") < F.col("e.t")
     return pairs.select(F.least("t", "e.t").alias("u"), F.greatest("t", "e.t").alias("v"),
                         F.when(first, F.col("root")).otherwise(F.col("e.root")).alias("ru"),
@@ -193,11 +195,11 @@ def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFram
     text = text_or_empty()
     texts = documents.select("doc_id", key_of(text).alias("t"), text.alias("text"))
     made = stage(map_batches(texts.select(F.col("doc_id").cast("long"), "t", "text"), sketch_rows,
-                             "doc_id long, t binary, keys array<long>"), "sketches")
+                             "doc_id long, t binary, n int, keys array<long>"), "sketches")
     rows = collapse(made.select("doc_id", "t"), "near-rows")
-    nodes = stage(made.groupBy("t").agg(F.min("doc_id").alias("first_id"), F.first("keys").alias("keys")), "near-nodes")
+    nodes = stage(made.groupBy("t").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-nodes")
 
-    members = nodes.select("t", F.explode("keys").alias("key"))
+    members = nodes.select("t", "n", F.explode("keys").alias("key"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = stage(members.join(shared, "key"), "near-buckets")
     # of each candidate text the row with its first id: copies of one text do not meet in one task
@@ -226,10 +228,10 @@ def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFram
         turn += 1
         if turn == rounds:
             break
-        grown = buckets.join(merged, "root", "left").select("key", "t", F.coalesce("into", "root").alias("root"), F.col("into").isNotNull().alias("moved"))
+        grown = buckets.join(merged, "root", "left").select("key", "t", "n", F.coalesce("into", "root").alias("root"), F.col("into").isNotNull().alias("moved"))
         alive = (grown.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("moved").alias("moved"))
                  .where("moved AND a <> b").select("key"))
-        buckets = stage(grown.join(alive, "key").select("key", "t", "root"), "near-buckets")
+        buckets = stage(grown.join(alive, "key").select("key", "t", "n", "root"), "near-buckets")
 
     placed = nodes.select("t", "first_id").join(place, "t", "left")
     placed = placed.select("t", "first_id", F.coalesce("root", "t").alias("root"))
