@@ -11,9 +11,8 @@ every text of the bucket is paired with those of the two that are not of its own
 class.  A bucket of m texts gives under 2m pairs a round, however large it is;
 a class of many texts meets an outsider of its bucket with all of its texts.  A
 bucket takes part in the next round if a class of it grew in this one and it
-still has several.  There are at most ``ROUNDS``, so all pairs together are at
-most 2 x SKETCHES x ROUNDS a text; with ``rounds=None`` they end when no bucket is
-left, after as many as a large class has outsiders.
+still has several; the rounds end when no bucket is left.  There are as many as
+a large class has outsiders at most, and no bound cuts them off.
 
 A pair is a link when its alignment, the longest common subsequence of labelled
 k-mers, is at least ``SIMILARITY`` of the union:  L / (n + m - L).  Any alignment
@@ -49,7 +48,6 @@ SIMILARITY = 0.8
 #: At similarity 0.8 one sketch agrees with a chance of about 0.8^5; all 20 miss with 0.0004.
 SKETCHES = 20
 ELEMENTS = 5
-ROUNDS = 3
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -190,7 +188,7 @@ def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
                         F.when(first, F.col("e.root")).otherwise(F.col("root")).alias("rv")).distinct()
 
 
-def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFrame, DataFrame]:
+def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows (doc_id, t, _w_n) and, per text t, its class: class_id and the text that stays."""
     text = text_or_empty()
     texts = documents.select("doc_id", key_of(text).alias("t"), text.alias("text"))
@@ -212,7 +210,7 @@ def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFram
 
     place = words.select("t", F.col("t").alias("root"))
     buckets, tested, turn = members.withColumn("root", F.col("t")), None, 0
-    while turn != rounds and not buckets.isEmpty():
+    while not buckets.isEmpty():
         pairs = candidate_pairs(buckets, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
@@ -226,8 +224,6 @@ def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFram
             break
         place = stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places")
         turn += 1
-        if turn == rounds:
-            break
         grown = buckets.join(merged, "root", "left").select("key", "t", "n", F.coalesce("into", "root").alias("root"), F.col("into").isNotNull().alias("moved"))
         alive = (grown.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("moved").alias("moved"))
                  .where("moved AND a <> b").select("key"))
@@ -240,17 +236,17 @@ def classes(documents: DataFrame, rounds: int | None = ROUNDS) -> tuple[DataFram
     return rows, stage(groups, "near-classes")
 
 
-def near_duplicates(documents: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
+def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (least id of its class) and kept (one row per class)."""
-    rows, groups = classes(documents, rounds)
+    rows, groups = classes(documents)
     placed = expand(rows.join(groups, "t"))
     kept = (F.col("t") == F.col("keep_t")) & F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("_w_copy") == 0)
     return placed.select("doc_id", "class_id", kept.alias("kept"))
 
 
-def keep_one(documents: DataFrame, rounds: int | None = ROUNDS) -> DataFrame:
+def keep_one(documents: DataFrame) -> DataFrame:
     """The documents, one of each class, with all their columns."""
-    _, groups = classes(documents, rounds)
+    _, groups = classes(documents)
     keep = groups.where("t = keep_t").select(key_of(F.hex("t"), F.col("class_id")).alias("_w_row"))
     row = key_of(F.hex(key_of(text_or_empty())), F.col("doc_id").cast("long"))
     return documents.withColumn("_w_row", row).join(keep, "_w_row", "left_semi").dropDuplicates(["_w_row"]).drop("_w_row")
