@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tierflow.llm import latent, order_minhash
@@ -167,3 +168,36 @@ def test_a_chain_of_copies_is_one_class(spark):
     h = order_minhash.WordHashes()
     assert order_minhash.alignment(*(order_minhash.labelled(h.sequence(docs[i])) for i in (0, -1))) == 0.0
     assert order_minhash.near_duplicates(d).select("class_id").distinct().collect() == [(0,)]
+
+
+@pytest.mark.parametrize("chunk", [order_minhash.CHUNK, 16])
+def test_pairs_of_a_bucket_of_unlike_texts_are_all_compared(spark, monkeypatch, chunk):
+    """Many texts share a long passage and so a sketch; only the two of each pair are near copies."""
+    monkeypatch.setattr(order_minhash, "CHUNK", chunk)
+    rng = random.Random(8)
+    passage = text(rng, 180)
+    docs = []
+    for _ in range(60):
+        own = text(rng, 30)
+        docs += [passage + own, passage + own[:10] + text(rng, 20)]
+    hot = text(rng, 200)
+    docs += [edited(rng, hot, 2) for _ in range(60)] + [edited(rng, hot, 6) for _ in range(20)]
+    h = order_minhash.WordHashes()
+    kmers = [order_minhash.labelled(h.sequence(" ".join(w))) for w in docs]
+    keys = [set(order_minhash.sketches(k).tolist()) for k in kmers]
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if keys[i] & keys[j] and order_minhash.alignment(kmers[i], kmers[j]) >= 0.8:
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(d).collect()}
+    assert got == {i: find(i) for i in range(len(docs))}
+    assert sum(find(2 * i) == find(2 * i + 1) for i in range(60)) > 50 and len({find(i) for i in range(120)}) > 50

@@ -5,19 +5,22 @@ its occurrence number so that all elements differ.  A sketch takes, per hash
 function, the ``ELEMENTS`` labelled k-mers with the smallest hashes and keeps
 them in text order: equal sketches ask for the same k-mers in the same order.
 
-Texts that share a sketch form a bucket.  Candidates are made in rounds: in
-each, two classes of a bucket are drawn by hash, each with one of its texts, and
-every text of the bucket is paired with those of the two that are not of its own
-class.  A bucket of m texts gives under 2m pairs a round, however large it is;
-a class of many texts meets an outsider of its bucket with all of its texts.  A
-bucket takes part in the next round if a class of it grew in this one and it
-still has several; the rounds end when no bucket is left.  There are as many as
-a large class has outsiders at most, and no bound cuts them off.
+Texts that share a sketch form a bucket, and every pair of a bucket that is not
+of one class already is compared.  A bucket of up to ``CHUNK`` texts is compared
+by one task.  A larger one first goes through rounds that make its classes fewer:
+in each, two classes are drawn by hash, each with one of its texts, and every text
+of the bucket is paired with those of the two that are not of its own class, under
+2m pairs for m texts.  It leaves the rounds when one of them absorbs less than a
+quarter of its classes.  What then still has several classes is cut into chunks
+of about ``CHUNK`` texts, and all pairs of chunks are compared, but for chunks of
+one and the same class.  So the rounds only save work and decide nothing; the
+work left grows with the square of the texts that share a sketch and are unlike.
 
 A pair is a link when its alignment, the longest common subsequence of labelled
 k-mers, is at least ``SIMILARITY`` of the union:  L / (n + m - L).  Any alignment
 that good keeps matches within a band around the diagonal, so only matches
-inside it are aligned; a pair whose lengths alone forbid it fetches no text.  Links between distinct texts make the classes.
+inside it are aligned; a pair whose lengths or number of equal k-mers forbid it
+is not.  Links between distinct texts make the classes.
 
 Equal texts are one node: copies are counted before anything is shuffled.
 
@@ -48,6 +51,10 @@ SIMILARITY = 0.8
 #: At similarity 0.8 one sketch agrees with a chance of about 0.8^5; all 20 miss with 0.0004.
 SKETCHES = 20
 ELEMENTS = 5
+#: Texts, and labelled k-mers, of a chunk: a task compares two chunks at a time.
+CHUNK, CHUNK_KMERS = 256, 1 << 19
+#: A large bucket stays in the rounds while one leaves at most this share of its classes.
+STAYS = 0.75
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -173,6 +180,64 @@ def verify_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield b.loc[ok, ["ru", "rv"]]
 
 
+def common(kmers: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many labelled k-mers each two of the sequences have in common."""
+    who = np.repeat(np.arange(len(kmers)), [len(k) for k in kmers])
+    _, place, times = np.unique(np.concatenate(kmers), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    held = times[place] > 1
+    who, place = who[held], shared[place[held]]
+    order = np.argsort(place, kind="stable")
+    who, place = who[order], place[order]
+    out = np.zeros((len(kmers), len(kmers)))
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, columns):  # bounds the table of k-mers
+        part = slice(*np.searchsorted(place, (at, at + columns)))
+        table = np.zeros((len(kmers), columns), np.float32)
+        table[who[part], place[part] - at] = 1
+        out += table @ table.T
+    return out
+
+
+def links_of(roots: list[bytes], sides: np.ndarray, kmers: list[np.ndarray]) -> Iterator[tuple[bytes, bytes]]:
+    """Links that join the classes of these texts: of all pairs, or of those between two sides."""
+    parent = {r: r for r in roots}
+
+    def find(r: bytes) -> bytes:
+        while parent[r] != r:
+            parent[r] = r = parent[parent[r]]
+        return r
+
+    n = np.array([len(k) for k in kmers], float)
+    same = common(kmers)
+    able = same >= SIMILARITY * (n[:, None] + n[None, :] - same)
+    able &= np.triu(np.ones(able.shape, bool), 1)
+    if sides.any():
+        able &= sides[:, None] != sides[None, :]
+    for i, j in np.argwhere(able).tolist():
+        a, b = find(roots[i]), find(roots[j])
+        if a != b and alignment(kmers[i], kmers[j]) >= SIMILARITY:
+            parent[b] = a
+            yield roots[i], roots[j]
+
+
+def compare_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (ru, rv) of every (key, lo, hi); the rows of each come one after another."""
+    def links(rows: list[tuple]) -> pd.DataFrame:
+        kmers = [labelled(np.frombuffer(r[5], np.uint32)) for r in rows]
+        found = list(links_of([r[4] for r in rows], np.array([r[3] for r in rows]), kmers))
+        return pd.DataFrame({"ru": [u for u, _ in found], "rv": [v for _, v in found]}, dtype=object)
+
+    held: list[tuple] = []
+    for b in batches:
+        for r in zip(b.key, b.lo, b.hi, b.side, b.root, b.words, strict=True):
+            if held and held[0][:3] != r[:3]:
+                yield links(held)
+                held = []
+            held.append(r)
+    if held:
+        yield links(held)
+
+
 def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
     """Distinct (u, v) of one round with their classes (ru, rv), from the rows (key, t, n, root) of the buckets."""
     seed = F.lit(turn)
@@ -188,6 +253,29 @@ def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
                         F.when(first, F.col("e.root")).otherwise(F.col("root")).alias("rv")).distinct()
 
 
+def whole_buckets(members: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (ru, rv) among all texts of different classes in a bucket, from the rows (key, t, n, root)."""
+    sized = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("kmers"))
+    several = sized.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    # a class that fills a chunk has chunks of its own, which are not compared with each other
+    alone = sized.where((F.col("m") > CHUNK) | (F.col("kmers") > CHUNK_KMERS)).select("key", "root", F.hex("root").alias("alone"))
+    rows = members.join(several, "key").join(alone, ["key", "root"], "left").withColumn("alone", F.coalesce("alone", F.lit("")))
+    parts = rows.groupBy("key", "alone").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("n") / CHUNK_KMERS)).cast("int").alias("parts"))
+    chunk = F.concat_ws(":", "alone", "chunk")
+    rows = stage(rows.join(parts, ["key", "alone"]).withColumn("chunk", F.pmod(F.xxhash64("t", F.lit(5)), F.col("parts")))
+                 .select("key", "t", "root", chunk.alias("chunk")), "near-chunks")
+    chunks = parts.select("key", "alone", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("chunk"))
+    lo, hi = (chunks.select("key", F.col("alone").alias(f"{x}_alone"), chunk.alias(x)) for x in ("lo", "hi"))
+    tasks = lo.join(hi, "key").where("lo <= hi AND (lo_alone = '' OR lo_alone <> hi_alone)").select("key", "lo", "hi")
+    sides = F.when(F.col("lo") == F.col("hi"), F.array(F.struct(F.col("lo").alias("chunk"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("lo").alias("chunk"), F.lit(0).alias("side")), F.struct(F.col("hi").alias("chunk"), F.lit(1).alias("side"))))
+    dealt = tasks.select("key", "lo", "hi", F.inline(sides)).join(rows, ["key", "chunk"]).join(words, "t")
+    dealt = (dealt.select("key", "lo", "hi", "side", "root", "words").repartition("key", "lo", "hi")
+             .sortWithinPartitions("key", "lo", "hi", "side"))
+    return map_batches(dealt, compare_rows, "ru binary, rv binary")
+
+
 def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, groups): rows (doc_id, t, _w_n) and, per text t, its class: class_id and the text that stays."""
     text = text_or_empty()
@@ -198,7 +286,9 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = stage(made.groupBy("t").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-nodes")
 
     members = nodes.select("t", "n", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # of buckets with the same texts one is enough
+    shared = (members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *[F.bit_xor(F.xxhash64("t", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+              .where("m > 1").groupBy("m", "h1", "h2").agg(F.min("key").alias("key")).select("key", "m"))
     members = stage(members.join(shared, "key"), "near-buckets")
     # of each candidate text the row with its first id: copies of one text do not meet in one task
     needed = (members.select("t").distinct().join(nodes.select("t", "first_id"), "t")
@@ -209,9 +299,15 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     words = stage(map_batches(one_each, sequence_rows, "t binary, words binary"), "near-words")
 
     place = words.select("t", F.col("t").alias("root"))
-    buckets, tested, turn = members.withColumn("root", F.col("t")), None, 0
-    while not buckets.isEmpty():
-        pairs = candidate_pairs(buckets, turn)
+
+    def joined(place: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        merged = stars(links).select(F.col("u").alias("root"), F.col("root").alias("into"))
+        return stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places"), merged
+
+    large = members.where(F.col("m") > CHUNK).select("key", "t", "n", F.col("t").alias("root"), F.col("m").alias("had"))
+    tested, turn = None, 0
+    while not large.isEmpty():
+        pairs = candidate_pairs(large, turn)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = stage(pairs, "near-pairs")
@@ -219,15 +315,16 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         both = (pairs.join(words.select(F.col("t").alias("u"), F.col("words").alias("uw")), "u")
                 .join(words.select(F.col("t").alias("v"), F.col("words").alias("vw")), "v"))
         links = map_batches(both.select("u", "v", "ru", "rv", "uw", "vw"), verify_rows, "ru binary, rv binary")
-        merged = stars(links.select(F.col("ru").alias("u"), F.col("rv").alias("v"))).select(F.col("u").alias("root"), F.col("root").alias("into"))
-        if merged.isEmpty():
-            break
-        place = stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places")
+        place, merged = joined(place, links.select(F.col("ru").alias("u"), F.col("rv").alias("v")))
         turn += 1
-        grown = buckets.join(merged, "root", "left").select("key", "t", "n", F.coalesce("into", "root").alias("root"), F.col("into").isNotNull().alias("moved"))
-        alive = (grown.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.max("moved").alias("moved"))
-                 .where("moved AND a <> b").select("key"))
-        buckets = stage(grown.join(alive, "key").select("key", "t", "n", "root"), "near-buckets")
+        grown = large.join(merged, "root", "left").withColumn("root", F.coalesce("into", "root"))
+        left = grown.groupBy("key", "root").agg(F.first("had").alias("had")).groupBy("key").agg(F.count(F.lit(1)).alias("has"), F.first("had").alias("had"))
+        left = left.where((F.col("has") > 1) & (F.col("has") <= STAYS * F.col("had"))).select("key", F.col("has").alias("had"))
+        large = stage(grown.select("key", "t", "n", "root").join(left, "key"), "near-buckets")
+
+    rest = stage(members.join(place, "t").select("key", "t", "n", "root"), "near-buckets") if turn else members.withColumn("root", F.col("t"))
+    links = whole_buckets(rest, words)
+    place, _ = joined(place, links.select(F.col("ru").alias("u"), F.col("rv").alias("v")))
 
     placed = nodes.select("t", "first_id").join(place, "t", "left")
     placed = placed.select("t", "first_id", F.coalesce("root", "t").alias("root"))
