@@ -111,3 +111,16 @@ def test_mixed_documents_follow_the_rate(spark, sf):
     copies = {r["doc_id"]: r["n"] for r in mixing.mix_documents(docs).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     for i, (t, z) in taken.items():
         assert t // max(1, z) <= copies.get(i, 0) <= -(-t // max(1, z))
+
+
+def test_small_sources_reach_their_targets(spark):
+    rows = [(f"s{n:03}", 1000 * n + k, " ".join(["w"] * min(25, n - 25 * k))) for n in range(5, 301, 5) for k in range(-(-n // 25))]
+    docs = spark.createDataFrame(rows, "source string, doc_id long, text string")
+    got = {}
+    for r in mixing.mix(docs).collect():
+        size, target, taken = got.get(r["source"], (0, r["target"], 0))
+        got[r["source"]] = (size + r["size"], target, taken + r["taken"])
+    want = filled({s: size for s, (size, _, _) in got.items()})
+    assert len(got) == 60 and any(abs(t - 2 * n) < 1e-6 for n, t, _ in got.values())
+    for s, (_, target, taken) in got.items():
+        assert abs(target - want[s]) < 1e-6 and abs(taken - target) <= 0.5 + 1e-6

@@ -1,7 +1,8 @@
 """Operator 4: mixing sources to target weights by Sainte-Lague apportionment.
 
 The token stream of a source (its documents in a seeded order) is cut into
-equal blocks.  Blocks are seats: source i gets the seats whose quotient
+equal blocks, of ``BLOCK`` words or, in a source of under ``FEW`` of those, shorter
+ones down to one word; quotas are counted in the source's own blocks.  Blocks are seats: source i gets the seats whose quotient
 ``target_i / (k - 1/2)`` is at least the block length, i.e. the highest
 quotients of a house of as many seats.  Because the method is house-monotone,
 the quota of output shard j is the difference of two such closed forms.  Which
@@ -25,6 +26,8 @@ from tierflow.session import stage
 
 WEIGHTS = (3, 1, 2)
 BLOCK = 64
+#: A source that would have fewer blocks than this gets shorter ones, down to one word.
+FEW = 256
 SHARE = 1.5
 MOST = 2.0
 SEED = 23
@@ -75,8 +78,11 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, mo
     sizes = groups.groupBy("_w_source", "source").agg(F.sum(F.col("size") * F.col("_w_n")).alias("source_size"))
     known = stage(
         targets(sizes, weights, share, most)
-        .withColumn("_w_blocks", F.greatest(F.lit(1).cast("long"), F.round(F.col("source_size") / block).cast("long")))
-        .withColumn("_w_quota", F.least(F.floor(F.col("target") / block + 0.5), F.floor(F.lit(most) * F.col("_w_blocks")))),
+        .withColumn("_w_block", F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("source_size") / FEW))))
+        .withColumn("_w_blocks", F.greatest(F.lit(1).cast("long"), F.round(F.col("source_size") / F.col("_w_block")).cast("long")))
+        # counted in the source's own blocks, which are source_size / _w_blocks words long
+        .withColumn("_w_quota", F.least(F.floor(F.col("target") * F.col("_w_blocks") / F.greatest(F.col("source_size"), F.lit(1)) + 0.5),
+                                        F.floor(F.lit(most) * F.col("_w_blocks")))),
         "mix-sources").drop("source")
     laid = running_start(groups, F.col("size") * F.col("_w_n"), ["_w_source"],
                          [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), F.col("size")], bucket_count(seen))
