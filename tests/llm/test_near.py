@@ -201,3 +201,19 @@ def test_pairs_of_a_bucket_of_unlike_texts_are_all_compared(spark, monkeypatch,
     got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(d).collect()}
     assert got == {i: find(i) for i in range(len(docs))}
     assert sum(find(2 * i) == find(2 * i + 1) for i in range(60)) > 50 and len({find(i) for i in range(120)}) > 50
+
+
+def test_verbatim_passages_of_a_full_space_are_all_found(spark):
+    """Short passages whose surroundings are all of the block's words, more of them than directions."""
+    rng = random.Random(12)
+    docs = [text(rng, 50) for _ in range(150)]
+    items = []
+    for _ in range(400):
+        d, n = rng.choice(docs), rng.randint(1, 20) if rng.random() < 0.2 else rng.randint(6, 12)
+        at = rng.randrange(len(d) - n + 1)
+        items.append(" ".join(d[at : at + n]))
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in latent.contaminated(d, b).collect()}
+    want = {(i, j) for i, w in enumerate(docs) for j, x in enumerate(items) if f" {x} " in f" {' '.join(w)} "}
+    assert want <= got, len(want - got)

@@ -8,7 +8,10 @@ passage if it holds at least ``MASS`` of the passage's squared TF-IDF weight (th
 passages are sorted by it, so a light window is multiplied with few), its latent
 vector has a cosine of at least ``COSINE`` with the
 passage's, and its part along the passage is at least ``MASS`` of the passage's
-length.  A candidate is contaminated when the longest common word subsequence of the passage and the
+length.  Words around a short passage dilute that cosine, and a full block has
+more pieces than the space has directions, so the place of any of the passage's
+``ANCHORS`` rarest pairs of neighbouring words (of its word, if it has one) is a
+candidate too, whatever its cosine: a verbatim copy is always one.  A candidate is contaminated when the longest common word subsequence of the passage and the
 window's surroundings covers ``COVER`` of the passage, and that of the
 passage's answer (its last quarter, unless a column names it) ``ANSWER`` of the
 answer, so reworded copies count and shared vocabulary does not.
@@ -46,6 +49,8 @@ WINDOW, STRIDE = 32, 8
 COSINE = 0.5
 MASS = 0.5
 COVER, ANSWER = 0.75, 0.5
+#: Neighbouring words of a passage whose places in a document are candidates.
+ANCHORS = 3
 #: Words in more than this share of the documents have no weight in the latent space.
 STOP_SHARE = 0.2
 MARKS = ".,;:!?\"'()[]"
@@ -80,6 +85,9 @@ class Block:
     length: np.ndarray  # of the pieces before that
     mass: np.ndarray  # of the pieces: squared weight, ascending
     piece_item: np.ndarray
+    anchors: np.ndarray  # pairs of neighbouring words as numbers, ascending
+    anchor_item: np.ndarray
+    anchor_at: np.ndarray  # their places in the item
 
 
 def pieces_of(words: list[str]) -> Iterator[list[str]]:
@@ -91,6 +99,21 @@ def pieces_of(words: list[str]) -> Iterator[list[str]]:
         yield words[min(at, len(words) - WINDOW) : min(at, len(words) - WINDOW) + WINDOW]
 
 
+def pair(first, second, size: int):
+    """Neighbouring words as one number; ``second`` is -1 for a word by itself."""
+    return first * (size + 1) + second + 1
+
+
+def anchors_of(items: list[tuple[int, list[int], list[int]]], rare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, item, place) of the items' rarest neighbouring words, by pair."""
+    out = []
+    for k, (_, words, _) in enumerate(items):
+        pairs = {pair(a, b, len(rare)): (-rare[a] - rare[b], i) for i, (a, b) in reversed([*enumerate(zip(words, words[1:]))])}
+        pairs = pairs or {pair(words[0], -1, len(rare)): (0.0, 0)}
+        out += [(p, k, i) for p, (_, i) in sorted(pairs.items(), key=lambda x: x[1])[:ANCHORS]]
+    return tuple(np.array(x, np.int64) for x in zip(*sorted(out), strict=True))
+
+
 class Known(dict):
     """Token to its form in a vocabulary, None outside; emptied when it has grown."""
 
@@ -175,7 +198,8 @@ def build(documents: DataFrame, items: list[tuple[int, str, str | None]], rank:
     common = {w for w in names if counts.get(w, 0) > STOP_SHARE * n}
     # a passage of common words alone keeps their weight, or nothing could find it
     needed = {w for _, words, _ in known if len(set(words) - common) < 4 for w in words}
-    weight = np.array([np.log((n + 1) / (counts.get(w, 0) + 1)) + 0.1 if w not in common or w in needed else 0.0 for w in names])
+    rare = np.array([np.log((n + 1) / (counts.get(w, 0) + 1)) + 0.1 for w in names])
+    weight = np.where([w not in common or w in needed for w in names], rare, 0.0)
     rows, owner = [], []
     for k, (_, words, _) in enumerate(known):
         for piece in pieces_of(words):
@@ -191,7 +215,7 @@ def build(documents: DataFrame, items: list[tuple[int, str, str | None]], rank:
     order = np.argsort(mass, kind="stable")
     placed = [(i, [vocab[w] for w in words], [vocab[w] for w in answer]) for i, words, answer in known]
     return Block(placed, vocab, weight, (base * weight[:, None]).astype(np.float32), (made / length[:, None]).astype(np.float32)[order],
-                 length.astype(np.float32)[order], mass[order], np.array(owner)[order])
+                 length.astype(np.float32)[order], mass[order], np.array(owner)[order], *anchors_of(placed, rare))
 
 
 class Places(dict):
@@ -239,9 +263,38 @@ def matches(texts: list[str], block: Block, places: Places) -> list[list[tuple[i
             good = (cos >= COSINE) & (along >= MASS * block.length[columns]) & (np.arange(along.shape[1]) < most[part][:, None])
             for r, c in zip(*np.nonzero(good), strict=True):
                 near[owner[part[r]]].setdefault(int(block.piece_item[c]), []).append((int(starts[part[r]]), float(cos[r, c])))
+    for i, k, start in anchored(at, begin, size, block):
+        held = at[start : min(start + WINDOW, begin[i] + size[i])]
+        w = block.vectors[held[held >= 0]].sum(axis=0)
+        cos = (block.pieces[block.piece_item == k] @ w).max() / max(np.linalg.norm(w), 1e-9)
+        near[i].setdefault(k, []).append((start, float(cos)))
     return [sorted(verified(at[begin[i] : begin[i] + size[i]], int(begin[i]), found, block)) if found else [] for i, found in enumerate(near)]
 
 
+def anchored(at: np.ndarray, begin: np.ndarray, size: np.ndarray, block: Block) -> list[tuple[int, int, int]]:
+    """(text, item, start) of all places where a text has an anchor: start is where the passage would begin."""
+    if not len(at):
+        return []
+    words = at.astype(np.int64)
+    after = np.append(words[1:], -1)
+    after[(begin + size - 1)[size > 0]] = -1  # no pair across two texts
+    out = []
+    sought = [(pair(words, after, len(block.vocab)), (words >= 0) & (after >= 0))]
+    if (block.anchors % (len(block.vocab) + 1) == 0).any():
+        sought.append((pair(words, -1, len(block.vocab)), words >= 0))
+    for keys, real in sought:
+        spot = np.flatnonzero(real)
+        low, high = (np.searchsorted(block.anchors, keys[spot], side) for side in ("left", "right"))
+        hits = high - low
+        spot, low, hits = spot[hits > 0], low[hits > 0], hits[hits > 0]
+        which = np.repeat(low - (np.cumsum(hits) - hits), hits) + np.arange(int(hits.sum()))
+        spot = np.repeat(spot, hits)
+        text = np.searchsorted(begin + size, spot, side="right")
+        start = np.maximum(begin[text], spot - block.anchor_at[which])
+        out += zip(text.tolist(), block.anchor_item[which].tolist(), start.tolist(), strict=True)
+    return sorted(set(out))
+
+
 def verified(at: np.ndarray, begin: int, near: dict[int, list], block: Block) -> Iterator[tuple[int, float, float, float]]:
     """The candidates of one text (its words ``at``, its windows by item) that the passages cover."""
     for k, found in near.items():
