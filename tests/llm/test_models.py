@@ -115,3 +115,15 @@ def test_stated_rules(spark):
     got = url_rules.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).orderBy("page_id").collect()
     assert [(r["host"], r["path"], r["rule"]) for r in got] == [w[:3] for w in want]
     assert all(w[3] in (None, r["verdict"]) for r, w in zip(got, want, strict=True))
+
+
+def test_training_rows_hold_one_row_per_id(spark):
+    from tierflow.llm.features import training_rows
+
+    texts = [(1, "a b")] * 50 + [(1, "c d")] * 30 + [(2, None), (2, ""), (3, "e")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 1)], "doc_id long, mark int")
+    got = [tuple(r) for r in training_rows(docs, labels, "mark", 5, -1, 3).collect()]
+    again = [tuple(r) for r in training_rows(docs.repartition(7), labels, "mark", 5, -1, 3).collect()]
+    assert len(got) == len({r[0] for r in got}) <= 3 and sorted(got) == sorted(again)
+    assert all((i, x or None) in {(1, "a b"), (1, "c d"), (2, None), (3, "e")} for i, x, _ in got)

@@ -23,13 +23,17 @@ def training_rows(documents: DataFrame, labels: DataFrame, label: str, folds: in
 
     The rows with the smallest hashes of their id are taken, so the sample is
     the same on every run.  The sampled labels (at most ``most`` narrow rows)
-    are broadcast; the documents are not shuffled.
+    are broadcast; the documents are not shuffled.  Of the rows of one id that
+    with the least text hash stays, so partial aggregates of at most ``most``
+    rows are all that is moved.
     """
     known = (labels.select("doc_id", F.col(label).cast("int").alias("_w_label")).where("doc_id IS NOT NULL AND _w_label IS NOT NULL")
              .where(~held_out(folds, fold)).groupBy("doc_id").agg(F.max("_w_label").alias("_w_label"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
     rows = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.join(F.broadcast(known), "doc_id").select("doc_id", "text", F.col("_w_label").alias("label"))
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_w_one")
+    rows = rows.join(F.broadcast(known), "doc_id").groupBy("doc_id", "_w_label").agg(one)
+    return rows.select("doc_id", F.col("_w_one.text").alias("text"), F.col("_w_label").alias("label"))
 
 
 def bucket(word: str, dims: int) -> int:
