@@ -2,12 +2,14 @@
 
 The token stream of a source (its documents in a seeded order) is cut into
 equal blocks, of ``BLOCK`` words or, in a source of under ``FEW`` of those, shorter
-ones down to one word; quotas are counted in the source's own blocks.  Blocks are seats: source i gets the seats whose quotient
-``target_i / (k - 1/2)`` is at least the block length, i.e. the highest
-quotients of a house of as many seats.  Because the method is house-monotone,
-the quota of output shard j is the difference of two such closed forms.  Which
-blocks are taken once more than the others is decided by a seeded permutation
-of the source's block numbers.
+ones down to one word; quotas are counted in the source's own blocks.  Blocks are seats:
+source i gets the seats whose quotient ``target_i / (k - 1/2)`` is at least its
+block length; among sources of equal block length these are the highest quotients
+of a house of as many seats.  Because the method is house-monotone, the quota of
+output shard j is the difference of two such closed forms: ``quotas`` gives them,
+but ``mix`` deals no blocks to shards and doesn't use it.  Which blocks are taken
+once more than the others is decided by a seeded permutation of the source's block
+numbers.
 
 Defined results: a NULL source is a source of its own, sorted last; NULL and
 empty texts have size 0 and take no words; equal rows share their words as
