@@ -63,3 +63,8 @@ def test_quality_profile_copies_and_orphans(spark):
          C.batch_quality_profile(raw, "2025-01-01", customers=customers).collect()}
     assert (p[1]["copies_new_id"], p[1]["orphan_customer"]) == (2, 1)   # NULL key is not an orphan
     assert (p[2]["copies_new_id"], p[2]["orphan_customer"]) == (0, 0)
+
+
+def test_no_checks_give_no_rows(spark):
+    report = C.run_checks({"m": spark.range(3)}, [])
+    assert report.count() == 0 and report.columns == ["check_name", "model", "severity", "failures", "status"]

@@ -1,6 +1,7 @@
 """The job: checks gate the snapshot (error stops it, warn does not)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierflow.operators.checks import Check, CheckFailed
 from tierflow.plans.data_tests import model_checks
@@ -40,3 +41,14 @@ def test_error_check_stops_before_snapshot(spark, sf):
         run_pipeline(spark, sf, base, "dev", AS_OF, checks=failing)
     assert Table(spark, layer_path(base, "dev", "gold", "mart_ventas_por_ciudad")).exists()
     assert not KeyedTable(spark, layer_path(base, "dev", "snapshots", "clientes_snapshot") + "/open", "cliente_id").exists()
+
+
+@pytest.mark.parametrize("mixed", [True, False])
+def test_rows_without_a_batch_are_not_lost(spark, sf, mixed):
+    base = work_dir(spark, "wh")
+    people, orders = (f(spark, sf).where("_batch_id = 2") for f in (raw_clientes, raw_pedidos))
+    some = F.col("id") % 2 == 0 if mixed else F.lit(True)
+    people, orders = (df.withColumn("_batch_id", F.when(~some, F.col("_batch_id"))) for df in (people, orders))
+    run = run_batch(spark, people, orders, base, "dev", AS_OF)
+    assert run.read("raw_pedidos").count() == run.read("bronze_pedidos").count() == orders.count() > 0
+    assert run.read("bronze_clientes").count() == people.count()

@@ -172,3 +172,34 @@ def test_pipe_can_archive_loaded_files(spark):
     archived = spark.read.schema(PEDIDOS_CSV_SCHEMA).option("header", True) \
         .option("recursiveFileLookup", True).csv(f"{root}/archive")
     assert rows(archived, "id") == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("name", ["orders:eu", "a/b", "x=1 %#", "007", "2024-01-01"])
+def test_any_name_of_a_stream(spark, name):
+    root, pipe, _ = _setup(spark)
+    target = consumer_table(spark, f"{root}/consumer")
+    stream = ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/named", name=name)
+    other = ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/other", name="7")
+    write_landing(_rows(spark, [1, 2]), pipe.landing_root, 1)
+    pipe.run()
+    stream.consume_into(target)
+    assert not stream.has_data(target) and other.has_data(target)
+    write_landing(_rows(spark, [3]), pipe.landing_root, 2)
+    pipe.run()
+    assert rows(stream.pending(target), "id") == [(3,)]
+    with pytest.raises(StaleCheckpoint):
+        ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/fresh", name=name).consume_into(target)
+    stream.consume_into(target)
+    assert rows(target.read(), "id") == [(1,), (2,), (3,)]
+
+
+def test_peeking_reads_one_row_per_consumed_file(spark):
+    root, pipe, changes = _setup(spark)
+    target = consumer_table(spark, f"{root}/consumer")
+    write_landing(_rows(spark, range(500)), pipe.landing_root, 1)
+    pipe.run()
+    changes.consume_into(target)
+    files = changes_module.consumed_files(target).read()
+    assert files.count() == files.select("_change_file").distinct().count() < 500 and target.read().count() == 500
+    with pytest.raises(ValueError, match="name"):
+        ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/none", name="")

@@ -102,8 +102,11 @@ def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     Row-level checks are fused per model into one ``agg`` of ``count_if``
     expressions; set-level checks (unique, relationships, row count) each
     reduce to one row.  The result is the union of these one-row aggregates,
-    so its size is the number of checks, never the data.
+    so its size is the number of checks, never the data.  No checks give no rows.
     """
+    if not checks:
+        session = next(iter(models.values())).sparkSession
+        return session.createDataFrame([], "check_name string, model string, severity string, failures bigint, status string")
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:

@@ -7,9 +7,11 @@ the measured size of its shuffle are under ``spark.sql.autoBroadcastJoinThreshol
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.operators.ranges import PART, carried, inside, ordered_ranges
+
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
     """Fact x dimension equi-join."""
@@ -32,15 +34,33 @@ def asof_join(probe: DataFrame, history: DataFrame, key: str, probe_ts: str,
               how: str = "left") -> DataFrame:
     """State of an entity at time T, from a validity-interval history.
 
-    An equi-join on the key with a range residual
-    ``valid_from <= T < coalesce(valid_to, +inf)``: Spark plans a hash or
-    sort-merge join on the key with the range as a post-join filter, never a
-    nested loop.  History intervals of one key are disjoint, so each probe row
-    matches at most one version; with ``how='left'`` a probe before the first
-    version keeps its row with NULL state.
+    A merge scan instead of a join on the key: versions and probes are put in
+    one order (key, time, versions first) that is range partitioned, and each
+    probe takes the last version before it, from its own range or carried over
+    from an earlier one.  The work is linear in probes plus versions and a key
+    that has a third of both spreads over tasks.  Intervals of one key are
+    disjoint, so the last version that began by T is the one that can hold T.
+    With ``how='left'`` a probe without a version keeps its row with NULL state;
+    a NULL key or time has none.
     """
-    h = history.withColumnRenamed(key, "_h_key")
-    cond: Column = ((F.col(key) == F.col("_h_key"))
-                    & (F.col(probe_ts) >= F.col(valid_from))
-                    & (F.col(valid_to).isNull() | (F.col(probe_ts) < F.col(valid_to))))
-    return probe.join(h, cond, how).drop("_h_key")
+    state = [c for c in history.columns if c != key]
+    versions = (history.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
+                .select(F.col(key).alias("_k"), F.col(valid_from).alias("_t"), F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_tie"),
+                        F.struct(F.col(key).alias("_k"), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(state)]).alias("_version"),
+                        F.lit(None).cast(probe.schema).alias("_probe")))
+    row = F.struct(*[F.col(c) for c in probe.columns])
+    probes = probe.select(F.col(key).alias("_k"), F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"), F.xxhash64(F.to_json(row)).alias("_tie"),
+                          F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"), row.alias("_probe"))
+    order = ["_k", "_t", "_side", "_tie"]
+    ranges = ordered_ranges(versions.unionByName(probes), order, "asof")
+    so_far = inside(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = ranges.withColumn("_own", F.last("_version", ignorenulls=True).over(so_far)).where("_side = 1")
+    seen = seen.join(carried(ranges, F.col("_version"), order), PART, "left").withColumn("_held", F.coalesce("_own", "_carry"))
+    until = F.col(f"_held._v{state.index(valid_to)}")
+    holds = (F.col("_held._k") == F.col("_k")) & F.col("_t").isNotNull() & (until.isNull() | (F.col("_t") < until))
+    seen = seen.withColumn("_held", F.when(holds, F.col("_held")))
+    if how == "inner":
+        seen = seen.where(F.col("_held").isNotNull())
+    elif how != "left":
+        raise ValueError(f"an as-of join is left or inner, not {how}")
+    return seen.select("_probe.*", *[F.col(f"_held._v{i}").alias(c) for i, c in enumerate(state)])

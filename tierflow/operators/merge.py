@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.functions.scalar import ntz_literal
-from tierflow.operators.dedup import latest_per_key
+from tierflow.operators.dedup import _order_cols, latest_per_key, qualify
 from tierflow.session import stage
-from tierflow.sources.storage import KeyedTable, Table, bucket_of
+from tierflow.sources.storage import BatchTable, KeyedTable, Table, bucket_of
 
 
 class DuplicateKeyError(ValueError):
@@ -61,33 +63,106 @@ def merge_rows(current: DataFrame, batch: DataFrame, key, order_by: Sequence = (
     return latest_per_key(both, key, [*order_by, "-_from_batch"]).drop("_from_batch")
 
 
-def merge_upsert(table: KeyedTable, batch: DataFrame, order_by: Sequence = (), check_unique: bool = True) -> None:
+class ChangeLog(BatchTable):
+    """The change rows of a merged table, one partition per run.
+
+    Rows have the key, ``<col>_before``, ``<col>_after`` and ``_change_type`` (insert or
+    update; a merge deletes nothing), like those of ``table_diff``.  A run's rows
+    are written before the table changes, so a run that is repeated after a
+    failure merges what it has recorded and records nothing anew.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root, by=("_run",))
+
+    def record(self, run: int, changes: DataFrame) -> None:
+        self.write(changes.withColumn("_run", F.lit(run).cast("int")))
+
+    def of(self, run: int) -> DataFrame:
+        return self.read().where(F.col("_run") == run).drop("_run")
+
+
+def change_schema(schema: T.StructType, keys: list[str]) -> T.StructType:
+    cols = [f for f in schema.fields if f.name not in keys]
+    return T.StructType([*[schema[k] for k in keys], *[T.StructField(f"{f.name}_before", f.dataType) for f in cols],
+                         *[T.StructField(f"{f.name}_after", f.dataType) for f in cols], T.StructField("_change_type", T.StringType())])
+
+
+def image(changes: DataFrame, keys: list[str], columns: list[str], side: str) -> DataFrame:
+    """The rows of a change log before or after the change, with the table's columns."""
+    there = changes.where("_change_type <> 'insert'") if side == "before" else changes.where("_change_type <> 'delete'")
+    return there.select(*[F.col(c) if c in keys else F.col(f"{c}_{side}").alias(c) for c in columns])
+
+
+def merge_with_before(current: DataFrame, batch: DataFrame, key, order_by: Sequence = ()) -> DataFrame:
+    """``merge_rows`` with the stored row of each key in ``_before`` and whether the batch's row won in ``_from_batch``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    both = (current.withColumn("_from_batch", F.lit(0))
+            .unionByName(batch.select(*current.columns).withColumn("_from_batch", F.lit(1))))
+    stored = F.when(F.col("_from_batch") == 0, F.struct(*current.columns))
+    both = both.withColumn("_before", F.first(stored, ignorenulls=True).over(Window.partitionBy(*keys)))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*_order_cols([*order_by, "-_from_batch"])))
+    return qualify(both, first, lambda c: c == 1)
+
+
+def changed_rows(merged: DataFrame, key) -> DataFrame:
+    """The change rows among those of ``merge_with_before``; a row that replaces its equal is none."""
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [c for c in merged.columns if c not in (*keys, "_before", "_from_batch")]
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_before.{c}")) for c in cols], F.lit(True))
+    new = F.col("_before").isNull()
+    return merged.where((F.col("_from_batch") == 1) & (new | ~same)).select(
+        *keys, *[F.col(f"_before.{c}").alias(f"{c}_before") for c in cols], *[F.col(c).alias(f"{c}_after") for c in cols],
+        F.when(new, "insert").otherwise("update").alias("_change_type"))
+
+
+def merge_upsert(table: KeyedTable, batch: DataFrame, order_by: Sequence = (), check_unique: bool = True,
+                 log: ChangeLog | None = None, run: int | None = None) -> None:
     """Upsert ``batch`` into ``table``; only the buckets that hold a batch key are rewritten.
 
     The batch is staged, so that the key check, the bucket list (at most one
     number per bucket) and the merge read the same rows.  Replaying a batch
-    leaves the table as it is.
+    leaves the table as it is.  With a ``log`` the change rows of the run come out
+    of the merge itself, which has both sides of every key at hand.  A table
+    whose buckets have outgrown their aim is laid out anew.
     """
+    repeated = log is not None and run in log.batches()
+    if repeated:
+        names = table.schema().fieldNames() if table.exists() else [c for c in batch.columns]
+        batch = image(log.of(run), table.keys, names, "after")
     batch = stage(batch, "merge-batch")
     if check_unique:
         assert_unique_keys(batch, table.keys)
     if not table.exists():
+        if log is not None and not repeated:
+            none = F.lit(None).cast(batch.schema)
+            log.record(run, changed_rows(batch.withColumns({"_before": none, "_from_batch": F.lit(1)}), table.keys))
         table.overwrite(batch)
         return
     touched = [r[0] for r in batch.select(bucket_of(table.keys, table.buckets)).distinct().collect()]
-    if touched:
-        table.replace_buckets(merge_rows(table.read(touched), batch, table.keys, order_by))
+    if not touched:
+        return
+    rows = Observation()
+    if log is None or repeated:
+        merged = merge_rows(table.read(touched), batch, table.keys, order_by)
+    else:
+        merged = merge_with_before(table.read(touched), batch, table.keys, order_by)
+    merged = stage(merged.observe(rows, F.count(F.lit(1)).alias("n")), "merged")
+    if log is not None and not repeated:
+        log.record(run, changed_rows(merged, table.keys))
+    table.replace_buckets(merged, staged=True)
+    table.regrow(rows.get["n"] / len(touched))
 
 
 def incremental_run(table: KeyedTable, source: DataFrame, ts_col: str, order_by: Sequence,
-                    lookback: _dt.timedelta | None = None) -> None:
+                    lookback: _dt.timedelta | None = None, log: ChangeLog | None = None, run: int | None = None) -> None:
     """High-water filter -> newest row per key in the batch -> merge.
 
     The mark is ``max(ts_col)`` of the target (a scan of that one column).
     """
     if table.exists():
         source = above_mark(source, ts_col, high_water_mark(table.read(), ts_col), lookback)
-    merge_upsert(table, latest_per_key(source, table.keys, order_by), order_by, check_unique=False)
+    merge_upsert(table, latest_per_key(source, table.keys, order_by), order_by, check_unique=False, log=log, run=run)
 
 
 def replace_with_dedup(table: Table, key, order_by: Sequence) -> None:

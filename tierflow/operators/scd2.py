@@ -19,10 +19,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.operators.merge import assert_unique_keys, merge_upsert
+from tierflow.operators.ranges import PART, following, inside, ordered_ranges
 from tierflow.session import stage
 from tierflow.sources.storage import BatchTable, KeyedTable
 
@@ -105,8 +106,15 @@ class Scd2Table:
 def history_from_changes(changes: DataFrame, key: str, updated_at: str) -> DataFrame:
     """One-shot history from a full change log: ``valid_to = lead(updated_at)``.
 
-    The batch equivalent of folding every snapshot through ``Scd2Table``.
+    The batch equivalent of folding every snapshot through ``Scd2Table``.  The
+    lead runs over ranges of (key, time); each range's last row takes the first
+    row of the next, so no key's history is one task's work.
     """
-    w = Window.partitionBy(key).orderBy(F.col(VALID_FROM))
-    v = as_versions(changes, key, updated_at)
-    return v.withColumn(VALID_TO, F.lead(VALID_FROM).over(w))
+    order = ["_k", VALID_FROM, HASH]
+    rows = as_versions(changes, key, updated_at).withColumn("_k", F.col(key))
+    ranges = ordered_ranges(rows, order, "scd2-rebuild")
+    after = F.struct(F.col("_k").alias("k"), F.col(VALID_FROM).alias("t"))
+    out = ranges.withColumn("_lead", F.lead(after).over(inside(order))).join(following(ranges, after, order), PART, "left")
+    later = F.coalesce("_lead", "_next")
+    same = later["k"].eqNullSafe(F.col("_k"))
+    return out.withColumn(VALID_TO, F.when(same, later["t"])).select(*[c for c in rows.columns if c != "_k"])

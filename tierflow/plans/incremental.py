@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import clean_text
-from tierflow.operators.merge import incremental_run
+from tierflow.operators.merge import ChangeLog, incremental_run
 from tierflow.plans.models import PEDIDOS_ORDER
 from tierflow.session import work_dir
 from tierflow.sources.storage import KeyedTable
@@ -29,21 +29,29 @@ def batches_of(rows: DataFrame, col: str = "_batch_id") -> list:
     return sorted((r[0] for r in rows.select(col).distinct().collect()), key=lambda b: (b is not None, b))
 
 
+def in_batches(batches: list, col: str = "_batch_id") -> Column:
+    """True for the rows of these batches; NULL is a batch like any other."""
+    known = F.col(col).isin([b for b in batches if b is not None])
+    return F.coalesce(known, F.lit(None in batches))
+
+
 def fold_batches(spark: SparkSession, bronze: DataFrame, order: list,
                  lookback: _dt.timedelta | None = None, buckets: int | None = None,
-                 table: KeyedTable | None = None, after_run=None) -> KeyedTable:
+                 table: KeyedTable | None = None, after_run=None, log: ChangeLog | None = None) -> KeyedTable:
     """Run the incremental model once per arriving batch.
 
     Run ``i`` sees the source as it stands after batches ``order[:i+1]``
     have landed (the landing table only grows); the high-water mark decides
-    which of its rows are new.  ``after_run(i, table)`` is called after each run.
+    which of its rows are new.  ``after_run(i, table)`` is called after each run;
+    ``log`` gets the change rows of run ``i``.
     """
     src = incremental_source(bronze)
     table = table or KeyedTable(spark, work_dir(spark, "pedidos_incremental"), "pedido_id", buckets)
     landed = F.lit(False)
     for i, b in enumerate(order):
         landed = landed | F.col("_batch_id").eqNullSafe(F.lit(b))
-        incremental_run(table, src.filter(landed), "_inserted_at", PEDIDOS_ORDER, lookback=lookback)
+        incremental_run(table, src.filter(landed), "_inserted_at", PEDIDOS_ORDER, lookback=lookback,
+                        log=log, run=i)
         if after_run:
             after_run(i, table)
     return table

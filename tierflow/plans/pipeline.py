@@ -24,7 +24,7 @@ from tierflow.operators.merge import incremental_run
 from tierflow.operators.scd2 import Scd2Table
 from tierflow.plans import models as M
 from tierflow.plans.data_tests import model_checks
-from tierflow.plans.incremental import batches_of, incremental_source
+from tierflow.plans.incremental import batches_of, in_batches, incremental_source
 from tierflow.sources.fixtures import raw_clientes, raw_pedidos
 from tierflow.sources.storage import BatchTable, KeyedTable, Table
 from tierflow.sources.tables import layer_path
@@ -60,7 +60,7 @@ def run_batch(spark: SparkSession, clientes: DataFrame, pedidos: DataFrame, base
     def append(layer: str, name: str, df: DataFrame) -> DataFrame:
         t = tables[name] = BatchTable(spark, path(layer, name))
         t.write(df)
-        return t.read().select(*df.columns)
+        return t.read(df.schema)
 
     def build(layer: str, name: str, df: DataFrame) -> DataFrame:
         t = tables[name] = Table(spark, path(layer, name))
@@ -71,7 +71,7 @@ def run_batch(spark: SparkSession, clientes: DataFrame, pedidos: DataFrame, base
     batches = {}
     for name, df in (("clientes", clientes), ("pedidos", pedidos)):
         ids = batches_of(df)
-        batches[name] = append("raw", f"raw_{name}", df).where(F.col("_batch_id").isin(ids))
+        batches[name] = append("raw", f"raw_{name}", df).where(in_batches(ids))
 
     # 2. build: bronze of the new batch; silver, incremental table and gold
     bronze_c = append("bronze", "bronze_clientes", M.bronze_clientes(batches["clientes"]))

@@ -62,7 +62,7 @@ class _Setup:
 
     def land(self, *batches: int) -> None:
         for b in batches:
-            write_landing(self.rows.filter(F.col("_batch_id") == b).select(*CSV_COLUMNS), self.landing, b)
+            write_landing(self.rows.filter(F.col("_batch_id").eqNullSafe(F.lit(b))).select(*CSV_COLUMNS), self.landing, b)
 
     def land_and_load(self, *batches: int) -> int:
         self.land(*batches)

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.diff import deleted_rows, state_as_of, table_diff
-from tierflow.operators.merge import above_mark, high_water_mark, replace_with_dedup
+from tierflow.operators.merge import ChangeLog, above_mark, high_water_mark, replace_with_dedup
 from tierflow.plans import core_queries as Q
-from tierflow.plans.incremental import INCREMENTAL_COLUMNS, batches_of, fold_batches, incremental_source
+from tierflow.plans.incremental import INCREMENTAL_COLUMNS, batches_of, fold_batches, in_batches, incremental_source
+from tierflow.plans.incremental_mart import IncrementalMart
 from tierflow.plans.models import PEDIDOS_ORDER
-from tierflow.plans.oracle import PEDIDOS_NEWEST, with_models
+from tierflow.plans.oracle import AS_OF, PEDIDOS_NEWEST, with_models
 from tierflow.plans.registry import register
 from tierflow.session import stage, work_dir
 from tierflow.sources.storage import BatchTable, Table
@@ -75,7 +76,7 @@ def q_highwater(spark, sf):
     b = _bronze(spark, sf)
     batches = batches_of(b)
     mark = high_water_mark(fold_batches(spark, b, batches[:2]).read(), "_inserted_at")
-    return above_mark(incremental_source(b).filter(F.col("_batch_id").isin(batches[:3])), "_inserted_at", mark)
+    return above_mark(incremental_source(b).filter(in_batches(batches[:3])), "_inserted_at", mark)
 
 
 @register("replace_table_dedup", _BASE + _latest("true"))
@@ -177,3 +178,41 @@ def q_table_diff(spark, sf):
     copies = _dated_copies(spark, sf)
     last = _copy(copies, copies.batches()[-1])
     return table_diff(_copy(copies, 1), last.filter(F.col("estado") != "P"), "pedido_id")
+
+
+def _merge_changes_sql() -> str:
+    before = ", ".join(f"b.{c} as {c}_before" for c in _DIFF_COLS)
+    after = ", ".join(f"a.{c} as {c}_after" for c in _DIFF_COLS)
+    differs = " or ".join(f"b.{c} is distinct from a.{c}" for c in _DIFF_COLS)
+    return _BASE + f"""
+, runs as (select _batch_id, cast(row_number() over (order by _batch_id) - 1 as int) as run
+           from (select distinct _batch_id from inc_src) d)
+, states as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by run, pedido_id order by {PEDIDOS_NEWEST}) as rn
+    from (select r.run, s.* from inc_src s join runs b on s._batch_id = b._batch_id join runs r on b.run <= r.run) y) x
+  where rn = 1)
+select a.run as _run, a.pedido_id, {before}, {after},
+  case when b.pedido_id is null then 'insert' else 'update' end as _change_type
+from states a left join states b on b.run = a.run - 1 and b.pedido_id = a.pedido_id
+where b.pedido_id is null or {differs}"""
+
+
+@register("merge_changes", _merge_changes_sql())
+def q_merge_changes(spark, sf):
+    """The change rows of every run, out of the merges themselves; no state is compared with another."""
+    b = _bronze(spark, sf)
+    log = ChangeLog(spark, work_dir(spark, "pedidos_changes"))
+    fold_batches(spark, b, batches_of(b), log=log)
+    return log.read()
+
+
+@register("mart_incremental", with_models("mart") + "select * from mart")
+def q_mart_incremental(spark, sf):
+    """I8 by deltas: the mart after the last batch, of which each was taken by itself."""
+    mart = IncrementalMart(spark, work_dir(spark, "mart_incremental"))
+    people, orders = stage(Q.bronze_c(spark, sf), "bronze_clientes"), _bronze(spark, sf)
+    for run, b in enumerate(batches_of(people.select("_batch_id").unionByName(orders.select("_batch_id")))):
+        mine = F.col("_batch_id").eqNullSafe(F.lit(b))
+        mart.run(run, people.where(mine), orders.where(mine), AS_OF)
+    return mart.read()

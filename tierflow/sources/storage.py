@@ -10,9 +10,10 @@ list of files.
   that batch's partition only (dynamic partition overwrite), so a load that is
   run again after a failure leaves one copy.
 * ``KeyedTable``: rows are stored by ``pmod(xxhash64(key), buckets)``.  An
-  upsert reads, merges and replaces the buckets that the batch touches.  The
-  bucket count is chosen from the row count by the first write, kept with the
-  table and read back; opening a table with another count or key raises.
+  upsert reads, merges and replaces the buckets that the batch touches.  Each
+  full refresh chooses the bucket count from the row count and keeps it with the
+  table; a merge that finds the buckets outgrown refreshes the table.  Opening it
+  with another key, or another chosen count, raises.
 
 Two writers of one table need a lock of the storage system or scheduler;
 nothing here pretends to be one.
@@ -118,11 +119,14 @@ class BatchTable:
     def exists(self) -> bool:
         return any(n.startswith(f"{self.by[0]}=") for n in folders(self.spark, self.root))
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root)
+    def read(self, schema: T.StructType | None = None) -> DataFrame:
+        """All batches; ``schema``, if given, keeps Spark from guessing the batch columns' types from folder names."""
+        if schema is None:
+            return self.spark.read.parquet(self.root)
+        return self.spark.read.schema(schema).parquet(self.root).select(*schema.fieldNames())
 
     def write(self, df: DataFrame) -> None:
-        """Store the batches that ``df`` holds; a batch stored before is replaced."""
+        """Store the batches that ``df`` holds; a batch stored before is replaced.  NULL is a batch of its own."""
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.by).parquet(self.root)
 
 
@@ -133,18 +137,24 @@ class KeyedTable(Table):
         super().__init__(spark, root)
         self.keys = [key] if isinstance(key, str) else list(key)
         self._wanted = buckets
-        self._layout: dict | None = None
+        self._layout: tuple[str, dict] | None = None
         self.layout()
 
+    def _refreshes(self) -> list[int]:
+        return [n for n in super()._refreshes() if exists(self.spark, f"{self._folder(n)}/_layout/_SUCCESS")]
+
     def layout(self) -> dict | None:
-        """Key, bucket count and schema, as the first write recorded them."""
-        if self._layout is None and exists(self.spark, f"{self.root}/_layout/_SUCCESS"):
-            kept = json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.root}/_layout").collect()))
+        """Key, bucket count and schema, as the refresh that wrote the table recorded them."""
+        folder = self.current()
+        if folder is None:
+            return None
+        if self._layout is None or self._layout[0] != folder:
+            kept = json.loads("".join(r["value"] for r in self.spark.read.text(f"{folder}/_layout").collect()))
             if kept["key"] != self.keys or self._wanted not in (None, kept["buckets"]):
                 raise LayoutMismatch(f"{self.root} has key {kept['key']} in {kept['buckets']} buckets, "
                                      f"not {self.keys} in {self._wanted}")
-            self._layout = kept
-        return self._layout
+            self._layout = (folder, kept)
+        return self._layout[1]
 
     @property
     def buckets(self) -> int:
@@ -153,15 +163,9 @@ class KeyedTable(Table):
     def schema(self) -> T.StructType:
         return T.StructType.fromJson(self.layout()["schema"])
 
-    def _plan_layout(self, df: DataFrame) -> None:
-        buckets = self._wanted or max(LEAST_BUCKETS, -(-df.count() // BUCKET_ROWS))
-        text = json.dumps({"key": self.keys, "buckets": buckets, "schema": json.loads(df.schema.json())})
-        line = self.spark.range(1).select(F.lit(text).alias("value"))
-        line.coalesce(1).write.mode("overwrite").text(f"{self.root}/_layout")
-
-    def _write(self, df: DataFrame, folder: str, partitions: str) -> None:
+    def _write(self, df: DataFrame, folder: str, partitions: str, buckets: int) -> None:
         # rebalance: Spark splits a bucket that is larger than a task should write, and joins small ones
-        (df.withColumn(BUCKET, bucket_of(self.keys, self.buckets)).hint("rebalance", BUCKET)
+        (df.withColumn(BUCKET, bucket_of(self.keys, buckets)).hint("rebalance", BUCKET)
            .sortWithinPartitions(BUCKET, *self.keys)
            .write.mode("overwrite").option("partitionOverwriteMode", partitions).partitionBy(BUCKET).parquet(folder))
 
@@ -176,14 +180,26 @@ class KeyedTable(Table):
         return df.drop(BUCKET)
 
     def overwrite(self, df: DataFrame) -> None:
+        """The table is exactly ``df``, in as many buckets as its rows ask for."""
         done = self._refreshes()
-        n = done[-1] + 1 if done else 0
-        if not self.layout():
-            self._plan_layout(df)
-        self._write(df.select(*self.schema().fieldNames()), self._folder(n), "static")
+        folder = self._folder(done[-1] + 1 if done else 0)
+        if done:
+            df = df.select(*self.schema().fieldNames())
+        buckets = self._wanted or max(LEAST_BUCKETS, -(-df.count() // BUCKET_ROWS))
+        self._write(df, folder, "static", buckets)
+        # the refresh counts once its layout is there
+        text = json.dumps({"key": self.keys, "buckets": buckets, "schema": json.loads(df.schema.json())})
+        line = self.spark.range(1).select(F.lit(text).alias("value"))
+        line.coalesce(1).write.mode("overwrite").text(f"{folder}/_layout")
         for old in done[:-1]:
             remove(self.spark, self._folder(old))
 
-    def replace_buckets(self, df: DataFrame) -> None:
-        """Replace exactly the buckets that ``df`` has rows of; ``df`` may read the table."""
-        self._write(stage(df.select(*self.schema().fieldNames()), "buckets"), self.current(), "dynamic")
+    def regrow(self, rows: float) -> None:
+        """Lays the table out anew when its buckets hold over twice the rows they aim at; a chosen count stays."""
+        if not self._wanted and rows > 2 * BUCKET_ROWS:
+            self.overwrite(self.read())
+
+    def replace_buckets(self, df: DataFrame, staged: bool = False) -> None:
+        """Replace exactly the buckets that ``df`` has rows of; ``df`` may read the table unless it is staged."""
+        df = df.select(*self.schema().fieldNames())
+        self._write(df if staged else stage(df, "buckets"), self.current(), "dynamic", self.buckets)

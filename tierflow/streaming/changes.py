@@ -13,6 +13,10 @@ the target already holds, by key and order.
 Appends are numbered by the checkpoint, so a stream's name stands for one
 checkpoint: a fresh checkpoint that meets a target already holding rows of that
 name raises.  Several streams of different names may feed one target.
+
+Beside its rows a consumer keeps one row per consumed file, so looking for
+waiting data reads file names, not rows.  Streams are told apart by the stored
+name, read as text, whatever characters it has.
 """
 
 from __future__ import annotations
@@ -36,6 +40,16 @@ class StaleCheckpoint(RuntimeError):
     """A stream starts from a fresh checkpoint although its rows are in the target already."""
 
 
+#: Read as written: Spark would make numbers or dates of names that look like them.
+FILE_SCHEMA = T.StructType([T.StructField(CHANGE_FILE, T.StringType()), T.StructField(STREAM, T.StringType()),
+                            T.StructField(CONSUMED_BATCH, T.LongType())])
+
+
+def consumed_files(target: BatchTable) -> BatchTable:
+    """One row per consumed file, beside the rows of a consumer's table (readers of that pass over the folder)."""
+    return BatchTable(target.spark, f"{target.root}/_files", by=(STREAM, CONSUMED_BATCH))
+
+
 def consumer_table(spark: SparkSession, root: str) -> BatchTable:
     """A target for ``consume_into``: one partition per stream and micro-batch."""
     return BatchTable(spark, root, by=(STREAM, CONSUMED_BATCH))
@@ -52,6 +66,8 @@ class ChangeStream:
         self.checkpoint = checkpoint
         self.name = name
         self.max_files_per_trigger = max_files_per_trigger
+        if not name:
+            raise ValueError("a stream needs a name")
 
     def stream(self) -> DataFrame:
         return (self.spark.readStream.schema(self.schema)
@@ -86,13 +102,22 @@ class ChangeStream:
 
         Returns the number of micro-batches (0 when nothing was waiting: G4).
         """
-        if not exists(self.spark, f"{self.checkpoint}/offsets") and exists(self.spark, f"{target.root}/{STREAM}={self.name}"):
+        if not exists(self.spark, f"{self.checkpoint}/offsets") and not self._consumed(target).isEmpty():
             raise StaleCheckpoint(f"{target.root} holds rows of stream {self.name}, {self.checkpoint} is fresh")
 
         def body(batch: DataFrame, batch_id: int) -> None:
-            target.write(batch.withColumn(STREAM, F.lit(self.name)).withColumn(CONSUMED_BATCH, F.lit(batch_id).cast("long")))
+            marks = {STREAM: F.lit(self.name), CONSUMED_BATCH: F.lit(batch_id).cast("long")}
+            target.write(batch.withColumns(marks))
+            consumed_files(target).write(batch.select(CHANGE_FILE).distinct().withColumns(marks))
         return self._run(body)
 
+    def _consumed(self, target: BatchTable) -> DataFrame:
+        """The files that this stream has consumed into ``target``."""
+        files = consumed_files(target)
+        if not files.exists():
+            return empty_frame(self.spark, T.StructType(FILE_SCHEMA.fields[:1]))
+        return files.read(FILE_SCHEMA).where(F.col(STREAM) == self.name).select(CHANGE_FILE)
+
     def upsert_into(self, target: KeyedTable, order_by) -> int:
         """G3 (``MERGE``): upsert every waiting row into a keyed ``target``.
 
@@ -112,14 +137,10 @@ class ChangeStream:
     def pending(self, consumer: BatchTable) -> DataFrame:
         """Rows waiting for ``consumer``; a plain read, the offset does not move.
 
-        The rows of files that no consumed row of this stream came from.  Spark
-        joins the file names; none is held by the driver.
+        The rows of files that this stream has not consumed.  Spark joins the
+        file names; none is held by the driver.
         """
-        rows = self.table()
-        if not exists(self.spark, f"{consumer.root}/{STREAM}={self.name}"):
-            return rows
-        done = consumer.read().where(F.col(STREAM) == self.name).select(CHANGE_FILE).distinct()
-        return rows.join(done, CHANGE_FILE, "left_anti").select(*self.schema.fieldNames(), CHANGE_FILE)
+        return self.table().join(self._consumed(consumer), CHANGE_FILE, "left_anti").select(*self.schema.fieldNames(), CHANGE_FILE)
 
     def has_data(self, consumer: BatchTable) -> bool:
         """G4, the run-only-if-data gate: is anything waiting?"""
