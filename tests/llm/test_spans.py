@@ -109,3 +109,11 @@ def test_entropy_spans_and_allow_list(spark):
     allowed = frozenset({key + "X"})
     got = {r["doc_id"]: [tuple(s) for s in r["secrets"]] for r in entropy.find_secrets(frame(spark, texts), allowed=allowed).collect()}
     assert got[0] == [("entropy", 4, 4 + len(key), False)] and got[1] == got[2] == got[3] == []
+
+
+def test_short_and_letters_only_keys():
+    assert list(entropy.entropy_spans("key Zq8xV2mK7rT4wY9b end")) == [(4, 20)]
+    assert list(entropy.entropy_spans("qWzXvKjHpLmNbRtYcGdFsAeUiOyP")) == [(0, 28)]
+    assert list(entropy.entropy_spans("see/the/qWzXvKjHpLmNbRtYcGdFsAeUiOyP")) == [(8, 36)]
+    calm = "internationalization Donaudampfschifffahrtsgesellschaft the/quick-brown_fox/jumps iphone12promax256 product-12345-xyz 2024-01-01_12-30"
+    assert not list(entropy.entropy_spans(calm, allow=re.compile("|".join(f"(?:{p})" for p in entropy.ALLOW))))

@@ -4,12 +4,16 @@ Candidate strings are runs of key characters.  A window slides over each; its
 character counts are updated by one character in and one out, so the entropy
 of every window costs constant time.  Windows above the threshold of their
 character class are joined into a span of kind ``entropy``, unless the
-allow-list names the candidate (whole-match patterns or exact strings).
+allow-list names the candidate (whole-match patterns or exact strings).  A run of
+letters is a class of its own, and words joined by signs are judged word by
+word.  A candidate shorter than the window is one window, if it has letters and
+digits and no signs, judged by the share of the most bits that its length allows.
 Fixed-form secrets (assignments, access keys, long hexadecimal runs) are found
 by pattern and always stay; an entropy span inside one of them is not repeated.
 
 Defined results: NULL and empty texts have no spans; offsets are code points,
-ends exclusive; repeated rows give repeated results; other columns are kept by
+ends exclusive; long texts are read whole; repeated rows give repeated results and
+an empty table an empty one; other columns are kept by
 ``find_secrets``, except that a column named ``secrets`` is replaced.
 """
 
@@ -37,10 +41,13 @@ LONG_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 WINDOW = 20
 #: Least bits per character over a window, by class; the most possible are 4 and log2(20) = 4.32.
-BITS = {"hex": 3.0, "mixed": 3.8}
-#: Whole candidates that are never secrets: plain words, numbers, UUIDs, paths of words, rules.
-ALLOW = (r"[A-Za-z]+", r"[0-9]+", r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-         r"[A-Za-z]+([/_=-]+[A-Za-z]+)*[/_=-]*", r"[/_=+-]+", r"[0-9]+([/_=-][0-9]+)*")
+BITS = {"hex": 3.0, "mixed": 3.8, "letters": 3.9}
+#: Of the bits that a shorter candidate's length allows.
+SHORT = 0.92
+#: Whole candidates that are never secrets: numbers, UUIDs, rules.
+ALLOW = (r"[0-9]+", r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[/_=+-]+", r"[0-9]+([/_=-][0-9]+)*")
+WORDS = re.compile(r"[A-Za-z]+(?:[/_=-]+[A-Za-z]+)*[/_=-]*")
+LETTERS = re.compile(r"[A-Za-z]+")
 
 
 def entropy_spans(text: str, window: int = WINDOW, bits: dict | None = None,
@@ -48,10 +55,19 @@ def entropy_spans(text: str, window: int = WINDOW, bits: dict | None = None,
     bits = bits or BITS
     for m in LONG_RUN.finditer(text):
         s = m.group()
-        if len(s) < window or s in allowed or (allow and allow.fullmatch(s)):
+        if s in allowed or (allow and allow.fullmatch(s)):
             continue
-        least = bits["hex"] if re.fullmatch(r"[0-9a-fA-F]+", s) else bits["mixed"]
-        yield from ((m.start() + a, m.start() + b) for a, b in hot_windows(s, window, least))
+        if WORDS.fullmatch(s) and not re.fullmatch(r"[a-fA-F]+", s):
+            parts = [(w.start(), w.group(), bits["letters"]) for w in LETTERS.finditer(s) if w.group() not in allowed]
+        else:
+            parts = [(0, s, bits["hex"] if re.fullmatch(r"[0-9a-fA-F]+", s) else bits["mixed"])]
+        for at, part, least in parts:
+            size = min(window, len(part))
+            if size < window:
+                if not (part.isalnum() and re.search("[0-9]", part) and re.search("[A-Za-z]", part)):
+                    continue
+                least = SHORT * math.log2(size)
+            yield from ((m.start() + at + a, m.start() + at + b) for a, b in hot_windows(part, size, least))
 
 
 def hot_windows(s: str, window: int, least: float) -> Iterator[tuple[int, int]]:
