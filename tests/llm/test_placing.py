@@ -124,3 +124,15 @@ def test_small_sources_reach_their_targets(spark):
     assert len(got) == 60 and any(abs(t - 2 * n) < 1e-6 for n, t, _ in got.values())
     for s, (_, target, taken) in got.items():
         assert abs(target - want[s]) < 1e-6 and abs(taken - target) <= 0.5 + 1e-6
+
+
+def test_copies_of_a_repeated_row_are_dealt_as_one_sum(spark):
+    rows = [(1, "five words are in here", "a", k % 2) for k in range(3000)] + [(i, "one two three " * 40, "b", 0) for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other int")
+    taken = {r["source"]: r["w"] for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("w")).collect()}
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    words = {r["source"]: r["w"] for r in out.groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("w")).collect()}
+    assert abs(words["a"] - taken["a"]) <= 2 * 5  # a word per group of equal rows at most, not 3,000 times the same draw
+    assert out.where("source = 'a'").groupBy("other").count().count() == 2
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, mixing.mix_documents(docs.repartition(7)).collect()))

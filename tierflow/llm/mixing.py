@@ -111,16 +111,22 @@ def mix_documents(documents: DataFrame, seed: int = SEED, **how) -> DataFrame:
     """The mixed corpus: whole documents, each as often as the mix takes it.
 
     A document's share taken / size is rounded to whole copies (0, 1 or 2) by a
-    seeded draw, so a source's expected words equal what ``mix`` takes.
+    seeded draw, so a source's expected words equal what ``mix`` takes.  Equal rows
+    are counted, and their shares rounded as one sum: n of them give n times the
+    share to one copy, not n times the same draw.  Rows that are not repeated
+    aren't shuffled for that; columns of repeated ones must be comparable.
     """
     rate = (mix(documents, seed=seed, **how).groupBy("source", "doc_id", "size")
-            .agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_w_rate"))
-            .select(F.col("source").alias("_w_s"), F.col("doc_id").alias("_w_d"), F.col("size").alias("_w_z"), "_w_rate"))
+            .agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_w_rate"), F.count(F.lit(1)).alias("_w_rows"))
+            .select(F.col("source").alias("_w_s"), F.col("doc_id").alias("_w_d"), F.col("size").alias("_w_z"), "_w_rate", "_w_rows"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = documents.withColumn("_w_size", F.regexp_count(text, F.lit(WORDS)).cast("long"))
     joined = sized.join(rate, F.col("source").eqNullSafe(F.col("_w_s")) & F.col("doc_id").eqNullSafe(F.col("_w_d"))
                         & (F.col("_w_size") == F.col("_w_z")))
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    once = joined.where("_w_rows = 1").select(*columns, "_w_rate", F.lit(1).cast("long").alias("_w_same"))
+    again = joined.where("_w_rows > 1").groupBy(*columns, "_w_rate").agg(F.count(F.lit(1)).alias("_w_same"))
     draw = F.pmod(F.xxhash64("doc_id", text, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = F.floor(F.col("_w_rate") + draw).cast("int")
-    return (joined.withColumn("_w_copies", copies).where("_w_copies > 0")
-            .withColumn("_w_k", F.explode(F.sequence(F.lit(1), F.col("_w_copies")))).select(*documents.columns))
+    copies = F.floor(F.col("_w_same") * F.col("_w_rate") + draw).cast("long")
+    out = once.unionByName(again).withColumn("_w_n", copies).where("_w_n > 0")
+    return expand(out.drop("_w_rate", "_w_same")).select(*columns)
