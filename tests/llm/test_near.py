@@ -217,3 +217,11 @@ def test_verbatim_passages_of_a_full_space_are_all_found(spark):
     got = {(r["doc_id"], r["item_id"]) for r in latent.contaminated(d, b).collect()}
     want = {(i, j) for i, w in enumerate(docs) for j, x in enumerate(items) if f" {x} " in f" {' '.join(w)} "}
     assert want <= got, len(want - got)
+
+
+def test_the_row_that_stays_does_not_depend_on_the_order(spark):
+    rows = [(5, "six rows of one id and one text but of other sources", f"s{i}", None if i % 2 else "en") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    kept = {tuple(order_minhash.keep_one(spark.createDataFrame(some, docs.schema).repartition(n)).collect()[0])
+            for n, some in ((1, rows), (3, rows[::-1]), (5, rows[2:] + rows[:2]))}
+    assert len(kept) == 1 and kept <= set(rows)

@@ -142,8 +142,8 @@ def document_counts(documents: DataFrame, vocab: set[str]) -> tuple[int, dict[st
         yield pd.DataFrame({"word": [*total, None], "n": [*total.values(), n]})
 
     text = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = map_batches(text, count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    counts = {r["word"]: r["n"] for r in rows}
+    rows = map_batches(text, count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    counts = dict(zip(*(c.to_pylist() for c in rows.columns), strict=True))
     return int(counts.pop(None, 0)), counts
 
 
@@ -171,10 +171,12 @@ def svd_space(passages: DataFrame, size: int, rank: int = RANK, seed: int = 3) -
                 yield pd.DataFrame({"word": list(total), "row": [r.tolist() for r in total.values()]})
 
         rows = map_batches(passages, products, "word int, row array<double>")
-        summed = rows.groupBy("word").agg(*[F.sum(F.col("row")[j]).alias(f"s{j}") for j in range(width)]).collect()
+        # as Arrow: numbers, not a Python object for each of them
+        summed = rows.groupBy("word").agg(*[F.sum(F.col("row")[j]).alias(f"s{j}") for j in range(width)]).toArrow()
+        sent.destroy()
         z = np.zeros((size, width))
-        for r in summed:
-            z[r[0]] = r[1:]
+        z[summed.column("word").to_numpy()] = np.column_stack([c.to_numpy() for c in summed.columns[1:]])
+        del summed
         t = q.T @ z  # q' A'A q
         q, _ = np.linalg.qr(z)
     values, turn = np.linalg.eigh((t + t.T) / 2)

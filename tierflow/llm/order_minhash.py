@@ -238,19 +238,34 @@ def compare_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield links(held)
 
 
+def turn_order(root: Column, turn: int) -> Column:
+    """A turn's order of the classes, the same in every bucket."""
+    return F.xxhash64(root, F.lit(turn))
+
+
 def candidate_pairs(members: DataFrame, turn: int) -> DataFrame:
     """Distinct (u, v) of one round with their classes (ru, rv), from the rows (key, t, n, root) of the buckets."""
-    seed = F.lit(turn)
-    drawn = members.groupBy("key", "root").agg(F.min(F.struct(F.xxhash64("t", "key", seed).alias("h"), "t", "n")).alias("d"))
-    end = F.struct(F.xxhash64("root", "key", seed).alias("h"), "root", F.col("d.t").alias("t"), F.col("d.n").alias("n"))
-    ends = (drawn.groupBy("key").agg(F.min(end).alias("a"), F.max(end).alias("b")).where("a.root <> b.root")
-            .select("key", F.array("a", "b").alias("ends")))
-    pairs = members.join(ends, "key").select("t", "n", "root", F.explode("ends").alias("e")).where("root <> e.root")
+    drawn = members.groupBy("key", "root").agg(F.min(F.struct(F.xxhash64("t", "key", F.lit(turn)).alias("h"), "t", "n")).alias("d"))
+    first = F.struct(turn_order(F.col("root"), turn).alias("h"), "root", F.col("d.t").alias("t"), F.col("d.n").alias("n"))
+    other = F.struct(F.xxhash64("root", "key", F.lit(turn)).alias("h"), "root", F.col("d.t").alias("t"), F.col("d.n").alias("n"))
+    # the first of the turn's order, and another one that each bucket draws for itself
+    ends = (drawn.groupBy("key").agg(F.min(first).alias("a"), F.max(other).alias("b"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+            .where("lo <> hi").select("key", F.array("a", "b").alias("ends")))
+    pairs = members.join(ends, "key").select("t", "n", "root", F.explode(F.array_distinct("ends")).alias("e")).where("root <> e.root")
     pairs = pairs.where(F.least("n", "e.n") >= SIMILARITY * F.greatest("n", "e.n"))
-    first = F.col("t") < F.col("e.t")
+    less = F.col("t") < F.col("e.t")
     return pairs.select(F.least("t", "e.t").alias("u"), F.greatest("t", "e.t").alias("v"),
-                        F.when(first, F.col("root")).otherwise(F.col("e.root")).alias("ru"),
-                        F.when(first, F.col("e.root")).otherwise(F.col("root")).alias("rv")).distinct()
+                        F.when(less, F.col("root")).otherwise(F.col("e.root")).alias("ru"),
+                        F.when(less, F.col("e.root")).otherwise(F.col("root")).alias("rv")).distinct()
+
+
+def absorbed(links: DataFrame, turn: int) -> DataFrame:
+    """(root, into): the classes that have a link to one before them in the turn's order, and the first such."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("ru").alias("root"), F.col("rv").alias("into")),
+                                          F.struct(F.col("rv").alias("root"), F.col("ru").alias("into")))).alias("e")).select("e.*")
+    ends = ends.where(turn_order(F.col("into"), turn) < turn_order(F.col("root"), turn))
+    best = F.min(F.struct(turn_order(F.col("into"), turn).alias("h"), "into")).alias("b")
+    return ends.groupBy("root").agg(best).select("root", F.col("b.into").alias("into"))
 
 
 def whole_buckets(members: DataFrame, words: DataFrame) -> DataFrame:
@@ -298,14 +313,9 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
                 .select("t", "text").dropDuplicates(["t"]))
     words = stage(map_batches(one_each, sequence_rows, "t binary, words binary"), "near-words")
 
-    place = words.select("t", F.col("t").alias("root"))
-
-    def joined(place: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        merged = stars(links).select(F.col("u").alias("root"), F.col("root").alias("into"))
-        return stage(place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root")), "near-places"), merged
-
+    # a text's root is some text of its class, at first itself; links are kept between roots and closed once, at the end
     large = members.where(F.col("m") > CHUNK).select("key", "t", "n", F.col("t").alias("root"), F.col("m").alias("had"))
-    tested, turn = None, 0
+    place, found, tested, turn = None, [], None, 0
     while not large.isEmpty():
         pairs = candidate_pairs(large, turn)
         if tested is not None:
@@ -314,19 +324,23 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         tested = pairs.select("u", "v") if tested is None else tested.unionByName(pairs.select("u", "v"))
         both = (pairs.join(words.select(F.col("t").alias("u"), F.col("words").alias("uw")), "u")
                 .join(words.select(F.col("t").alias("v"), F.col("words").alias("vw")), "v"))
-        links = map_batches(both.select("u", "v", "ru", "rv", "uw", "vw"), verify_rows, "ru binary, rv binary")
-        place, merged = joined(place, links.select(F.col("ru").alias("u"), F.col("rv").alias("v")))
+        found.append(stage(map_batches(both.select("u", "v", "ru", "rv", "uw", "vw"), verify_rows, "ru binary, rv binary"), "near-links"))
+        merged = stage(absorbed(found[-1], turn), "near-places")
+        place = words.select("t", F.col("t").alias("root")) if place is None else place
+        place = place.join(merged, "root", "left").select("t", F.coalesce("into", "root").alias("root"))
         turn += 1
-        grown = large.join(merged, "root", "left").withColumn("root", F.coalesce("into", "root"))
+        grown = large.join(merged, "root", "left").withColumn("root", F.coalesce("into", "root")).drop("into")
         left = grown.groupBy("key", "root").agg(F.first("had").alias("had")).groupBy("key").agg(F.count(F.lit(1)).alias("has"), F.first("had").alias("had"))
         left = left.where((F.col("has") > 1) & (F.col("has") <= STAYS * F.col("had"))).select("key", F.col("has").alias("had"))
-        large = stage(grown.select("key", "t", "n", "root").join(left, "key"), "near-buckets")
+        large = stage(grown.drop("had").join(left, "key"), "near-buckets")
 
     rest = stage(members.join(place, "t").select("key", "t", "n", "root"), "near-buckets") if turn else members.withColumn("root", F.col("t"))
     links = whole_buckets(rest, words)
-    place, _ = joined(place, links.select(F.col("ru").alias("u"), F.col("rv").alias("v")))
+    for more in found:
+        links = links.unionByName(more)
+    closed = stars(links.select(F.col("ru").alias("u"), F.col("rv").alias("v"))).select(F.col("u").alias("t"), "root")
 
-    placed = nodes.select("t", "first_id").join(place, "t", "left")
+    placed = nodes.select("t", "first_id").join(closed, "t", "left")
     placed = placed.select("t", "first_id", F.coalesce("root", "t").alias("root"))
     best = placed.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("n"), "first_id", "t")).alias("b"))
     groups = placed.join(best, "root").select("t", F.col("b.first_id").alias("class_id"), F.col("b.t").alias("keep_t"))
@@ -342,8 +356,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents, one of each class, with all their columns."""
+    """The documents, one of each class, with all their columns.
+
+    Of several rows with the id and text that stay, the first by all their columns is kept.
+    """
     _, groups = classes(documents)
     keep = groups.where("t = keep_t").select(key_of(F.hex("t"), F.col("class_id")).alias("_w_row"))
     row = key_of(F.hex(key_of(text_or_empty())), F.col("doc_id").cast("long"))
-    return documents.withColumn("_w_row", row).join(keep, "_w_row", "left_semi").dropDuplicates(["_w_row"]).drop("_w_row")
+    # rows of one id and text are told apart by a digest of their other columns; only equal rows share it
+    others = key_of(*[F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) for c in documents.columns if c != "text"])
+    marked = documents.withColumns({"_w_row": row, "_w_all": others})
+    first = marked.select("_w_row", "_w_all").join(keep, "_w_row", "left_semi").groupBy("_w_row").agg(F.min("_w_all").alias("_w_all"))
+    return marked.join(first, ["_w_row", "_w_all"], "left_semi").dropDuplicates(["_w_row"]).drop("_w_row", "_w_all")
