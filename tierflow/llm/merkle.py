@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -227,12 +227,11 @@ def extract(tier: DataFrame, above: DataFrame) -> DataFrame:
     return held.mapInArrow(read, schema)
 
 
-def descend(tiers: list[DataFrame], base: DataFrame) -> DataFrame:
-    """The proofs of the leaves; ``base`` has (tree, up, subroot), the way from a tree's root on."""
+def descend(tiers: list[DataFrame], base: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The proofs of the leaves; ``base`` adds (up, subroot), the way from a tree's root on, to rows (tree, idx)."""
     below = None
     for tier in reversed(tiers):
-        whole = tier.where(F.col("size") <= (1 << TIER)).select(F.col("tree").alias("_t"))
-        above = whole.join(base, F.col("_t").eqNullSafe(F.col("tree"))).select("tree", F.lit(0).cast("long").alias("idx"), "up", "subroot")
+        above = base(tier.where(F.col("size") <= (1 << TIER)).select("tree", F.lit(0).cast("long").alias("idx")))
         if below is not None:
             above = above.unionByName(below.select("tree", F.col("row.idx").alias("idx"), F.col("proof").alias("up"), "subroot"))
         below = extract(tier, above)
@@ -289,9 +288,10 @@ def proofs(documents: DataFrame) -> DataFrame:
         kinds = {"doc_id": documents.schema["doc_id"].dataType}
         return empty_frame(documents.sparkSession, T.StructType([
             T.StructField(c, kinds.get(c, T.StringType())) for c in ("doc_id", "lang", "leaf", "tampered", "subroot", "root", "proof")]))
-    top = documents.sparkSession.range(1).select(F.lit(None).cast("string").alias("tree"), F.lit("").alias("up"), F.lit(root).alias("subroot"))
-    langs = stage(descend(over, top).select(F.col("row.lang").alias("tree"), F.col("proof").alias("up"), F.col("leaf").alias("subroot")), "merkle-tops")
-    return descend(trees, langs).select("row.doc_id", F.col("tree").alias("lang"), "leaf", "row.tampered", "subroot", F.lit(root).alias("root"), "proof")
+    langs = descend(over, lambda whole: whole.select("tree", "idx", F.lit("").alias("up"), F.lit(root).alias("subroot")))
+    langs = stage(langs.select(F.col("row.lang").alias("_l"), F.col("proof").alias("up"), F.col("leaf").alias("subroot")), "merkle-tops")
+    out = descend(trees, lambda whole: whole.join(langs, F.col("tree").eqNullSafe(F.col("_l"))).drop("_l"))
+    return out.select("row.doc_id", F.col("tree").alias("lang"), "leaf", "row.tampered", "subroot", F.lit(root).alias("root"), "proof")
 
 
 def folded(leaf: Column, proof: Column) -> Column:
