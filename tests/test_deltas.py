@@ -175,4 +175,5 @@ def test_null_is_a_batch(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "id long, _batch_id int")
     assert rows(df.where(in_batches([None, 5])), "id") == [(1,), (2,)]
     assert rows(df.where(in_batches([6])), "id") == [(3,)]
+    assert rows(df.where(in_batches([None])), "id") == [(1,)]
     assert df.where(in_batches([])).count() == 0

@@ -32,7 +32,7 @@ def batches_of(rows: DataFrame, col: str = "_batch_id") -> list:
 def in_batches(batches: list, col: str = "_batch_id") -> Column:
     """True for the rows of these batches; NULL is a batch like any other."""
     known = F.col(col).isin([b for b in batches if b is not None])
-    return F.coalesce(known, F.lit(None in batches))
+    return F.when(F.col(col).isNull(), F.lit(None in batches)).otherwise(known)
 
 
 def fold_batches(spark: SparkSession, bronze: DataFrame, order: list,
