@@ -7,11 +7,13 @@ b can stand after a is decided by undoing their merges, the latest first: they
 can't if at any time the two parts that met at the border would have merged
 sooner (``stands``).
 
-The distinct words of some texts that are not known yet are inserted into a trie
-of bytes.  One depth-first walk gives every node its last token from those of its
-ancestors, so a prefix that many words share is encoded once, and where a word
-ends its tokens are read backwards.  Words of over ``LONG`` bytes are walked as a
-path of their own.  Tasks keep the words they have met, up to ``MEMO`` of them.
+The distinct words of some texts that are not known yet make a trie of bytes.  It
+is kept in preorder: the words sorted, each leaving the path of the one before it
+where their bytes part.  The depth-first walk along it gives every node its last
+token from those of its ancestors, so a prefix that many words share is encoded
+once, and where a word ends its tokens are read backwards.  Tasks keep the words
+they have met, up to ``MEMO`` of them, and those of over ``LONG`` characters for
+their portion only.
 
 The file is read by the driver and broadcast: its size is that of a vocabulary,
 whatever the corpus.  Its special tokens are cut out of a text first, as the
@@ -39,11 +41,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import BATCH_ROWS
-from tierflow.llm.features import MEMO
 
 # fixed value: the words of byte-level BPE
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Words of more bytes are not put into the trie.
+#: Words, and answers about pairs of tokens, that a worker keeps before it starts anew.
+MEMO = 600_000
+#: Longer words are not kept.
 LONG = 256
 #: Characters whose words are held at a time (one text at least).
 PORTION = 500_000
@@ -93,17 +96,27 @@ class Vocabulary:
 
     def stands(self, a: int, b: int, until: float = float("inf")) -> bool:
         """Whether a and b stay apart when their bytes are encoded together, up to turn ``until``."""
+        merges, (turn, first, second) = self.merges, self.parts
         while True:
-            if self.merges.get((a, b), until) < until:
+            if merges.get((a, b), until) < until:
                 return False
-            turn_a, _, end_a = self.made.get(a, (-1, -1, -1))
-            turn_b, start_b, _ = self.made.get(b, (-1, -1, -1))
-            if turn_a < 0 and turn_b < 0:
+            if turn[a] > turn[b]:
+                until, a = turn[a], second[a]
+            elif turn[b] >= 0:  # of equal merges the left one comes first
+                until, b = turn[b] + 1, first[b]
+            else:
                 return True
-            if turn_a > turn_b:
-                until, a = turn_a, end_a
-            else:  # of equal merges the left one comes first
-                until, b = turn_b + 1, start_b
+
+    @cached_property
+    def parts(self) -> tuple[list[int], list[int], list[int]]:
+        """By token the turn of its merge, its left and its right part; -1 for single bytes."""
+        rows = [self.made.get(i, (-1, -1, -1)) for i in range(len(self.tokens))]
+        return tuple(map(list, zip(*rows, strict=True)))
+
+    @cached_property
+    def stood(self) -> dict[int, bool]:
+        """What ``stands`` said of pairs that words have asked for; emptied when it has grown."""
+        return {}
 
     @cached_property
     def ids(self) -> dict[bytes, int]:
@@ -116,9 +129,9 @@ class Vocabulary:
         return {self.tokens[i]: i for i in good}
 
     @cached_property
-    def ends(self) -> frozenset[bytes]:
-        """All ends of tokens: the search for a last token stops at the first that isn't one."""
-        return frozenset(t[k:] for t in self.ids for k in range(len(t)))
+    def ends(self) -> dict[bytes, int]:
+        """All ends of tokens, with the token that they are or -1: the search for a last token stops at the first that isn't one."""
+        return dict.fromkeys((t[k:] for t in self.ids for k in range(len(t))), -1) | self.ids
 
     @cached_property
     def cut(self) -> regex.Pattern | None:
@@ -126,43 +139,58 @@ class Vocabulary:
         names = sorted(self.special, key=len, reverse=True)
         return regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
 
-    def last_token(self, path: bytes | bytearray, last: list[int]) -> int:
-        """The token that ends ``path``; ``last`` has those of its shorter prefixes by length."""
-        d, found = len(last), []
-        for n in range(1, d + 1):
-            piece = bytes(path[d - n : d])
-            if piece not in self.ends:
-                break
-            token = self.ids.get(piece)
-            if token is not None:
-                found.append((n, token))
-        for n, token in reversed(found):
-            if n == d or self.stands(last[d - n], token):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
-
-    def backwards(self, last: list[int]) -> tuple[int, ...]:
-        """The tokens of a path from its prefixes' last ones."""
-        out, d = [], len(last) - 1
-        while d:
-            out.append(last[d])
-            d -= len(self.tokens[last[d]])
-        return tuple(reversed(out))
-
-    def along(self, word: bytes) -> tuple[int, ...]:
-        """The encoding of one word as a path of its own."""
-        last = [-1]
-        for _ in word:
-            last.append(self.last_token(word, last))
-        return self.backwards(last)
-
-    def words(self, text: str) -> Iterator[str | int]:
+    def encodings(self, words: Iterable[bytes]) -> Iterator[tuple[int, ...]]:
+        """The tokens of sorted distinct words, walked depth first as a trie.
+
+        ``last`` has the last token of every prefix on the path.  The next one is
+        the longest that ends the path and can stand after the one before it.
+        """
+        ends, stood, stands, size = self.ends, self.stood, self.stands, len(self.tokens)
+        length = list(map(len, self.tokens))
+        starts, tokens = [0] * max(length), [0] * max(length)
+        before, last = b"", [-1]
+        for word in words:
+            d = shared(before, word)
+            del last[d + 1 :]
+            for d in range(d + 1, len(word) + 1):
+                start, found = d - 1, 0
+                while start >= 0 and (token := ends.get(word[start:d])) is not None:
+                    if token >= 0:
+                        starts[found], tokens[found], found = start, token, found + 1
+                    start -= 1
+                while found:
+                    found -= 1
+                    start, token = starts[found], tokens[found]
+                    if start == 0:
+                        break
+                    pair = last[start] * size + token
+                    apart = stood.get(pair)
+                    if apart is None:
+                        apart = stood[pair] = stands(last[start], token)
+                    if apart:
+                        break
+                else:
+                    raise ValueError("the vocabulary lacks a byte")
+                last.append(token)
+            out, d = [], len(word)
+            while d:  # backwards from the word's end
+                out.append(last[d])
+                d -= length[last[d]]
+            yield tuple(reversed(out))
+            before = word
+
+    def words(self, text: str) -> list[str | int]:
         """The words of a text, and its special tokens as numbers."""
-        for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
-            if k % 2:
-                yield self.special[part]
-            else:
-                yield from WORD.findall(part)
+        if not self.cut or not self.cut.search(text):
+            return WORD.findall(text)
+        parts = [[self.special[p]] if k % 2 else WORD.findall(p) for k, p in enumerate(self.cut.split(text))]
+        return list(chain.from_iterable(parts))
+
+
+def shared(a: bytes, b: bytes) -> int:
+    """Length of the common prefix."""
+    most = min(len(a), len(b))
+    return next((i for i in range(most) if a[i] != b[i]), most)
 
 
 class Encoder:
@@ -176,7 +204,7 @@ class Encoder:
         held: list[list[str | int]] = []
         size = 0
         for t in texts:
-            held.append(list(self.vocabulary.words(t)))
+            held.append(self.vocabulary.words(t))
             size += len(t)
             if size > PORTION:
                 yield from self.portion(held)
@@ -184,46 +212,21 @@ class Encoder:
         yield from self.portion(held)
 
     def portion(self, held: list[list[str | int]]) -> Iterator[np.ndarray]:
-        if len(self.known) > MEMO:
-            self.known.clear()
-        self.learn(set(chain.from_iterable(held)) - self.known.keys())
-        long = [w for w in self.known if isinstance(w, str) and len(w) > LONG]
+        for memo in (self.known, self.vocabulary.stood):
+            if len(memo) > MEMO:
+                memo.clear()
+        long = self.learn({w for words in held for w in words if w not in self.known})
         for words in held:
             yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
-        for w in long:  # not worth their room
+        for w in long:
             del self.known[w]
 
-    def learn(self, new: set[str | int]) -> None:
-        """Inserts new words into a trie and encodes them in one depth-first walk."""
-        root: dict = {}
-        for word in new:
-            if isinstance(word, int):
-                self.known[word] = (word,)
-                continue
-            data = word.encode("utf-8", "surrogatepass")
-            if len(data) > LONG:
-                self.known[word] = self.vocabulary.along(data)
-                continue
-            node = root
-            for byte in data:
-                node = node.setdefault(byte, {})
-            node[-1] = word
-        path, last, todo = bytearray(), [-1], [iter(root.items())]
-        while todo:
-            step = next(todo[-1], None)
-            if step is None:
-                todo.pop()
-                if path:
-                    path.pop()
-                    last.pop()
-                continue
-            byte, below = step
-            if byte == -1:
-                self.known[below] = self.vocabulary.backwards(last)
-            else:
-                path.append(byte)
-                last.append(self.vocabulary.last_token(path, last))
-                todo.append(iter(below.items()))
+    def learn(self, new: set[str | int]) -> list[str]:
+        """Encodes new words in one walk; returns those that are too long to be kept."""
+        self.known.update((i, (i,)) for i in new if isinstance(i, int))
+        words = sorted((w.encode("utf-8", "surrogatepass"), w) for w in new if isinstance(w, str))
+        self.known.update(zip((w for _, w in words), self.vocabulary.encodings(b for b, _ in words), strict=True))
+        return [w for _, w in words if len(w) > LONG]
 
 
 _ENCODERS: dict[str, Encoder] = {}  # of a worker process, which outlives its tasks
@@ -262,7 +265,7 @@ class Codec:
         def joined(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             token = sent.value.tokens.__getitem__
             for many in batches:
-                yield pd.Series([b"".join(map(token, i if i is not None else ())).decode("utf-8", "replace") for i in many], dtype=object)
+                yield pd.Series([b"".join(map(token, i.tolist() if i is not None else ())).decode("utf-8", "replace") for i in many], dtype=object)
 
         return joined(ids)
 
