@@ -136,3 +136,33 @@ def test_copies_of_a_repeated_row_are_dealt_as_one_sum(spark):
     assert abs(words["a"] - taken["a"]) <= 2 * 5  # a word per group of equal rows at most, not 3,000 times the same draw
     assert out.where("source = 'a'").groupBy("other").count().count() == 2
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, mixing.mix_documents(docs.repartition(7)).collect()))
+
+
+def test_house_is_the_highest_quotients_for_every_shard(spark):
+    aims = {k: (0.37 * (k * 37 % 101) + 0.01 * k, 10**6) for k in range(41)} | {41: (0.0, 5), 42: (900.5, 900), 43: (7.0, 7), 44: (7.0, 7)}
+    df = spark.createDataFrame([(p, x, limit) for p, (x, limit) in aims.items()], "place long, blocks double, limit long")
+    got = {r["place"]: r["seats"] for r in mixing.house(df, 7).collect()}
+    order = sorted(((k - 0.5) / x, p) for p, (x, limit) in aims.items() for k in range(1, min(limit, int(x + 0.5)) + 1))
+    for j in range(1, 8):
+        seats = [p for _, p in order[:len(order) * j // 7]]
+        assert {p: has[j - 1] for p, has in got.items()} == {p: seats.count(p) for p in aims}
+
+
+def test_pieces_fill_the_quotas_of_every_shard(spark):
+    rows = [(s, 10_000 * s + k, "w " * (20 + k % 90)) for s, n in ((1, 900), (2, 300), (3, 60)) for k in range(n)]
+    docs = spark.createDataFrame(rows, "source int, doc_id long, text string").withColumn("source", F.concat(F.lit("s"), "source"))
+    got = mixing.mix(docs, shards=5)
+    words = {}
+    for r in got.collect():
+        assert sum(p["words"] for p in r["pieces"]) == r["taken"]
+        for p in r["pieces"]:
+            key = (r["source"], p["shard"])
+            words[key] = words.get(key, 0) + p["words"]
+    aims = {r["source"]: (r["source_size"], r["target"]) for r in got.select("source", "source_size", "target").distinct().collect()}
+    blocks = {s: round(size / max(1, min(mixing.BLOCK, size // mixing.FEW))) for s, (size, _) in aims.items()}
+    own = [(aims[s][1] * blocks[s] / aims[s][0], s) for s in sorted(aims)]
+    order = sorted(((k - 0.5) / x, s) for x, s in own for k in range(1, int(x + 0.5) + 1))
+    for j in range(5):
+        part = [s for _, s in order[len(order) * j // 5:len(order) * (j + 1) // 5]]
+        for s, (size, _) in aims.items():
+            assert abs(words.get((s, j), 0) - part.count(s) * size / blocks[s]) <= part.count(s)  # a block's length, to one word
