@@ -165,6 +165,43 @@ def incremental_run(table: KeyedTable, source: DataFrame, ts_col: str, order_by:
     merge_upsert(table, latest_per_key(source, table.keys, order_by), order_by, check_unique=False, log=log, run=run)
 
 
+class Ledger(BatchTable):
+    """The batches that an incremental model has processed, one partition per run.
+
+    A mark or a lookback misses a batch that comes later than it reaches back; the
+    ledger knows each batch by its id, whatever its age.  A batch is complete when it
+    is first seen.  NULL is a batch like any other.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, col: str = "_batch_id"):
+        super().__init__(spark, root, by=("_run",))
+        self.col = col
+
+    def unseen(self, source: DataFrame) -> DataFrame:
+        """The batch ids of ``source`` that no run has processed, one row each."""
+        ids = source.select(self.col).distinct()
+        if not self.exists():
+            return ids
+        seen = self.read().select(F.col(self.col).cast(source.schema[self.col].dataType).alias("_seen"))
+        return ids.join(seen, F.col(self.col).eqNullSafe(F.col("_seen")), "left_anti")
+
+
+def ledger_run(table: KeyedTable, source: DataFrame, ledger: Ledger, order_by: Sequence) -> int:
+    """Merge the rows of the batches that the ledger doesn't hold, then enter these batches.
+
+    Returns their number.  A run that fails before the entry merges the same
+    rows again, which the order of the merge leaves without effect.
+    """
+    new = stage(ledger.unseen(source), "ledger-new")
+    n = new.count()
+    if n:
+        picked = new.withColumnRenamed(ledger.col, "_new")
+        rows = source.join(picked, F.col(ledger.col).eqNullSafe(F.col("_new")), "left_semi")
+        merge_upsert(table, latest_per_key(rows, table.keys, order_by), order_by, check_unique=False)
+        ledger.write(new.withColumn("_run", F.lit(max(ledger.batches(), default=0) + 1)))
+    return n
+
+
 def replace_with_dedup(table: Table, key, order_by: Sequence) -> None:
     """Replace a table by its own newest-row-per-key content (one refresh).
 

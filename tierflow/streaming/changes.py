@@ -29,11 +29,12 @@ from pyspark.sql import types as T
 
 from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.merge import merge_upsert
-from tierflow.session import empty_frame
+from tierflow.session import empty_frame, stage
 from tierflow.sources.storage import BatchTable, KeyedTable, exists
 
 CHANGE_FILE = "_change_file"
 STREAM, CONSUMED_BATCH = "_stream", "_consumed_batch"
+REASON, ATTEMPT, RAW = "_reason", "_attempt", "_raw"
 
 
 class StaleCheckpoint(RuntimeError):
@@ -55,6 +56,37 @@ def consumer_table(spark: SparkSession, root: str) -> BatchTable:
     return BatchTable(spark, root, by=(STREAM, CONSUMED_BATCH))
 
 
+class Quarantine(BatchTable):
+    """Rows that a consumption could not convert, one partition per stream, attempt and micro-batch.
+
+    Rows have the source's columns, ``_reason`` and the attempt that failed.  The
+    micro-batches of an attempt that a retry has worked off are kept beside them.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+        super().__init__(spark, root, by=(STREAM, ATTEMPT, CONSUMED_BATCH))
+        self.marks = T.StructType([T.StructField(STREAM, T.StringType()), T.StructField(ATTEMPT, T.IntegerType()),
+                                   T.StructField(CONSUMED_BATCH, T.LongType())])
+        self.schema = T.StructType([*schema.fields, T.StructField(REASON, T.StringType()), *self.marks.fields])
+        self.taken = BatchTable(spark, f"{self.root}/_taken", by=self.by)
+
+    def rows(self) -> DataFrame:
+        """Every row of every attempt, also those that a retry has taken up."""
+        return self.read(self.schema) if self.exists() else empty_frame(self.spark, self.schema)
+
+    def open(self) -> DataFrame:
+        """The rows that still wait: the first attempt of their micro-batch that no retry has worked off.
+
+        A later one beside it is what an interrupted retry left.
+        """
+        parts = self.rows().groupBy(*self.by).agg(F.count(F.lit(1)).alias("_rows"))
+        if self.taken.exists():
+            done = self.taken.read(T.StructType([T.StructField("_rows", T.LongType()), *self.marks.fields]))
+            parts = parts.join(done.select(*self.by), list(self.by), "left_anti")
+        first = parts.groupBy(STREAM, CONSUMED_BATCH).agg(F.min(ATTEMPT).alias(ATTEMPT))
+        return self.rows().join(first, list(self.by), "left_semi").select(*self.schema.fieldNames())
+
+
 class ChangeStream:
     """G1: the rows of ``source_path`` not yet consumed by this stream's checkpoint."""
 
@@ -102,8 +134,7 @@ class ChangeStream:
 
         Returns the number of micro-batches (0 when nothing was waiting: G4).
         """
-        if not exists(self.spark, f"{self.checkpoint}/offsets") and not self._consumed(target).isEmpty():
-            raise StaleCheckpoint(f"{target.root} holds rows of stream {self.name}, {self.checkpoint} is fresh")
+        self._refuse_stale(target)
 
         def body(batch: DataFrame, batch_id: int) -> None:
             marks = {STREAM: F.lit(self.name), CONSUMED_BATCH: F.lit(batch_id).cast("long")}
@@ -111,6 +142,49 @@ class ChangeStream:
             consumed_files(target).write(batch.select(CHANGE_FILE).distinct().withColumns(marks))
         return self._run(body)
 
+    def _refuse_stale(self, target: BatchTable) -> None:
+        if not exists(self.spark, f"{self.checkpoint}/offsets") and not self._consumed(target).isEmpty():
+            raise StaleCheckpoint(f"{target.root} holds rows of stream {self.name}, {self.checkpoint} is fresh")
+
+    def consume_checked(self, target: BatchTable, quarantine: Quarantine, convert: Callable[[DataFrame], DataFrame]) -> int:
+        """Append the waiting rows that ``convert`` accepts; the others go to the quarantine as attempt 1.
+
+        ``convert`` adds ``_reason`` (NULL: accepted) and may change any column but
+        ``_raw``, which holds the row as it came.  A failing row never stops its
+        micro-batch.  Returns the number of micro-batches.
+        """
+        self._refuse_stale(target)
+
+        def body(batch: DataFrame, batch_id: int) -> None:
+            marks = {STREAM: F.lit(self.name), CONSUMED_BATCH: F.lit(batch_id).cast("long")}
+            rows = stage(batch, "checked")
+            self._split(rows.withColumns(marks), target, quarantine, convert, 1)
+            consumed_files(target).write(rows.select(CHANGE_FILE).distinct().withColumns(marks))
+        return self._run(body)
+
+    def retry(self, target: BatchTable, quarantine: Quarantine, convert: Callable[[DataFrame], DataFrame]) -> None:
+        """The second (third, ...) attempt at this stream's quarantined rows, with a mended ``convert``.
+
+        Accepted rows reach ``target``; the others stay as the next attempt.  A
+        retry that failed half-way is repeated with the same ``convert`` and replaces
+        what it had written.
+        """
+        waiting = stage(quarantine.open().where(F.col(STREAM) == self.name), "retry")
+        last = waiting.agg(F.max(ATTEMPT)).first()[0] or 0
+        for attempt in range(1, last + 1):  # attempts, not rows
+            rows = waiting.where(F.col(ATTEMPT) == attempt)
+            self._split(rows.drop(ATTEMPT, REASON), target, quarantine, convert, attempt + 1)
+            quarantine.taken.write(rows.groupBy(*quarantine.by).agg(F.count(F.lit(1)).alias("_rows")))
+
+    def _split(self, rows: DataFrame, target: BatchTable, quarantine: Quarantine, convert, attempt: int) -> None:
+        kept = F.struct(*[F.col(c) for c in self.schema.fieldNames()])
+        marked = stage(convert(rows.withColumn(RAW, kept)).withColumn(ATTEMPT, F.lit(attempt)), "converted")
+        good = marked.where(F.col(REASON).isNull()).drop(RAW, REASON)
+        if attempt > 1:  # a partition of its own: the first attempt's stays
+            good = good.withColumn(STREAM, F.lit(f"{self.name} attempt {attempt}"))
+        target.write(good)
+        quarantine.write(marked.where(F.col(REASON).isNotNull()).select(f"{RAW}.*", REASON, STREAM, ATTEMPT, CONSUMED_BATCH))
+
     def _consumed(self, target: BatchTable) -> DataFrame:
         """The files that this stream has consumed into ``target``."""
         files = consumed_files(target)
