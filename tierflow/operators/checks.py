@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import as_of, safe_date, safe_decimal, safe_int
@@ -77,7 +77,7 @@ def _between_fail_cond(column, low, high) -> Column:
 
 # --- the suite -------------------------------------------------------------------------------
 
-@dataclass
+@dataclass(eq=False)
 class Check:
     """One data test. ``kind`` in not_null / unique / relationships / min / regex / between / row_count."""
     name: str
@@ -96,26 +96,68 @@ _ROW_LEVEL = {
 }
 
 
-def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def _failing_rows(checks: list[Check]) -> list[Column]:
+    return [F.count_if(F.coalesce(_ROW_LEVEL[c.kind](c), F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks)]
+
+
+class WriteChecks:
+    """The row checks and row counts of a suite, counted while its models are written.
+
+    ``on`` hands back the frame to write; the write itself counts, so these checks read
+    no table.  Write it once and by a plain write, without a shuffle of the
+    writer's own: Spark then adds up each task once, also when tasks are repeated.
+    Ask for ``counted`` after the write.  Set checks (unique, relationships) need the
+    written rows and stay with ``run_checks``.
+    """
+
+    def __init__(self, checks: list[Check]):
+        self.checks = checks
+        self._seen: dict[str, tuple[Observation, list[Check]]] = {}
+
+    def on(self, model: str, df: DataFrame) -> DataFrame:
+        mine = [c for c in self.checks if c.model == model and c.kind in _ROW_LEVEL]
+        seen = Observation()
+        self._seen[model] = (seen, mine)
+        return df.observe(seen, F.count(F.lit(1)).alias("n"), *_failing_rows(mine))
+
+    def counted(self) -> list[tuple[Check, int]]:
+        """Each check that a write has answered, with its failures."""
+        out = []
+        for model, (seen, mine) in self._seen.items():
+            got = seen.get
+            out += [(c, got[f"c{i}"]) for i, c in enumerate(mine)]
+            for c in self.checks:
+                if c.model == model and c.kind == "row_count":
+                    low, high = c.args.get("min_rows"), c.args.get("max_rows")
+                    ok = (low is None or got["n"] >= low) and (high is None or got["n"] <= high)
+                    out.append((c, 0 if ok else 1))
+        return out
+
+
+def run_checks(models: dict[str, DataFrame], checks: list[Check], written: WriteChecks | None = None) -> DataFrame:
     """H8: one row per check (check_name, model, severity, failures, status).
 
-    Row-level checks are fused per model into one ``agg`` of ``count_if``
-    expressions; set-level checks (unique, relationships, row count) each
-    reduce to one row.  The result is the union of these one-row aggregates,
+    Checks that ``written`` counted during the writes take their figures from
+    there.  Other row-level checks are fused per model into one ``agg`` of
+    ``count_if`` expressions; set-level checks (unique, relationships, row count)
+    each reduce to one row.  The result is the union of these one-row aggregates,
     so its size is the number of checks, never the data.  No checks give no rows.
     """
+    session = next(iter(models.values())).sparkSession
+    columns = "check_name string, model string, severity string, failures bigint"
     if not checks:
-        session = next(iter(models.values())).sparkSession
-        return session.createDataFrame([], "check_name string, model string, severity string, failures bigint, status string")
+        return session.createDataFrame([], f"{columns}, status string")
+    known = [] if written is None else [(c, n) for c, n in written.counted() if c in checks]
+    checks = [c for c in checks if c not in [k for k, _ in known]]
     parts: list[DataFrame] = []
+    if known:
+        parts.append(session.createDataFrame([(c.name, c.model, c.severity, n) for c, n in known], columns))
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in _ROW_LEVEL:
             by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
-        aggs = [F.count_if(F.coalesce(_ROW_LEVEL[c.kind](c), F.lit(False))).alias(f"c{i}")
-                for i, c in enumerate(cs)]
-        one = models[model].agg(*aggs)
+        one = models[model].agg(*_failing_rows(cs))
         stack = ", ".join(f"'{c.name}', '{c.model}', '{c.severity}', c{i}" for i, c in enumerate(cs))
         parts.append(one.selectExpr(
             f"stack({len(cs)}, {stack}) as (check_name, model, severity, failures)"))

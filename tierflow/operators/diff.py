@@ -2,43 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.dedup import latest_per_key
 
 
-def _row_hash(cols: list[str]):
-    """96 bits over the values and, because hashes skip NULLs, over where the NULLs are."""
-    nulls = F.concat(F.lit(""), *[F.col(c).isNull().cast("int").cast("string") for c in cols])
-    return F.struct(F.xxhash64(nulls, *cols).alias("a"), F.hash(nulls, *cols).alias("b"))
-
-
 def table_diff(before: DataFrame, after: DataFrame, key) -> DataFrame:
     """One row per changed key with ``_change_type`` insert / update / delete.
 
-    Keys and row hashes are compared first (one partial aggregate over narrow
-    rows); the columns are then fetched for the keys that differ only.
-    Output columns: the key, ``_change_type``, ``<col>_before`` / ``<col>_after``.
-    Keys are unique and not NULL in either state.
+    One aggregate over both states puts a key's two rows side by side; values are
+    compared as they are, NULL equal to NULL.  Each state is read and shuffled
+    once.  Keys are unique in either state; a NULL key is a key of its own.
+    Output columns: the key, ``<col>_before`` / ``<col>_after``, ``_change_type``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in after.columns if c not in keys]
+    row = F.struct(F.lit(True).alias("_there"), *cols)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.lit(name).alias("_side"), _row_hash(cols).alias("_hash"))
-
-    marks = (side(before, "b").unionByName(side(after, "a")).groupBy(*keys)
-             .agg(F.max(F.when(F.col("_side") == "b", F.col("_hash"))).alias("_b"),
-                  F.max(F.when(F.col("_side") == "a", F.col("_hash"))).alias("_a")))
-    change = (F.when(F.col("_b").isNull(), "insert").when(F.col("_a").isNull(), "delete")
-              .when(F.col("_a") != F.col("_b"), "update"))
-    changed = marks.select(*keys, change.alias("_change_type")).where("_change_type IS NOT NULL")
-    old = before.select(*keys, *[F.col(c).alias(f"{c}_before") for c in cols])
-    new = after.select(*keys, *[F.col(c).alias(f"{c}_after") for c in cols])
-    out = changed.join(old, keys, "left").join(new, keys, "left")
-    return out.select(*keys, *[f"{c}_before" for c in cols], *[f"{c}_after" for c in cols], "_change_type")
+        return df.select(*keys, F.lit(name).alias("_side"), row.alias("_row"))
+
+    def of(name: str) -> Column:
+        return F.first(F.when(F.col("_side") == name, F.col("_row")), ignorenulls=True)
+
+    both = (side(before, "before").unionByName(side(after, "after")).groupBy(*keys)
+            .agg(of("before").alias("_before"), of("after").alias("_after")))
+    change = (F.when(F.col("_before").isNull(), "insert").when(F.col("_after").isNull(), "delete")
+              .when(~F.col("_before").eqNullSafe(F.col("_after")), "update"))
+    return both.withColumn("_change_type", change).where("_change_type IS NOT NULL").select(
+        *keys, *[F.col(f"_before.{c}").alias(f"{c}_before") for c in cols],
+        *[F.col(f"_after.{c}").alias(f"{c}_after") for c in cols], "_change_type")
 
 
 def state_as_of(history: DataFrame, key, ts_col: str, at, order_by) -> DataFrame:

@@ -67,20 +67,21 @@ def q_row_count(spark, sf):
     return a.unionByName(b)
 
 
-def _report_models(spark, sf):
-    """The checked models, each computed once.
+def _report_models(spark, sf, written: C.WriteChecks):
+    """The checked models, each written once to the shared work folder.
 
-    Every check part is its own aggregate over a model; left lazy, each part
-    would recompute the silver windows (the parts' plans differ, so no
-    exchange is reused).  Silver and the fact table are written once to the
-    shared work folder; dim and mart are a projection / aggregate of those.
+    Every set check is its own aggregate over a model; left lazy, each would
+    recompute the silver windows.  ``written`` counts the row checks as the models are written.
     """
-    stg_c = stage(Q.stg_c(spark, sf), "stg_clientes")
-    stg_p = stage(Q.stg_p(spark, sf), "stg_pedidos")
-    dim = M.dim_clientes(stg_c, AS_OF)
-    fct = stage(M.fct_pedidos(stg_p, dim), "fct_pedidos")
-    return {"stg_clientes": stg_c, "stg_pedidos": stg_p, "dim_clientes": dim,
-            "fct_pedidos": fct, "mart_ventas_por_ciudad": M.mart_ventas_por_ciudad(fct)}
+    def keep(name, df):
+        return stage(written.on(name, df), name)
+
+    stg_c = keep("stg_clientes", Q.stg_c(spark, sf))
+    stg_p = keep("stg_pedidos", Q.stg_p(spark, sf))
+    dim = keep("dim_clientes", M.dim_clientes(stg_c, AS_OF))
+    fct = keep("fct_pedidos", M.fct_pedidos(stg_p, dim))
+    return {"stg_clientes": stg_c, "stg_pedidos": stg_p, "dim_clientes": dim, "fct_pedidos": fct,
+            "mart_ventas_por_ciudad": keep("mart_ventas_por_ciudad", M.mart_ventas_por_ciudad(fct))}
 
 
 _REPORT_SQL = with_models("stg_clientes", "stg_pedidos", "dim_clientes", "fct_pedidos", "mart") + f"""
@@ -118,7 +119,10 @@ from raw_report"""
 
 @register("dq_report", _REPORT_SQL)
 def q_report(spark, sf):
-    return C.run_checks(_report_models(spark, sf), model_checks(AS_OF))
+    """Row checks and row counts come from the writes; unique and relationships read the written models."""
+    checks = model_checks(AS_OF)
+    written = C.WriteChecks(checks)
+    return C.run_checks(_report_models(spark, sf, written), checks, written)
 
 
 @register("batch_quality_profile", with_models("raw_pedidos", "raw_clientes") + f"""

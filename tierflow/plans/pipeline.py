@@ -8,8 +8,9 @@ their definition asks (the newest row per key may be in any batch); silver is
 written once because it has many readers in one run.  A run that failed, or is
 repeated, replaces its own partitions and changes nothing else.
 
-The data tests run on the built tables; an ``error`` failure stops the job
-before the snapshot, a ``warn`` failure does not.
+Row checks and row counts are counted as the models are written; unique and
+relationships read the built tables.  An ``error`` failure stops the job before the
+snapshot, a ``warn`` failure does not.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.operators.checks import CheckFailed, duplicate_keys, enforce, run_checks
+from tierflow.operators.checks import CheckFailed, WriteChecks, duplicate_keys, enforce, run_checks
 from tierflow.operators.merge import incremental_run
 from tierflow.operators.scd2 import Scd2Table
 from tierflow.plans import models as M
@@ -56,6 +57,8 @@ def run_batch(spark: SparkSession, clientes: DataFrame, pedidos: DataFrame, base
         return layer_path(base, env, layer, name)
 
     tables: dict[str, Table | BatchTable] = {}
+    checks = model_checks(as_of_date) if checks is None else checks
+    written = WriteChecks(checks)
 
     def append(layer: str, name: str, df: DataFrame) -> DataFrame:
         t = tables[name] = BatchTable(spark, path(layer, name))
@@ -64,7 +67,7 @@ def run_batch(spark: SparkSession, clientes: DataFrame, pedidos: DataFrame, base
 
     def build(layer: str, name: str, df: DataFrame) -> DataFrame:
         t = tables[name] = Table(spark, path(layer, name))
-        t.overwrite(df)
+        t.overwrite(written.on(name, df))
         return t.read()
 
     # 1. ingest: the batch joins the raw layer
@@ -91,7 +94,7 @@ def run_batch(spark: SparkSession, clientes: DataFrame, pedidos: DataFrame, base
     # 3. test: 13 checks, one small result row each; an error stops the job here.
     models = {"stg_clientes": stg_c, "stg_pedidos": stg_p, "dim_clientes": dim,
               "fct_pedidos": fct, "mart_ventas_por_ciudad": mart}
-    report = run_checks(models, model_checks(as_of_date) if checks is None else checks).collect()
+    report = run_checks(models, checks, written).collect()
     enforce(report)
 
     # 4. snapshot: fold today's customers into their version history.

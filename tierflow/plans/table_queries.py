@@ -1,5 +1,5 @@
 """Registered queries for stored tables: merge, high-water mark, late data,
-in-place repair, full refresh, dated copies, recovery and diff."""
+in-place repair, full refresh, time travel, recovery and diff."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.functions.scalar import ntz_literal
 from tierflow.operators.diff import deleted_rows, state_as_of, table_diff
 from tierflow.operators.merge import ChangeLog, above_mark, high_water_mark, replace_with_dedup
+from tierflow.operators.versions import Versions
 from tierflow.plans import core_queries as Q
 from tierflow.plans.incremental import INCREMENTAL_COLUMNS, batches_of, fold_batches, in_batches, incremental_source
 from tierflow.plans.incremental_mart import IncrementalMart
@@ -18,7 +18,7 @@ from tierflow.plans.models import PEDIDOS_ORDER
 from tierflow.plans.oracle import AS_OF, PEDIDOS_NEWEST, with_models
 from tierflow.plans.registry import register
 from tierflow.session import stage, work_dir
-from tierflow.sources.storage import BatchTable, Table
+from tierflow.sources.storage import KeyedTable, Table
 
 _INC_SRC = """
 , inc_src as (
@@ -96,47 +96,33 @@ def q_full_refresh(spark, sf):
     return t.read()
 
 
-def _dated_copies(spark, sf) -> BatchTable:
-    """The incremental table with a copy after every run, the copy's number its partition.
-
-    Time travel as a Spark user keeps it: dated copies in partitions, pruned
-    by their number when one is read.
-    """
-    copies = BatchTable(spark, work_dir(spark, "pedidos_copies"), by=("_copy",))
+def _versions(spark, sf) -> Versions:
+    """The incremental table with its past: change rows of every run, committed a day apart."""
     b = _bronze(spark, sf)
-
-    def keep(i: int, table) -> None:
-        at = ntz_literal(_dt.datetime(2024, 1, 1) + _dt.timedelta(days=i))
-        copies.write(table.read().withColumn("_copied_at", at).withColumn("_copy", F.lit(i)))
-
-    fold_batches(spark, b, batches_of(b), after_run=keep)
-    return copies
-
-
-def _copy(copies: BatchTable, n: int) -> DataFrame:
-    return copies.read().where(F.col("_copy") == n).select(*INCREMENTAL_COLUMNS)
+    table = KeyedTable(spark, work_dir(spark, "pedidos_incremental"), "pedido_id")
+    past = Versions(spark, work_dir(spark, "pedidos_versions"), table)
+    fold_batches(spark, b, batches_of(b), table=table, log=past.log,
+                 after_run=lambda i, _: past.enter(i, _dt.datetime(2024, 1, 1) + _dt.timedelta(days=i)))
+    return past
 
 
 @register("table_as_of", _BASE + _latest(f"_batch_id in {_FIRST.format(n=2)}"))
 def q_table_as_of(spark, sf):
     """The incremental table as it stood after the second run."""
-    return _copy(_dated_copies(spark, sf), 1)
+    return _versions(spark, sf).at_run(1)
 
 
 @register("table_at_commit_time", _BASE + _latest(f"_batch_id in {_FIRST.format(n=2)}"))
 def q_table_at_commit_time(spark, sf):
-    """D7 ``AT(TIMESTAMP)``: the newest copy made by noon of the second run's day."""
-    copies = _dated_copies(spark, sf)
-    noon = ntz_literal(_dt.datetime(2024, 1, 2, 12))
-    n = copies.read().where(F.col("_copied_at") <= noon).agg(F.max("_copy")).first()[0]
-    return _copy(copies, n)
+    """D7 ``AT(TIMESTAMP)``: the table at noon of the second run's day."""
+    return _versions(spark, sf).at_time(_dt.datetime(2024, 1, 2, 12))
 
 
 @register("table_before_commit", _BASE + _latest("_batch_id <> (select max(_batch_id) from inc_src)"))
 def q_table_before_commit(spark, sf):
     """D7 ``BEFORE(STATEMENT)``: the table as it was just before the last merge."""
-    copies = _dated_copies(spark, sf)
-    return _copy(copies, copies.batches()[-2])
+    past = _versions(spark, sf)
+    return past.before_run(past.runs.batches()[-1])
 
 
 @register("table_as_of_time", _BASE + _latest("_inserted_at <= timestamp '2024-01-03 00:00:00'"))
@@ -175,9 +161,9 @@ where b.pedido_id is null or a.pedido_id is null or {differs}"""
 
 @register("table_diff", _diff_sql())
 def q_table_diff(spark, sf):
-    copies = _dated_copies(spark, sf)
-    last = _copy(copies, copies.batches()[-1])
-    return table_diff(_copy(copies, 1), last.filter(F.col("estado") != "P"), "pedido_id")
+    past = _versions(spark, sf)
+    last = past.table.read()
+    return table_diff(past.at_run(1), last.filter(F.col("estado") != "P"), "pedido_id")
 
 
 def _merge_changes_sql() -> str:
