@@ -225,3 +225,25 @@ def test_the_row_that_stays_does_not_depend_on_the_order(spark):
     kept = {tuple(order_minhash.keep_one(spark.createDataFrame(some, docs.schema).repartition(n)).collect()[0])
             for n, some in ((1, rows), (3, rows[::-1]), (5, rows[2:] + rows[:2]))}
     assert len(kept) == 1 and kept <= set(rows)
+
+
+@pytest.mark.parametrize("vocab", [VOCAB, VOCAB[:60]], ids=["all words", "common words"])
+def test_recall_of_reworded_passages(spark, vocab):
+    """Every fifth word of a passage is another; the search must bring what the subsequence would accept."""
+    rng = random.Random(21)
+    docs, items, want = [], [], {}
+    for k in range(300):
+        size = ((6, 12), (20, 32), (40, 80))[k % 3]
+        passage = rng.choices(vocab, k=rng.randint(*size))
+        said = [rng.choice(vocab) if at % 5 == 2 else w for at, w in enumerate(passage)]
+        words = rng.choices(vocab, k=rng.randint(50, 200))
+        words[rng.randrange(len(words)) : 0] = said
+        items.append((k, " ".join(passage)))
+        docs.append((k, " ".join(words)))
+        want[k] = size
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"] for r in latent.contaminated(d, b).where("doc_id = item_id").collect()}
+    recall = {size: sum(k in got for k in want if want[k] == size) / 100 for size in set(want.values())}
+    print("recall", sorted(recall.items()))
+    assert min(recall.values()) >= 0.9, recall
