@@ -160,6 +160,50 @@ def test_result_does_not_depend_on_the_cut_into_micro_batches(spark):
     assert got[0] == got[1] and (1, "last") in got[0]
 
 
+def test_many_micro_batches_are_merged_once(spark, monkeypatch):
+    root, pipe, _ = _setup(spark)
+    for seq in range(1, 5):
+        write_landing(_rows(spark, [0, seq], producto=f"p{seq}").coalesce(1), pipe.landing_root, seq)
+        pipe.run()
+    target = KeyedTable(spark, f"{root}/current", "id", 4)
+    merges, real = [], changes_module.merge_upsert
+    monkeypatch.setattr(changes_module, "merge_upsert", lambda *a, **k: (merges.append(1), real(*a, **k)))
+    want = [(0, "p4"), (1, "p1"), (2, "p2"), (3, "p3"), (4, "p4")]
+    for ck in ("first", "replay"):
+        s = ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/{ck}", max_files_per_trigger=1)
+        assert s.upsert_into(target, ["-" + DELIVERY, "producto"]) >= 4
+        assert rows(target.read(), "id", "producto") == want
+    assert s.upsert_into(target, ["-" + DELIVERY, "producto"]) == 0
+    assert len(merges) == 2
+
+
+def test_rows_of_a_failed_merge_are_merged_by_the_next_run(spark, monkeypatch):
+    root, pipe, _ = _setup(spark)
+    changes = ChangeStream(spark, pipe.target, pipe_schema(), f"{root}/ck/changes", max_files_per_trigger=1)
+    target = KeyedTable(spark, f"{root}/current", "id", 4)
+    for seq in (1, 2):
+        write_landing(_rows(spark, [1, seq + 1], producto=f"p{seq}"), pipe.landing_root, seq)
+        pipe.run()
+
+    def fails(*a, **k):
+        raise RuntimeError("injected fault")
+
+    with monkeypatch.context() as m:
+        m.setattr(changes_module, "merge_upsert", fails)
+        with pytest.raises(RuntimeError, match="injected fault"):
+            changes.upsert_into(target, ["-" + DELIVERY, "producto"])
+    assert changes.upsert_into(target, ["-" + DELIVERY, "producto"]) == 0
+    assert rows(target.read(), "id", "producto") == [(1, "p2"), (2, "p1"), (3, "p2")]
+
+
+def test_upsert_of_files_without_rows(spark):
+    root, pipe, changes = _setup(spark)
+    _rows(spark, [1]).where("false").selectExpr("*", "'' as _source_file", "1L as _delivery").write.parquet(pipe.target)
+    target = KeyedTable(spark, f"{root}/current", "id", 4)
+    assert changes.upsert_into(target, ["-" + DELIVERY, "producto"]) == 1
+    assert target.read().count() == 0
+
+
 def test_pipe_can_archive_loaded_files(spark):
     root = work_dir(spark, "pipe-archive")
     pipe = FilePipe(spark, f"{root}/landing", f"{root}/table", f"{root}/ck", archive_dir=f"{root}/archive")

@@ -117,11 +117,12 @@ def changed_rows(merged: DataFrame, key) -> DataFrame:
 
 
 def merge_upsert(table: KeyedTable, batch: DataFrame, order_by: Sequence = (), check_unique: bool = True,
-                 log: ChangeLog | None = None, run: int | None = None) -> None:
+                 log: ChangeLog | None = None, run: int | None = None, staged: bool = False) -> None:
     """Upsert ``batch`` into ``table``; only the buckets that hold a batch key are rewritten.
 
-    The batch is staged, so that the key check, the bucket list (at most one
-    number per bucket) and the merge read the same rows.  Replaying a batch
+    The batch is staged unless it is read from files already, so that the key
+    check, the bucket list (at most one number per bucket) and the merge read the
+    same rows.  Replaying a batch
     leaves the table as it is.  With a ``log`` the change rows of the run come out
     of the merge itself, which has both sides of every key at hand.  A table
     whose buckets have outgrown their aim is laid out anew.
@@ -130,7 +131,8 @@ def merge_upsert(table: KeyedTable, batch: DataFrame, order_by: Sequence = (), c
     if repeated:
         names = table.schema().fieldNames() if table.exists() else [c for c in batch.columns]
         batch = image(log.of(run), table.keys, names, "after")
-    batch = stage(batch, "merge-batch")
+    if not staged or repeated:
+        batch = stage(batch, "merge-batch")
     if check_unique:
         assert_unique_keys(batch, table.keys)
     if not table.exists():

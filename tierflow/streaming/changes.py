@@ -10,6 +10,10 @@ the checkpoint commit) changes nothing: an append replaces its own partition
 (stream name, micro-batch number) of the target, and an upsert merges rows that
 the target already holds, by key and order.
 
+The micro-batches of an upsert wait beside the checkpoint until the stream has
+run; one merge then takes them up, so the table is rewritten once a run and not
+once a micro-batch.  What a failed merge leaves there the next run merges.
+
 Appends are numbered by the checkpoint, so a stream's name stands for one
 checkpoint: a fresh checkpoint that meets a target already holding rows of that
 name raises.  Several streams of different names may feed one target.
@@ -30,11 +34,12 @@ from pyspark.sql import types as T
 from tierflow.operators.dedup import latest_per_key
 from tierflow.operators.merge import merge_upsert
 from tierflow.session import empty_frame, stage
-from tierflow.sources.storage import BatchTable, KeyedTable, exists
+from tierflow.sources.storage import BatchTable, KeyedTable, exists, remove
 
 CHANGE_FILE = "_change_file"
 STREAM, CONSUMED_BATCH = "_stream", "_consumed_batch"
 REASON, ATTEMPT, RAW = "_reason", "_attempt", "_raw"
+MICRO_BATCH = "_micro_batch"
 
 
 class StaleCheckpoint(RuntimeError):
@@ -197,10 +202,30 @@ class ChangeStream:
 
         The first row of a key under ``order_by`` stays, whether it is waiting
         or stored, so the result does not depend on the cut into micro-batches.
+        Each micro-batch stores its first row of each key; they are merged once,
+        also when the run ends by an error.
         """
+        kept = BatchTable(self.spark, f"{self.checkpoint}/waiting", by=(MICRO_BATCH,))
+
         def body(batch: DataFrame, batch_id: int) -> None:
-            merge_upsert(target, latest_per_key(batch, target.keys, order_by), order_by, check_unique=False)
-        return self._run(body)
+            # written by folder, so that a micro-batch without rows has one too
+            latest_per_key(batch, target.keys, order_by).write.mode("overwrite").parquet(f"{kept.root}/{MICRO_BATCH}={batch_id}")
+        try:
+            return self._run(body)
+        finally:
+            self._merge(kept, target, order_by)
+
+    def _merge(self, kept: BatchTable, target: KeyedTable, order_by) -> None:
+        """Merge the stored micro-batches, of equal rows the later one's, then remove them."""
+        numbers = kept.batches()
+        if not numbers:
+            return
+        marks = [T.StructField(CHANGE_FILE, T.StringType()), T.StructField(MICRO_BATCH, T.LongType())]
+        rows = kept.read(T.StructType([*self.schema.fields, *marks]))
+        if len(numbers) > 1:
+            rows = latest_per_key(rows, target.keys, [*order_by, "-" + MICRO_BATCH])
+        merge_upsert(target, rows.drop(MICRO_BATCH), order_by, check_unique=False, staged=len(numbers) == 1)
+        remove(self.spark, kept.root)
 
     def consume_if_waiting(self, target: BatchTable) -> int:
         """A task body gated on waiting data: no streaming query starts when nothing is waiting."""
