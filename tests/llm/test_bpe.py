@@ -87,6 +87,32 @@ def test_shared_prefixes_are_walked_once(vocabulary, monkeypatch):
     assert all(work.known[w] == merged(vocabulary, w.encode()) for w in words)
 
 
+class Searched(dict):
+    searches = 0
+
+    def get(self, piece):
+        self.searches += 1
+        return super().get(piece)
+
+
+def test_a_node_takes_one_search(vocabulary, monkeypatch):
+    words = [" internationally", " -------------------------------x", "etaoinshrdluetaoinshrdlu", "ab" * 40]
+    work = trie_bpe.Encoder(vocabulary)
+    monkeypatch.setitem(vocabulary.__dict__, "ends", Searched(vocabulary.ends))
+    work.learn(set(words))
+    assert vocabulary.ends.searches == len({w[:k] for w in words for k in range(1, len(w) + 1)})
+    assert all(work.known[w] == merged(vocabulary, w.encode()) for w in words)
+
+
+def test_steps_are_bounded(vocabulary, monkeypatch):
+    monkeypatch.setattr(trie_bpe, "MEMO", 50)
+    monkeypatch.setattr(trie_bpe, "PORTION", 40)
+    work = trie_bpe.Encoder(vocabulary)
+    for k in range(50):
+        list(work.texts([f"w{k}ord{k * 7919}x and qz{k * 31}"]))
+        assert sum(map(len, vocabulary.ends.values())) < 200
+
+
 def test_memo_is_bounded(vocabulary, monkeypatch):
     monkeypatch.setattr(trie_bpe, "MEMO", 10)
     monkeypatch.setattr(trie_bpe, "PORTION", 40)

@@ -11,9 +11,11 @@ The distinct words of some texts that are not known yet make a trie of bytes.  I
 is kept in preorder: the words sorted, each leaving the path of the one before it
 where their bytes part.  The depth-first walk along it gives every node its last
 token from those of its ancestors, so a prefix that many words share is encoded
-once, and where a word ends its tokens are read backwards.  Tasks keep the words
-they have met, up to ``MEMO`` of them, and those of over ``LONG`` characters for
-their portion only.
+once, and where a word ends its tokens are read backwards.  A node also knows the
+longest beginning of a token that ends its prefix: one step by the next byte gives
+that of its child, and with it every token that could be the last.  Tasks keep the
+words they have met, up to ``MEMO`` of them, and those of over ``LONG`` characters
+for their portion only.
 
 The file is read by the driver and broadcast: its size is that of a vocabulary,
 whatever the corpus.  Its special tokens are cut out of a text first, as the
@@ -29,6 +31,7 @@ except that ``encode`` and ``decode`` replace columns named ``ids`` and ``decode
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -44,7 +47,7 @@ from tierflow.llm.common import BATCH_ROWS
 
 # fixed value: the words of byte-level BPE
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Words, and answers about pairs of tokens, that a worker keeps before it starts anew.
+#: Words, answers about pairs of tokens, and steps, that a worker keeps before it starts anew.
 MEMO = 600_000
 #: Longer words are not kept.
 LONG = 256
@@ -129,9 +132,21 @@ class Vocabulary:
         return {self.tokens[i]: i for i in good}
 
     @cached_property
-    def ends(self) -> dict[bytes, int]:
-        """All ends of tokens, with the token that they are or -1: the search for a last token stops at the first that isn't one."""
-        return dict.fromkeys((t[k:] for t in self.ids for k in range(len(t))), -1) | self.ids
+    def starts(self) -> dict[bytes, int]:
+        """All beginnings of tokens, numbered; the empty one is 0."""
+        return {s: i for i, s in enumerate(dict.fromkeys(chain([b""], (t[:k] for t in self.ids for k in range(1, len(t) + 1)))))}
+
+    @cached_property
+    def tails(self) -> list[tuple[int, ...]]:
+        """By beginning the tokens that end it, the longest first."""
+        ids = self.ids
+        return [tuple(ids[s[k:]] for k in range(len(s)) if s[k:] in ids) for s in self.starts]
+
+    @cached_property
+    def ends(self) -> dict[bytes, Steps]:
+        """By byte the steps that it makes from one beginning to the next."""
+        names = list(self.starts)
+        return {t: Steps(t, self.starts, names) for t in self.ids if len(t) == 1}
 
     @cached_property
     def cut(self) -> regex.Pattern | None:
@@ -142,35 +157,34 @@ class Vocabulary:
     def encodings(self, words: Iterable[bytes]) -> Iterator[tuple[int, ...]]:
         """The tokens of sorted distinct words, walked depth first as a trie.
 
-        ``last`` has the last token of every prefix on the path.  The next one is
-        the longest that ends the path and can stand after the one before it.
+        ``last`` has the last token of every prefix on the path, ``at`` the longest
+        beginning of a token that ends the prefix.  The next token is the longest
+        that ends the path and can stand after the one before it; all that end the
+        path end that beginning.
         """
-        ends, stood, stands, size = self.ends, self.stood, self.stands, len(self.tokens)
+        step, tails, stood, stands, size = self.ends.get, self.tails, self.stood, self.stands, len(self.tokens)
         length = list(map(len, self.tokens))
-        starts, tokens = [0] * max(length), [0] * max(length)
-        before, last = b"", [-1]
+        before, last, at = b"", [-1], [0]
         for word in words:
             d = shared(before, word)
-            del last[d + 1 :]
+            del last[d + 1 :], at[d + 1 :]
+            start = at[d]
             for d in range(d + 1, len(word) + 1):
-                start, found = d - 1, 0
-                while start >= 0 and (token := ends.get(word[start:d])) is not None:
-                    if token >= 0:
-                        starts[found], tokens[found], found = start, token, found + 1
-                    start -= 1
-                while found:
-                    found -= 1
-                    start, token = starts[found], tokens[found]
-                    if start == 0:
+                steps = step(word[d - 1 : d])
+                if steps is None:
+                    raise ValueError("the vocabulary lacks a byte")
+                start = steps[start]
+                for token in tails[start]:
+                    rest = d - length[token]
+                    if not rest:
                         break
-                    pair = last[start] * size + token
+                    pair = last[rest] * size + token
                     apart = stood.get(pair)
                     if apart is None:
-                        apart = stood[pair] = stands(last[start], token)
+                        apart = stood[pair] = stands(last[rest], token)
                     if apart:
                         break
-                else:
-                    raise ValueError("the vocabulary lacks a byte")
+                at.append(start)
                 last.append(token)
             out, d = [], len(word)
             while d:  # backwards from the word's end
@@ -187,10 +201,33 @@ class Vocabulary:
         return list(chain.from_iterable(parts))
 
 
+class Steps(dict):
+    """By beginning of a token (its number) the longest one that ends it with a byte added; filled as words ask."""
+
+    def __init__(self, byte: bytes, starts: dict[bytes, int], names: list[bytes]) -> None:
+        self.byte, self.starts, self.names = byte, starts, names
+
+    def __missing__(self, start: int) -> int:
+        path = self.names[start] + self.byte
+        while path not in self.starts:
+            path = path[1:]
+        self[start] = self.starts[path]
+        return self[start]
+
+
 def shared(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
-    most = min(len(a), len(b))
-    return next((i for i in range(most) if a[i] != b[i]), most)
+    most, i = min(len(a), len(b)), 0
+    while i < most and a[i] == b[i]:
+        i += 1
+    return i
+
+
+class Packed(dict):
+    """Words and special tokens to their token numbers: ``get`` gives these as bytes of int32, to be joined, [] as a tuple."""
+
+    def __getitem__(self, word: str | int) -> tuple[int, ...]:
+        return tuple(np.frombuffer(super().__getitem__(word), np.int32).tolist())
 
 
 class Encoder:
@@ -198,7 +235,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.known: dict[str | int, tuple[int, ...]] = {}
+        self.known = Packed()
 
     def texts(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         held: list[list[str | int]] = []
@@ -212,21 +249,24 @@ class Encoder:
         yield from self.portion(held)
 
     def portion(self, held: list[list[str | int]]) -> Iterator[np.ndarray]:
-        for memo in (self.known, self.vocabulary.stood):
-            if len(memo) > MEMO:
-                memo.clear()
-        long = self.learn({w for words in held for w in words if w not in self.known})
+        steps = self.vocabulary.ends.values()
+        for memos in ([self.known], [self.vocabulary.stood], steps):
+            if sum(map(len, memos)) > MEMO:
+                for memo in memos:
+                    memo.clear()
+        long = self.learn({w for w in set(chain.from_iterable(held)) if w not in self.known})
         for words in held:
-            yield np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
+            yield np.frombuffer(b"".join(map(self.known.get, words)), np.int32)
         for w in long:
             del self.known[w]
 
     def learn(self, new: set[str | int]) -> list[str]:
         """Encodes new words in one walk; returns those that are too long to be kept."""
-        self.known.update((i, (i,)) for i in new if isinstance(i, int))
-        words = sorted((w.encode("utf-8", "surrogatepass"), w) for w in new if isinstance(w, str))
-        self.known.update(zip((w for _, w in words), self.vocabulary.encodings(b for b, _ in words), strict=True))
-        return [w for _, w in words if len(w) > LONG]
+        self.known.update((i, array("i", (i,)).tobytes()) for i in new if isinstance(i, int))
+        words = sorted(w for w in new if isinstance(w, str))  # code points sort as their bytes do
+        packed = (array("i", e).tobytes() for e in self.vocabulary.encodings(w.encode("utf-8", "surrogatepass") for w in words))
+        self.known.update(zip(words, packed, strict=True))
+        return [w for w in words if len(w) > LONG]
 
 
 _ENCODERS: dict[str, Encoder] = {}  # of a worker process, which outlives its tasks
